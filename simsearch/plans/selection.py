@@ -30,7 +30,7 @@ def cut_ranges(df: DataFrame, column: str, ranges: int, out: str = "_range") ->
     cuts = sorted(set(df.approxQuantile(column, probabilities, 0.5 / ranges)))
     splits = [-math.inf, *cuts, math.inf]
     return Bucketizer(
-        splits=splits, inputCol=column, outputCol=out, handleInvalid="skip"
+        splits=splits, inputCol=column, outputCol=out, handleInvalid="keep"
     ).transform(df)
 
 
@@ -93,7 +93,8 @@ def number_rows(
     lead = F.col(order[0])
     if dict(df.dtypes)[order[0]].startswith("timestamp"):
         lead = F.unix_micros(lead)
-    ranked = cut_ranges(df.withColumn("_lead", lead.cast("double")), "_lead", ranges)
+    lead = F.coalesce(lead.cast("double"), F.lit(-math.inf))
+    ranked = cut_ranges(df.withColumn("_lead", lead), "_lead", ranges)
     before = Window.partitionBy(key).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -31,3 +31,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer tasks than the cluster has cores.
+
+    A corpus of many files comes back unchanged; a file or two of few row groups
+    would otherwise leave heavy per-row work to a few tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(key) if df.rdd.getNumPartitions() < cores else df
