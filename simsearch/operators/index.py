@@ -136,27 +136,30 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     )
 
 
-# Fixed value: the shape of one index line.
-LINE = r"^(.+) \(DF: (\d+)\): (\(\d+, \d+\)(?:, \(\d+, \d+\))*)$"
+# The shape of one index line and of its list, pairs put as '#'.
+LINE = r"^(.+) \(DF: (\d+)\): (.+)$"
+PAIR = r"\((\d+), (\d+)\)"
+PAIRS = "^#(?:, #)*$"
 
 
 def parse_postings(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Rows ``(term, df, doc_id, tf)``; a malformed line is an error naming it."""
     line = F.trim(F.col(line_col))
-    checked = F.when(line.rlike(LINE), line).otherwise(
-        F.raise_error(F.concat(F.lit("malformed index line: "), F.coalesce(line, F.lit("null"))))
-        .cast("string")
+    pairs = F.regexp_extract(line, LINE, 3)
+    valid = line.rlike(LINE) & F.regexp_replace(pairs, PAIR, "#").rlike(PAIRS)
+    malformed = F.raise_error(
+        F.concat(F.lit("malformed index line: "), F.coalesce(line, F.lit("null")))
     )
+    checked = F.when(valid, line).otherwise(malformed.cast("string"))
     fields = lines.select(checked.alias("_line")).select(
         F.regexp_extract("_line", LINE, 1).alias("term"),
         F.regexp_extract("_line", LINE, 2).cast("long").alias("df"),
         F.explode(
-            F.regexp_extract_all(
-                F.regexp_extract("_line", LINE, 3), F.lit(r"\((\d+, \d+)\)"), 1
-            )
+            F.regexp_extract_all(F.regexp_extract("_line", LINE, 3), F.lit(PAIR), 0)
         ).alias("_pair"),
     )
-    pair = F.split("_pair", ", ")
     return fields.select(
-        "term", "df", pair[0].cast("long").alias("doc_id"), pair[1].cast("long").alias("tf")
+        "term", "df",
+        F.regexp_extract("_pair", PAIR, 1).cast("long").alias("doc_id"),
+        F.regexp_extract("_pair", PAIR, 2).cast("long").alias("tf"),
     )

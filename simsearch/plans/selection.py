@@ -36,41 +36,41 @@ def cut_ranges(df: DataFrame, column: str, ranges: int, out: str = "_range") ->
 
 def order_statistics(
     df: DataFrame, column: str, ranks: list[int], ranges: int | None = None
-) -> list[float]:
+) -> list:
     """Values of ``column`` at the zero-based ``ranks`` of its ascending order.
 
     Equal values are counted together before they are ordered, so a value
-    holding a large share of the rows costs one row.
+    holding a large share of the rows costs one row. Nulls are left out.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
+    values = df.select(F.col(column).alias("x")).where("x is not null")
+    values = values.withColumn("_lead", F.col("x").cast("double"))
     if ranges is None:
         ranges = _ranges(values.count())
-    ranked = cut_ranges(values, "x", ranges)
+    ranked = cut_ranges(values, "_lead", ranges)
     sizes = {r["_range"]: r["n"] for r in
              ranked.groupBy("_range").agg(F.count("*").alias("n")).collect()}
     starts, total = {}, 0
-    for bucket in sorted(sizes):
-        starts[bucket] = total
-        total += sizes[bucket]
-    wanted = sorted({r for r in ranks})
-    if wanted and not 0 <= wanted[0] <= wanted[-1] < total:
-        raise ValueError(f"ranks must lie in 0..{total - 1}")
-    homes = sorted({b for b in sizes for r in wanted if starts[b] <= r < starts[b] + sizes[b]})
-    if not homes:
+    for number in sorted(sizes):
+        starts[number] = total
+        total += sizes[number]
+    wanted = sorted(set(ranks))
+    if not wanted:
         return []
-    offset = F.create_map(*[F.lit(v) for b in homes for v in (b, float(starts[b]))])
+    if not 0 <= wanted[0] <= wanted[-1] < total:
+        raise ValueError(f"ranks must lie in 0..{total - 1}")
+    homes = [b for b in sizes if any(starts[b] <= r < starts[b] + sizes[b] for r in wanted)]
+    start = F.create_map(*[F.lit(v) for b in homes for v in (b, starts[b])])
     running = Window.partitionBy("_range").orderBy("x").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     spans = (
         ranked.where(F.col("_range").isin(homes))
         .groupBy("_range", "x").agg(F.count("*").alias("n"))
-        .withColumn("last", (offset[F.col("_range")] + F.sum("n").over(running)).cast("long") - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
+        .withColumn("end", start[F.col("_range")] + F.sum("n").over(running))
     )
     holds = F.filter(
-        F.array(*[F.lit(r).cast("long") for r in wanted]),
-        lambda r: (r >= F.col("first")) & (r <= F.col("last")),
+        F.array(*[F.lit(r) for r in wanted]),
+        lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n")),
     )
     found = spans.select("x", F.explode(holds).alias("rank")).collect()
     at = {row["rank"]: row["x"] for row in found}
