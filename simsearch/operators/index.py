@@ -129,7 +129,11 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
         lambda p: F.format_string("(%d, %d)", p["doc_id"], p["tf"]),
     )
     listed = lists.select("term", "block", F.concat_ws(", ", pairs).alias("pairs"))
-    whole = lookup_join(listed, document_frequencies(postings), ["term"], salt_by=["block"])
+    # Measuring the frequencies would count the postings once more.
+    whole = lookup_join(
+        listed, document_frequencies(postings), ["term"], salt_by=["block"],
+        broadcast=False, salts=8,
+    )
     return whole.select(
         "term", "block",
         F.format_string("%s (DF: %d): %s", "term", "df", "pairs").alias("line"),

@@ -20,6 +20,7 @@ from simsearch.operators.blocks import (
 )
 from simsearch.operators.search import top_k
 from simsearch.plans.joins import lookup_join
+from simsearch.plans.storage import materialize
 
 SEED = 42
 _HITS = "qid long, vec_id long, hamming double, distance double"
@@ -169,7 +170,7 @@ def knn_lsh(
         )
         return _by_distance(_closest(hits, k), k)
     signed = lsh_signature(queries, nbits, seed, "qid", query_col)
-    hits = hamming_top_k(signatures, signed, k, query_bytes)
+    hits = materialize(hamming_top_k(signatures, signed, k, query_bytes), "hits")
     ids = hits.select("vec_id").distinct()
     found = lookup_join(vectors.select("vec_id", vector_col), ids, ["vec_id"], "left_semi")
     joined = lookup_join(hits, found, ["vec_id"])

@@ -17,7 +17,8 @@ from simsearch.operators.blocks import (
     squared_distances,
 )
 from simsearch.operators.search import top_k
-from simsearch.plans.joins import lookup_join
+from simsearch.plans.joins import fits_broadcast, lookup_join
+from simsearch.plans.storage import materialize
 
 _HITS = "qid long, vec_id long, distance double, value double"
 _PAIRS = "qid long, vec_id long, distance double"
@@ -118,12 +119,17 @@ def knn_with_ties(
     """
     nearest = knn(vectors, queries, k, vector_col, query_col, query_bytes)
     radius = nearest.groupBy("qid").agg(F.max("distance").alias("_radius"))
-    bounded = lookup_join(queries.select("qid", query_col), radius, ["qid"]).select(
+    # A radius per query is no larger than the queries themselves.
+    small = fits_broadcast(queries.select("qid", query_col), query_bytes)
+    bounded = lookup_join(
+        queries.select("qid", query_col), radius, ["qid"], broadcast=small
+    ).select(
         "qid",
         F.concat(
             F.transform(query_col, lambda x: x.cast("double")), F.array("_radius")
         ).alias(query_col),
     )
+    bounded = materialize(bounded, "radius")
     return run_blocks(
         vectors, bounded, _within(None), _PAIRS, vector_col, query_col, query_bytes=query_bytes
     )

@@ -78,17 +78,23 @@ def score(index: Index, weights: DataFrame, broadcast: bool | None = None) -> Da
     return dots.select("qid", "doc_id", "dot", similarity.alias("similarity"))
 
 
+def best_first() -> list[Column]:
+    return [F.round("similarity", 12).desc(), F.col("doc_id").asc()]
+
+
 def top_k(
     scores: DataFrame, k: int, by: str | None = "qid", order: list[Column] | None = None
 ) -> DataFrame:
     """The k best rows, overall or per query, ties going to the smaller id.
 
-    Tasks keep their own best k before anything is shuffled.
+    Tasks keep their own best k before anything is shuffled. Similarities are
+    sums whose last bits depend on the order of adding, so those that agree in
+    twelve decimals count as tied: copies of a document stay in id order.
     """
     if k <= 0:
         raise ValueError("k must be positive")
     if order is None:
-        order = [F.col("similarity").desc(), F.col("doc_id").asc()]
+        order = best_first()
     if by is None:
         return scores.orderBy(*order).limit(k)
     ranked = F.row_number().over(Window.partitionBy(by).orderBy(*order))
@@ -188,7 +194,7 @@ def liketo(
     for name in ALL_COLUMNS:
         if name not in shown.columns:
             shown = shown.withColumn(name, F.lit(UNKNOWN))
-    return shown.orderBy(F.col("similarity").desc(), "doc_id").select(*wanted)
+    return shown.orderBy(*best_first()).select(*wanted)
 
 
 def match_any(
