@@ -104,5 +104,5 @@ def analyze_queries(
     counted = tokens.groupBy("qid", "lang", "token").agg(F.count("*").alias("tf"))
     if not stem:
         return counted.select("qid", F.col("token").alias("term"), "tf")
-    stems = counted.withColumn("term", stem_column("token", "lang", [language]))
-    return stems.groupBy("qid", "term").agg(F.sum("tf").alias("tf"))
+    stemmed = apply_stems(counted, stem_vocabulary(counted, [language]))
+    return stemmed.groupBy("qid", "term").agg(F.sum("tf").alias("tf"))

@@ -39,7 +39,7 @@ def sign_words(vectors: np.ndarray, planes: np.ndarray) -> np.ndarray:
     packed = np.packbits(bits, axis=1, bitorder="little")
     padded = np.zeros((len(bits), -(-packed.shape[1] // 8) * 8), dtype=np.uint8)
     padded[:, : packed.shape[1]] = packed
-    return padded.view("<i8")
+    return padded.view(np.int64)
 
 
 def lsh_signature(
@@ -69,6 +69,8 @@ def lsh_signature(
 
 def _hamming(signatures: np.ndarray, queries: np.ndarray) -> np.ndarray:
     total = np.zeros((len(queries), len(signatures)))
+    # Bits of signed numbers would be counted on their absolute value.
+    signatures, queries = signatures.view(np.uint64), queries.view(np.uint64)
     for word in range(signatures.shape[1]):
         total += np.bitwise_count(queries[:, word, None] ^ signatures[None, :, word])
     return total

@@ -101,7 +101,7 @@ _PAIRS = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
         FROM v a CROSS JOIN v b
     )"""
 _FLAT = """flat AS (
-        SELECT vec_id, label, unnest(generate_subscripts(embedding, 1)) - 1 AS coef,
+        SELECT vec_id, label, unnest(range(len(embedding))) AS coef,
                unnest(embedding)::DOUBLE AS value FROM embeddings
     )"""
 _CENTRE = f"""{_FLAT},
@@ -286,7 +286,7 @@ def oracles() -> dict[str, str]:
             SELECT qid, vec_id, {_r('distance')} AS distance FROM pairs
             QUALIFY rank() OVER (PARTITION BY qid ORDER BY distance) <= {K}""",
         "lsh_signature": f"""WITH {_bits()}
-            SELECT vec_id, bit // 64 AS word, sum(CASE WHEN b = 0 THEN 0
+            SELECT vec_id, (bit // 64)::BIGINT AS word, sum(CASE WHEN b = 0 THEN 0
                 WHEN bit % 64 = 63 THEN -9223372036854775808
                 ELSE 1::BIGINT << (bit % 64) END)::BIGINT AS bits
             FROM bits GROUP BY ALL""",

@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 K = 10
 CORPUS = 500
 CORPORA = (100, 300, 600)
-RADIUS = 1.0
+RADIUS = 1.1
 NBITS = 64
 FRAME, HOP = 8, 4
 SPAN = index.BLOCK_SPAN
@@ -136,7 +136,7 @@ def index_roundtrip(spark, sf_dir):
     joined = lookup_join(
         stored.postings, stored.terms.select("term", "df"), ["term"], salt_by=["doc_id"]
     )
-    return joined.select("term", "df", "doc_id", "tf", F.lit(stored.n_docs).alias("n_docs"))
+    return joined.select("term", "df", "doc_id", "tf", F.lit(stored.n_docs).cast("long").alias("n_docs"))
 
 
 def postings_text(spark, sf_dir):
@@ -227,20 +227,20 @@ def index_merge(spark, sf_dir):
         for side in (0, 1)
     ]
     merged = index.merge_indexes(*halves)
-    return merged.terms.select("term", "df", F.lit(merged.n_docs).alias("n_docs"))
+    return merged.terms.select("term", "df", F.lit(merged.n_docs).cast("long").alias("n_docs"))
 
 
 def index_build(spark, sf_dir):
     built = plain_index(spark, sf_dir)
     return rounded(
-        built.terms.select("term", "df", "tf_square", F.lit(built.n_docs).alias("n_docs")),
+        built.terms.select("term", "df", "tf_square", F.lit(built.n_docs).cast("long").alias("n_docs")),
         "tf_square",
     )
 
 
 def index_build_stemmed(spark, sf_dir):
     built = index.build_index(documents(spark, sf_dir))
-    return built.terms.select("term", "df", F.lit(built.n_docs).alias("n_docs"))
+    return built.terms.select("term", "df", F.lit(built.n_docs).cast("long").alias("n_docs"))
 
 
 # --- Text search -------------------------------------------------------------
