@@ -15,8 +15,10 @@ LANGUAGES = {
 }
 DEFAULT_LANGUAGE = "english"
 
-# Fixed value: every character that is not part of a word.
-NON_WORD = "[^a-zA-Z0-9_À-ÿ]"
+# The characters of a word, and all others. The others are listed
+# rather than negated, which the JVM matches several times faster.
+WORD = "[a-zA-Z0-9_À-ÿ]"
+NON_WORD = r"[\x00-/:-@\[-^`{-\xbf\x{100}-\x{10ffff}]"
 
 # Whitespace in the Unicode sense, and the four ASCII separators.
 _WHITESPACE = "(?U)[\\s\\x1c-\\x1f]+"
@@ -41,6 +43,11 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), NON_WORD, " ")
 
 
+def word_tokens(text: Column) -> Column:
+    """The words of cleaned text in one pass: ``tokenize(clean_text(text))``."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD + "+"), 0)
+
+
 def resolve_language(code: Column) -> Column:
     pairs = [F.lit(v) for item in LANGUAGES.items() for v in item]
     return F.coalesce(F.element_at(F.create_map(*pairs), code), F.lit(DEFAULT_LANGUAGE))

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from simsearch.functions.stemming import stem as stem_column
 from simsearch.functions.stopwords import is_stopword
 from simsearch.functions.text import (
-    clean_text,
     concat_text,
     language_name,
     resolve_language,
     tokenize,
+    word_tokens,
 )
 from simsearch.plans.joins import lookup_join
 from simsearch.plans.storage import balanced, materialize
@@ -32,7 +32,7 @@ def document_tokens(
         F.col(id_col).cast("long").alias("doc_id"), language.alias("lang"), "_text"
     )
     return balanced(docs, "doc_id").select(
-        "doc_id", "lang", F.explode(tokenize(clean_text(F.col("_text")))).alias("token")
+        "doc_id", "lang", F.explode(word_tokens(F.col("_text"))).alias("token")
     )
 
 
@@ -52,6 +52,8 @@ def stem_vocabulary(
     measuring and joining it does not stem again.
     """
     words = tokens.select("lang", "token").distinct()
+    # Few bytes but long work: keep every core busy.
+    words = words.repartition(tokens.sparkSession.sparkContext.defaultParallelism)
     stems = words.withColumn("stem", stem_column("token", "lang", languages))
     return materialize(stems, "stems")
 
@@ -96,7 +98,7 @@ def analyze_queries(
     """
     language = language_name(lang)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = tokenize(clean_text(text) if clean else F.lower(text))
+    words = word_tokens(text) if clean else tokenize(F.lower(text))
     tokens = queries.select(
         F.col(qid_col).alias("qid"), F.lit(language).alias("lang"), F.explode(words).alias("token")
     )

@@ -16,6 +16,7 @@ from simsearch.operators.analysis import (
     stem_vocabulary,
 )
 from simsearch.plans.joins import lookup_join
+from simsearch.plans.storage import materialize
 
 # Width in ids of one stretch of a posting list. A list is split by document id,
 # so a term found in every document still comes in pieces of at most this many.
@@ -92,28 +93,42 @@ def build_index(
     """Index of a table of documents, N being all its rows.
 
     With ``vocabulary`` (a column ``term``) only those terms are indexed: enough
-    to answer the queries they come from, and far less to shuffle.
+    to answer the queries they come from, and far less to shuffle. Such postings
+    are written once, as the statistics and the scores both read them.
     """
     tokens = remove_stopwords(
         document_tokens(df, id_col, text_cols, lang_col), stopword_lists
     )
+    if vocabulary is not None:
+        return _partial_index(tokens, vocabulary, stem, df.count())
     if stem:
         counted = tokens.groupBy("lang", "token", "doc_id").agg(F.count("*").alias("tf"))
-        dictionary = stem_vocabulary(tokens)
-        if vocabulary is not None:
-            wanted = vocabulary.select(F.col("term").alias("stem")).distinct()
-            dictionary = lookup_join(dictionary, wanted, ["stem"], "left_semi")
-        stemmed = apply_stems(counted, dictionary)
+        stemmed = apply_stems(counted, stem_vocabulary(tokens))
         postings = stemmed.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
     else:
-        tokens = tokens.select("doc_id", F.col("token").alias("term"))
-        if vocabulary is not None:
-            wanted = vocabulary.select("term").distinct()
-            tokens = lookup_join(tokens, wanted, ["term"], "left_semi", ["doc_id"])
-        postings = term_frequencies(tokens)
+        postings = term_frequencies(tokens.select("doc_id", F.col("token").alias("term")))
     return Index(postings, term_statistics(postings), df.count())
 
 
+def _partial_index(
+    tokens: DataFrame, vocabulary: DataFrame, stem: bool, n_docs: int
+) -> Index:
+    wanted = vocabulary.select("term").distinct()
+    if stem:
+        dictionary = stem_vocabulary(tokens)
+        wanted = lookup_join(
+            dictionary, wanted.withColumnRenamed("term", "stem"), ["stem"], "left_semi"
+        )
+        kept = apply_stems(tokens, wanted)
+    else:
+        kept = lookup_join(
+            tokens.select("doc_id", F.col("token").alias("term")), wanted, ["term"],
+            "left_semi", ["doc_id"],
+        )
+    postings = materialize(term_frequencies(kept), "postings")
+    return Index(postings, term_statistics(postings), n_docs)
+
+
 # --- Text form ---------------------------------------------------------------
 
 

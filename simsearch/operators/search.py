@@ -30,7 +30,9 @@ def idf(terms: DataFrame, n_docs: int) -> DataFrame:
     return terms.withColumn("idf", F.log10(F.lit(float(n_docs)) / F.col("df")))
 
 
-def query_weights(index: Index, query_terms: DataFrame) -> DataFrame:
+def query_weights(
+    index: Index, query_terms: DataFrame, broadcast: bool | None = None
+) -> DataFrame:
     """Rows ``(qid, term, idf, wq, norm)`` for the query terms the index knows.
 
     ``norm`` is the whole divisor of the query's scores: the length of the query
@@ -38,7 +40,7 @@ def query_weights(index: Index, query_terms: DataFrame) -> DataFrame:
     squared tf weights kept with each term, so no posting is read for it.
     """
     terms = idf(index.terms, index.n_docs)
-    if fits_broadcast(query_terms):
+    if fits_broadcast(query_terms) if broadcast is None else broadcast:
         known = lookup_join(terms, query_terms, ["term"], broadcast=True)
     else:
         known = lookup_join(query_terms, terms, ["term"], salt_by=["qid"], broadcast=False)
@@ -118,7 +120,7 @@ def search_top_k(
         query_terms = analyze_queries(queries, lang, stem, clean)
     # A weighted row is no wider than a few numbers more than a query term.
     small = fits_broadcast(query_terms)
-    weights = query_weights(index, query_terms)
+    weights = query_weights(index, query_terms, broadcast=small)
     best = top_k(score(index, weights, broadcast=small), k)
     return best.select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
 
@@ -188,8 +190,9 @@ def liketo(
     one = table.sparkSession.createDataFrame([(0, text)], "qid long, text string")
     terms = analyze_queries(one, lang, stem)
     index = build_index(table, id_col, [field], lang_col, stem, vocabulary=terms)
-    weights = query_weights(index, terms)
-    hits = top_k(score(index, weights).select("doc_id", "similarity"), limit, by=None)
+    # One text is as small as the argument it was passed in.
+    weights = query_weights(index, terms, broadcast=True)
+    hits = top_k(score(index, weights, broadcast=True).select("doc_id", "similarity"), limit, by=None)
     shown = attach_metadata(hits, table, mapping, id_col, small=True)
     for name in ALL_COLUMNS:
         if name not in shown.columns:

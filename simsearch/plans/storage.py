@@ -34,10 +34,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def balanced(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than the cluster has cores.
+    """Spread a scan of fewer files than the cluster has cores.
 
-    A corpus of many files comes back unchanged; a file or two of few row groups
-    would otherwise leave heavy per-row work to a few tasks.
+    A corpus of many files comes back unchanged; a file or two would otherwise
+    leave heavy per-row work to a few tasks.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(key) if df.rdd.getNumPartitions() < cores else df
+    # Counted in the JVM: the names of a large table's files stay there.
+    return df.repartition(key) if len(df._jdf.inputFiles()) < cores else df
