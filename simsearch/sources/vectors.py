@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from simsearch.sources.tables import corpus_slice
@@ -12,11 +13,16 @@ def read_vectors(
 ) -> DataFrame:
     """Vectors of every file below ``path``, or the first ``num`` of them by id.
 
-    Files that cannot be read are skipped.
+    Files that cannot be read are skipped, also where one would have been asked
+    for the schema.
     """
     if num is not None and num <= 0:
         raise ValueError("num must be positive")
-    vectors = spark.read.option("ignoreCorruptFiles", True).parquet(path)
+    reader = spark.read.option("ignoreCorruptFiles", True)
+    try:
+        vectors = reader.parquet(path)
+    except AnalysisException:
+        vectors = reader.option("mergeSchema", True).parquet(path)
     return vectors if num is None else corpus_slice(vectors, num, id_col)
 
 
