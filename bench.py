@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from simsearch.operators import index, search
 from simsearch.operators.analysis import analyze_queries
+from simsearch.plans.session import with_settings
 from simsearch.plans.storage import new_table_path
 from simsearch.sources import index_store
 from simsearch.workload.queries import K, QUERIES, documents, text_queries
@@ -32,7 +33,8 @@ HEADLINE = [
 
 def session() -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
+        with_settings(SparkSession.builder)
+        .master(f"local[{CPUS}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "16g")

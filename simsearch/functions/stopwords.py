@@ -49,7 +49,8 @@ def stopwords(language: str) -> tuple[str, ...]:
 
 
 def sql_list(words: Iterable[str]) -> str:
-    return ", ".join("'" + w.replace("'", "\\'") + "'" for w in words)
+    quoted = (w.replace("\\", "\\\\").replace("'", "\\'") for w in words)
+    return ", ".join(f"'{w}'" for w in quoted)
 
 
 def is_stopword(

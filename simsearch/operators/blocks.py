@@ -65,8 +65,13 @@ def run_blocks(
     vec_id: str = "vec_id",
     qid: str = "qid",
     query_bytes: int = QUERY_BYTES,
+    kept: int = 0,
 ) -> DataFrame:
-    """Apply ``kernel`` to every vector block with every query."""
+    """Apply ``kernel`` to every vector block with every query.
+
+    ``kept`` is how many rows a task remembers for each query; with the queries
+    themselves they must stay within ``query_bytes``.
+    """
     left = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector_col).alias("_v")).where(
         "_v is not null"
     )
@@ -78,7 +83,7 @@ def run_blocks(
     def output(columns: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    if fits_broadcast(right, query_bytes):
+    if fits_broadcast(right, query_bytes, per_row=kept * 24):
         table = right.toArrow()
         block = (
             table.column("qid").to_numpy(),

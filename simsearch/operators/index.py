@@ -56,8 +56,8 @@ def term_statistics(postings: DataFrame) -> DataFrame:
 
 def posting_lists(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     """Rows ``(term, block, postings)``: ordered lists, split by document id."""
-    block = F.floor(F.col("doc_id") / F.lit(span)).cast("long").alias("block")
-    return postings.groupBy("term", block).agg(
+    block = F.expr(f"(doc_id - pmod(doc_id, {int(span)})) div {int(span)}")
+    return postings.groupBy("term", block.alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
     )
 

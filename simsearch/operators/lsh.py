@@ -127,7 +127,7 @@ def hamming_top_k(
         raise ValueError("k must be positive")
     hits = run_blocks(
         signatures, query_signatures, _nearest_codes(k), _HITS, "signature", "signature",
-        dtype=np.int64, query_bytes=query_bytes,
+        dtype=np.int64, query_bytes=query_bytes, kept=k,
     )
     return _closest(hits, k).select(
         "qid", F.col("rank").cast("long").alias("rank"), "vec_id",
@@ -168,7 +168,7 @@ def knn_lsh(
     if signatures is None:
         hits = run_blocks(
             vectors, queries, _nearest_signed(k, nbits, seed), _HITS, vector_col, query_col,
-            query_bytes=query_bytes,
+            query_bytes=query_bytes, kept=k,
         )
         return _by_distance(_closest(hits, k), k)
     signed = lsh_signature(queries, nbits, seed, "qid", query_col)

@@ -81,7 +81,8 @@ def knn(
     if k <= 0:
         raise ValueError("k must be positive")
     hits = run_blocks(
-        vectors, queries, _nearest(k), _HITS, vector_col, query_col, query_bytes=query_bytes
+        vectors, queries, _nearest(k), _HITS, vector_col, query_col,
+        query_bytes=query_bytes, kept=k,
     )
     return _merged(hits, k)
 

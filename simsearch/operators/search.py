@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from simsearch.functions.stopwords import sql_list
 from simsearch.operators.analysis import analyze_documents, analyze_queries
 from simsearch.operators.index import Index, build_index, tf_weight
 from simsearch.plans.joins import fits_broadcast, lookup_join
@@ -14,9 +15,27 @@ from simsearch.sources.tables import corpus_slice
 
 UNKNOWN = "Unknown"
 
+# Query terms put into the scan as literals; see ``narrow``.
+LITERAL_TERMS = 1000
+
+
+def narrow(index: Index, terms: DataFrame, most: int = LITERAL_TERMS) -> Index:
+    """The index with only the given terms in sight, when they are few.
+
+    As literals they reach the scan of a stored index, which is sorted by term,
+    and leave out the row groups without them. More terms than ``most`` are left
+    to the join.
+    """
+    found = terms.select("term").distinct().limit(most + 1).collect()
+    if not found or len(found) > most:
+        return index
+    wanted = F.expr(f"term IN ({sql_list(sorted(row.term for row in found))})")
+    return Index(index.postings.where(wanted), index.terms.where(wanted), index.n_docs)
+
 
 def lookup_terms(index: Index, terms: DataFrame) -> DataFrame:
     """Rows ``(term, df, doc_id, tf)`` of the given terms; absent ones give none."""
+    index = narrow(index, terms)
     wanted = lookup_join(
         index.terms.select("term", "df"), terms.select("term").distinct(), ["term"], "left_semi"
     )
@@ -118,6 +137,7 @@ def search_top_k(
     """
     if query_terms is None:
         query_terms = analyze_queries(queries, lang, stem, clean)
+    index = narrow(index, query_terms)
     # A weighted row is no wider than a few numbers more than a query term.
     small = fits_broadcast(query_terms)
     weights = query_weights(index, query_terms, broadcast=small)

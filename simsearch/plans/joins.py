@@ -26,17 +26,19 @@ def _width(field: T.StructField):
     return F.lit(8).cast("long")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Bytes the rows of ``df`` take, by one aggregate over it."""
-    row = F.lit(_ROW_OVERHEAD).cast("long")
+def estimated_bytes(df: DataFrame, per_row: int = 0) -> int:
+    """Bytes the rows of ``df`` take, and ``per_row`` more each, by one aggregate."""
+    row = F.lit(_ROW_OVERHEAD + per_row).cast("long")
     for field in df.schema.fields:
         row = row + _width(field)
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
 
 
-def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+def fits_broadcast(
+    df: DataFrame, limit_bytes: int | None = None, per_row: int = 0
+) -> bool:
     limit = BROADCAST_BYTES if limit_bytes is None else limit_bytes
-    return estimated_bytes(df) <= limit
+    return estimated_bytes(df, per_row) <= limit
 
 
 def lookup_join(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simsearch.operators.index import Index, term_statistics
+from simsearch.plans.storage import materialize
 
 POSTINGS = T.StructType(
     [
@@ -35,11 +36,12 @@ def write_index(
     """Write postings and terms sorted by term, so a lookup reads few row groups.
 
     The ranges run over term and document: a very frequent term is split over as
-    many files as it needs. Statistics come from the written postings, so the
-    documents are analysed once.
+    many files as it needs. Finding the ranges and sorting both read the postings,
+    and the statistics read the sorted ones, so they are written as they come
+    first and the documents are analysed once.
     """
     spark = index.postings.sparkSession
-    postings = index.postings.select("term", "doc_id", "tf")
+    postings = materialize(index.postings.select("term", "doc_id", "tf"), "unsorted")
     keys = ["term", "doc_id"]
     ranged = (
         postings.repartitionByRange(partitions, *keys)

@@ -133,3 +133,19 @@ def test_salted_join_of_one_hot_key(spark):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     hot = lookup_join(big, lookup, ["k"], broadcast=False).where("k = 'hot'")
     assert hot.count() == math.ceil(5_000 / 3)
+
+
+def test_few_terms_reach_the_scan(spark, built, tmp_path):
+    from simsearch.sources.index_store import read_index, write_index
+
+    write_index(built, str(tmp_path / "i"))
+    stored = read_index(spark, str(tmp_path / "i"))
+    words = [f"w{i}" for i in range(20)] + ["lo\\ve'", QUERY]
+    terms = analyze_queries(ask(spark, " ".join(words)), stem=False)
+    narrowed = search.narrow(stored, terms)
+    plan = narrowed.postings._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(term, [lo\\ve'" in plan
+    assert narrowed.postings.count() == 4
+    assert search.narrow(stored, terms, most=5).postings.count() == 10
+    got = search.search_top_k(stored, None, 5, query_terms=terms)
+    assert [r.doc_id for r in got.orderBy("rank").collect()] == [0, 2, 1]
