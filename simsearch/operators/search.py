@@ -81,16 +81,30 @@ def doc_weights(index: Index) -> DataFrame:
     )
 
 
-def score(index: Index, weights: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def score(
+    index: Index,
+    weights: DataFrame,
+    broadcast: bool | None = None,
+    query_terms: DataFrame | None = None,
+) -> DataFrame:
     """Rows ``(qid, doc_id, dot, similarity)`` of all matching documents.
 
-    One shuffle, on query and document, after each task has added up what it can.
-    The similarity divides by the query's ``norm``, one constant per query, and
-    is 0 where that is 0.
+    The postings the queries ask for are shuffled by document before they meet the
+    queries: a posting that many queries share travels once, and each task then
+    adds up whole scores. The similarity divides by the query's ``norm``, one
+    constant per query, and is 0 where that is 0. ``query_terms`` names the terms
+    asked for where that is cheaper than reading them from the weights.
     """
-    matches = lookup_join(
-        index.postings, weights, ["term"], salt_by=["doc_id"], broadcast=broadcast
-    )
+    if broadcast is None:
+        broadcast = fits_broadcast(weights)
+    if broadcast:
+        asked = (weights if query_terms is None else query_terms).select("term").distinct()
+        wanted = lookup_join(index.postings, asked, ["term"], "left_semi", broadcast=True)
+        matches = lookup_join(wanted.repartition("doc_id"), weights, ["term"], broadcast=True)
+    else:
+        matches = lookup_join(
+            index.postings, weights, ["term"], salt_by=["doc_id"], broadcast=False
+        )
     wd = tf_weight(F.col("tf")) * F.col("idf")
     dots = matches.groupBy("qid", "doc_id").agg(
         F.sum(F.col("wq") * wd).alias("dot"), F.max("norm").alias("norm")
@@ -141,7 +155,7 @@ def search_top_k(
     # A weighted row is no wider than a few numbers more than a query term.
     small = fits_broadcast(query_terms)
     weights = query_weights(index, query_terms, broadcast=small)
-    best = top_k(score(index, weights, broadcast=small), k)
+    best = top_k(score(index, weights, small, query_terms), k)
     return best.select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
 
 
@@ -212,7 +226,7 @@ def liketo(
     index = build_index(table, id_col, [field], lang_col, stem, vocabulary=terms)
     # One text is as small as the argument it was passed in.
     weights = query_weights(index, terms, broadcast=True)
-    hits = top_k(score(index, weights, broadcast=True).select("doc_id", "similarity"), limit, by=None)
+    hits = top_k(score(index, weights, True, terms).select("doc_id", "similarity"), limit, by=None)
     shown = attach_metadata(hits, table, mapping, id_col, small=True)
     for name in ALL_COLUMNS:
         if name not in shown.columns:
