@@ -164,5 +164,9 @@ def attach_tracks(
     Ids are compared as numbers, so '037156' finds track 37156.
     """
     known = tracks.select(F.col(track_id).cast("long").alias("_track"), *columns)
-    keyed = hits.withColumn("_track", F.col(hit_id).cast("long"))
-    return lookup_join(keyed, known, ["_track"]).select(*hits.columns, *columns)
+    keyed = materialize(hits.withColumn("_track", F.col(hit_id).cast("long")), "hits")
+    if fits_broadcast(keyed):
+        joined = lookup_join(known, keyed, ["_track"], broadcast=True)
+    else:
+        joined = lookup_join(keyed, known, ["_track"])
+    return joined.select(*hits.columns, *columns)

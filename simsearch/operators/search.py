@@ -11,6 +11,7 @@ from simsearch.functions.stopwords import sql_list
 from simsearch.operators.analysis import analyze_documents, analyze_queries
 from simsearch.operators.index import Index, build_index, tf_weight
 from simsearch.plans.joins import fits_broadcast, lookup_join
+from simsearch.plans.storage import materialize
 from simsearch.sources.tables import corpus_slice
 
 UNKNOWN = "Unknown"
@@ -100,7 +101,12 @@ def score(
     if broadcast:
         asked = (weights if query_terms is None else query_terms).select("term").distinct()
         wanted = lookup_join(index.postings, asked, ["term"], "left_semi", broadcast=True)
-        matches = lookup_join(wanted.repartition("doc_id"), weights, ["term"], broadcast=True)
+        # As many tasks as the session shuffles with: the work grows with the scores,
+        # which the bytes of the postings do not tell.
+        tasks = int(index.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        matches = lookup_join(
+            wanted.repartition(tasks, "doc_id"), weights, ["term"], broadcast=True
+        )
     else:
         matches = lookup_join(
             index.postings, weights, ["term"], salt_by=["doc_id"], broadcast=False
@@ -168,9 +174,13 @@ def attach_metadata(
 ) -> DataFrame:
     """Add columns of ``meta`` to each hit; what is missing reads 'Unknown'.
 
-    ``columns`` maps output names to columns of ``meta``. ``small`` says that the
-    hits are known to be few: then only their ids travel to the metadata.
+    ``columns`` maps output names to columns of ``meta``. When the hits are few only
+    their ids travel to the metadata; ``small`` says so, otherwise the hits are
+    written once and measured.
     """
+    if small is None:
+        hits = materialize(hits, "hits")
+        small = fits_broadcast(hits)
     kept = meta.select(
         F.col(id_col).alias("doc_id"),
         *[F.col(source).cast("string").alias(name) for name, source in columns.items()],

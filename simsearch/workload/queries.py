@@ -306,7 +306,7 @@ def search_topk_stemmed(spark, sf_dir):
 def hits_metadata(spark, sf_dir):
     hits = _search(spark, sf_dir).select("qid", "doc_id")
     return search.attach_metadata(
-        hits, table(spark, sf_dir, "labels"), {"quality": "quality", "toxic": "toxic"}, small=True
+        hits, table(spark, sf_dir, "labels"), {"quality": "quality", "toxic": "toxic"}
     )
 
 
