@@ -141,7 +141,7 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     lists = posting_lists(postings, span)
     pairs = F.transform(
         "postings",
-        lambda p: F.format_string("(%d, %d)", p["doc_id"], p["tf"]),
+        lambda p: F.concat(F.lit("("), p["doc_id"], F.lit(", "), p["tf"], F.lit(")")),
     )
     listed = lists.select("term", "block", F.concat_ws(", ", pairs).alias("pairs"))
     # Measuring the frequencies would count the postings once more.
@@ -151,34 +151,33 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     )
     return whole.select(
         "term", "block",
-        F.format_string("%s (DF: %d): %s", "term", "df", "pairs").alias("line"),
+        F.concat("term", F.lit(" (DF: "), "df", F.lit("): "), "pairs").alias("line"),
     )
 
 
 # The shape of one index line and of its list, pairs put as '#'.
-LINE = r"^(.+) \(DF: (\d+)\): (.+)$"
-PAIR = r"\((\d+), (\d+)\)"
+LINE = r"^(.+?) \(DF: (\d+)\): (.+)$"
+PAIR = r"\(\d+, \d+\)"
 PAIRS = "^#(?:, #)*$"
 
 
 def parse_postings(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Rows ``(term, df, doc_id, tf)``; a malformed line is an error naming it."""
-    line = F.trim(F.col(line_col))
-    pairs = F.regexp_extract(line, LINE, 3)
-    valid = line.rlike(LINE) & F.regexp_replace(pairs, PAIR, "#").rlike(PAIRS)
-    malformed = F.raise_error(
-        F.concat(F.lit("malformed index line: "), F.coalesce(line, F.lit("null")))
-    )
-    checked = F.when(valid, line).otherwise(malformed.cast("string"))
-    fields = lines.select(checked.alias("_line")).select(
+    parts = lines.select(F.trim(F.col(line_col)).alias("_line")).select(
+        "_line",
         F.regexp_extract("_line", LINE, 1).alias("term"),
-        F.regexp_extract("_line", LINE, 2).cast("long").alias("df"),
-        F.explode(
-            F.regexp_extract_all(F.regexp_extract("_line", LINE, 3), F.lit(PAIR), 0)
-        ).alias("_pair"),
+        F.regexp_extract("_line", LINE, 2).alias("_df"),
+        F.regexp_extract("_line", LINE, 3).alias("_pairs"),
+    )
+    malformed = F.raise_error(
+        F.concat(F.lit("malformed index line: "), F.coalesce("_line", F.lit("null")))
     )
-    return fields.select(
-        "term", "df",
-        F.regexp_extract("_pair", PAIR, 1).cast("long").alias("doc_id"),
-        F.regexp_extract("_pair", PAIR, 2).cast("long").alias("tf"),
+    # A well-formed list turns into one of two-element JSON arrays.
+    pairs = F.from_json(
+        F.concat(F.lit("["), F.translate("_pairs", "()", "[]"), F.lit("]")), "array<array<bigint>>"
     )
+    valid = F.regexp_replace("_pairs", PAIR, "#").rlike(PAIRS)
+    checked = F.when(valid, pairs).otherwise(malformed.cast("array<array<bigint>>"))
+    return parts.select(
+        "term", F.col("_df").cast("long").alias("df"), F.explode(checked).alias("_pair")
+    ).select("term", "df", F.col("_pair")[0].alias("doc_id"), F.col("_pair")[1].alias("tf"))

@@ -222,11 +222,9 @@ def index_sorted(spark, sf_dir):
 
 def index_merge(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    halves = [
-        index.build_index(docs.where(F.pmod("doc_id", F.lit(2)) == side), stem=False)
-        for side in (0, 1)
-    ]
-    merged = index.merge_indexes(*halves)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    parts = [index.build_index(docs.where(side), stem=False) for side in (english, ~english)]
+    merged = index.merge_indexes(*parts)
     return merged.terms.select("term", "df", F.lit(merged.n_docs).cast("long").alias("n_docs"))
 
 

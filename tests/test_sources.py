@@ -67,3 +67,30 @@ def test_media(spark, tmp_path):
 def test_shared_folder_is_the_sessions(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert storage.new_table_path(spark, "x").startswith(folder)
+
+
+def test_songs_are_searched_by_their_text_columns(spark):
+    from simsearch.operators import index, search
+
+    empty = [None] * len(tables.SONGS)
+    names = tables.SONGS.fieldNames()
+
+    def song(**fields):
+        row = dict(zip(names, empty), **fields)
+        return tuple(row[n] for n in names)
+
+    songs = spark.createDataFrame(
+        [
+            song(doc_id=1, lyrics="Bailando sola", track_name="Tarde", language="es"),
+            song(doc_id=2, lyrics="dancing alone", playlist_genre="latin dance", language="en"),
+            song(doc_id=3, lyrics=None, track_artist="Ana Baila", language="es"),
+        ],
+        tables.SONGS,
+    )
+    built = index.build_index(songs, text_cols=tables.SONG_TEXT, lang_col="language")
+    terms = {r.term: r.df for r in built.terms.collect()}
+    assert terms["bail"] == 2 and terms["danc"] == 1 and terms["tard"] == 1
+    hits = search.liketo(
+        songs, "lyrics", "bailan", ["title", "artist"], lang_col="language"
+    ).collect()
+    assert [tuple(r) for r in hits] == [("Tarde", "Unknown")]
