@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,8 @@ UNKNOWN = "Unknown"
 
 # Query terms put into the scan as literals; see ``narrow``.
 LITERAL_TERMS = 1000
+# Pairs of query and posting that one task of ``score`` adds up.
+TASK_PAIRS = 500_000
 
 
 def narrow(index: Index, terms: DataFrame, most: int = LITERAL_TERMS) -> Index:
@@ -53,7 +56,7 @@ def idf(terms: DataFrame, n_docs: int) -> DataFrame:
 def query_weights(
     index: Index, query_terms: DataFrame, broadcast: bool | None = None
 ) -> DataFrame:
-    """Rows ``(qid, term, idf, wq, norm)`` for the query terms the index knows.
+    """Rows ``(qid, term, df, idf, wq, norm)`` for the query terms the index knows.
 
     ``norm`` is the whole divisor of the query's scores: the length of the query
     times the length of everything it matches. The latter needs only the sum of
@@ -69,7 +72,7 @@ def query_weights(
     query_length = F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(query))
     matched_length = F.sqrt(F.sum(F.col("idf") * F.col("idf") * F.col("tf_square")).over(query))
     return weighted.select(
-        "qid", "term", "idf", "wq", (query_length * matched_length).alias("norm")
+        "qid", "term", "df", "idf", "wq", (query_length * matched_length).alias("norm")
     )
 
 
@@ -82,6 +85,17 @@ def doc_weights(index: Index) -> DataFrame:
     )
 
 
+def _tasks(weights: DataFrame) -> int:
+    """Tasks that keep the scores each of them adds up in memory.
+
+    The work grows with the pairs of query and posting, which the document
+    frequencies tell in advance and the bytes of the postings do not.
+    """
+    pairs = weights.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    session = weights.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return max(int(session), math.ceil(pairs / TASK_PAIRS))
+
+
 def score(
     index: Index,
     weights: DataFrame,
@@ -101,11 +115,8 @@ def score(
     if broadcast:
         asked = (weights if query_terms is None else query_terms).select("term").distinct()
         wanted = lookup_join(index.postings, asked, ["term"], "left_semi", broadcast=True)
-        # As many tasks as the session shuffles with: the work grows with the scores,
-        # which the bytes of the postings do not tell.
-        tasks = int(index.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         matches = lookup_join(
-            wanted.repartition(tasks, "doc_id"), weights, ["term"], broadcast=True
+            wanted.repartition(_tasks(weights), "doc_id"), weights, ["term"], broadcast=True
         )
     else:
         matches = lookup_join(
