@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.llm import exact_dedup, line_dedup
+from simsearch.llm import exact_dedup, language_id, line_dedup, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(modulus: int):
+    """crc32 of doc_id as text, to divide documents into folds; a null id goes to fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % modulus
+
+
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(3) == 1)
+    profiles = language_id.learn_profiles(docs.where("not held_out"))
+    return language_id.predict_language(docs, profiles, ["doc_id", "held_out"])
+
+
+def op8_source_mix(spark, sf_dir):
+    sized, taken = mixing.mix(table(spark, sf_dir, "documents"))
+    draws = taken.groupBy(*mixing.ROW).agg(F.count("*").alias("draws"))
+    return (
+        sized.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .join(draws, mixing.ROW, "left")
+        .select("doc_id", "source", "size", "source_size", "target",
+                (F.coalesce("draws", F.lit(0)) * F.col("size")).alias("taken"))
+    )
+
+
 def op9_exact_dedup(spark, sf_dir):
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -31,6 +53,8 @@ def op10_line_dedup(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op7_language_id": op7_language_id,
+    "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
