@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.llm import exact_dedup, language_id, line_dedup, mixing
+from simsearch.llm import exact_dedup, html_text, language_id, line_dedup, mixing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark, sf_dir):
+    return token_counts.length_histogram(table(spark, sf_dir, "documents"))
+
+
+def op4_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def remainder(modulus: int):
     """crc32 of doc_id as text, to divide documents into folds; a null id goes to fold 0."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % modulus
@@ -53,6 +61,8 @@ def op10_line_dedup(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
+    "op4_html_text": op4_html_text,
     "op7_language_id": op7_language_id,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
