@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.llm import exact_dedup, html_text, language_id, line_dedup, mixing, token_counts
+from simsearch.llm import exact_dedup, html_text, language_id, line_dedup, mixing, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.length_histogram(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_html_text(spark, sf_dir):
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
@@ -62,6 +67,7 @@ def op10_line_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_html_text": op4_html_text,
     "op7_language_id": op7_language_id,
     "op8_source_mix": op8_source_mix,
