@@ -1,6 +1,6 @@
 """Words of many texts at once, as 64-bit hashes in NumPy arrays.
 
-A word is a longest run of bytes other than white space. Its hash is a
+A word is a longest run of bytes other than white space (or other separators). Its hash is a
 polynomial over a random number per byte, then mixed; word sequences are hashed
 the same way over their words' hashes. Two seeds give two independent hashes,
 used together where equality must be certain.
@@ -43,9 +43,7 @@ def powers(base: int, size: int) -> np.ndarray:
 
 @functools.cache
 def _byte_values(seed: int) -> np.ndarray:
-    values = np.random.default_rng([7, seed]).integers(1, 2**64 - 1, 256, np.uint64)
-    values[IS_SPACE] = 0
-    return values
+    return np.random.default_rng([7, seed]).integers(1, 2**64 - 1, 256, np.uint64)
 
 
 class Words:
@@ -54,10 +52,11 @@ class Words:
     Row r has the words first[r] .. first[r + 1] - 1.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, separators: np.ndarray = IS_SPACE):
         raw, at = utf8(column)
         self.raw = lower_ascii(raw) if lower else raw
-        inside = ~IS_SPACE[raw]
+        self.separators = separators
+        inside = ~separators[raw]
         begins, finishes = inside.copy(), inside.copy()
         if len(raw):
             begins[1:] &= ~inside[:-1]
@@ -82,7 +81,8 @@ class Words:
         if not len(self):
             return np.zeros(0, np.uint64)
         base = _BASES[seed]
-        weighed = _byte_values(seed)[self.raw] * powers(base, len(self.raw))
+        values = np.where(self.separators, np.uint64(0), _byte_values(seed))
+        weighed = values[self.raw] * powers(base, len(self.raw))
         sums = np.add.reduceat(weighed, self.starts)
         return mix(sums * powers(pow(base, -1, 2**64), len(self.raw))[self.starts])
 

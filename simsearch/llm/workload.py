@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.llm import exact_dedup, html_text, language_id, line_dedup, mixing, substring_dedup, token_counts
+from simsearch.llm import decontamination, exact_dedup, html_text, jaccard_join, language_id
+from simsearch.llm import line_dedup, mixing, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,18 @@ def op4_html_text(spark, sf_dir):
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op5_decontamination(spark, sf_dir):
+    hits = decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return hits.select("doc_id", "item_id", "score", "question_overlap", "answer_overlap")
+
+
+def op6_jaccard_join(spark, sf_dir):
+    found = jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def remainder(modulus: int):
     """crc32 of doc_id as text, to divide documents into folds; a null id goes to fold 0."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % modulus
@@ -69,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_html_text": op4_html_text,
+    "op5_decontamination": op5_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
