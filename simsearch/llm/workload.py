@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simsearch.llm import decontamination, exact_dedup, html_text, jaccard_join, language_id
-from simsearch.llm import line_dedup, mixing, substring_dedup, token_counts
+from simsearch.llm import line_dedup, lm_scoring, mixing, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.length_histogram(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark, sf_dir):
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), remainder(10) == 0)
+
+
 def op3_substring_dedup(spark, sf_dir):
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -80,6 +84,7 @@ def op10_line_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
