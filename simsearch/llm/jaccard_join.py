@@ -359,9 +359,12 @@ def _linked(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         large = materialize(named.where(F.col("size") > leaders).drop("comp"), "large")
 
 
-def drop_similar(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: the smallest doc_id, of equal ones any."""
-    found = similar_components(docs)
+def drop_similar(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the smallest doc_id, of equal ones any.
+
+    All columns stay as they are; rows without words are in no component and stay.
+    """
+    found = materialize(similar_components(docs, n, percent), "components")
     found = found.withColumn("_own", F.col("component_id").eqNullSafe(F.col("doc_id")))
     one = found.where("_own").groupBy("component_id").agg(F.min(F.struct(*KEY)).alias("one"))
     one = materialize(one, "kept")

@@ -166,6 +166,11 @@ def _predict(names: list[str], table: np.ndarray, seed: int):
     return run
 
 
+def _ordered(profiles: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
+    names = sorted(profiles)
+    return names, np.stack([profiles[n] for n in names]) if names else np.zeros((0, DIMENSIONS))
+
+
 def predict_language(
     docs: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], seed: int = 5
 ) -> DataFrame:
@@ -174,9 +179,33 @@ def predict_language(
     Only ``text`` is looked at. A text that is null, empty or without letters is
     ``und`` with score 0, as is every text if there are no profiles.
     """
-    names = sorted(profiles)
-    table = np.stack([profiles[n] for n in names]) if names else np.zeros((0, DIMENSIONS))
+    names, table = _ordered(profiles)
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     return docs.select(*keep, "text").mapInArrow(
         _predict(names, table, seed), ", ".join([*fields, "lang_pred string, score double"])
     )
+
+
+def _known(names: list[str], table: np.ndarray, seed: int, accepted: frozenset[str] | None):
+    predict = _predict(names, table, seed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            text = batch.select(["text"])
+            found = [p for part in predict(iter([text])) for p in part.column("lang_pred").to_pylist()]
+            keep = [x != UNKNOWN and (accepted is None or x in accepted) for x in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def keep_known(
+    docs: DataFrame, profiles: dict[str, np.ndarray], accepted: list[str] | None = None, seed: int = 5
+) -> DataFrame:
+    """``docs`` without the rows whose language is ``und`` or not among ``accepted`` (null: any).
+
+    All columns stay as they are, whatever their names; only ``text`` is looked at.
+    """
+    names, table = _ordered(profiles)
+    wanted = None if accepted is None else frozenset(accepted)
+    return docs.mapInArrow(_known(names, table, seed, wanted), docs.schema)
