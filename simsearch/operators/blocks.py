@@ -41,10 +41,26 @@ def to_matrix(column, dtype=np.float64) -> np.ndarray:
     return flat.reshape(len(column), lengths[0] if len(lengths) else 0)
 
 
+def usable(ids: np.ndarray, matrix: np.ndarray) -> Batch:
+    """The rows whose squared length is a finite number.
+
+    A vector with a null, NaN or infinite element is at no distance from
+    anything; it is left out alone, and so is one too long to be squared.
+    """
+    if matrix.dtype.kind != "f":
+        return ids, matrix
+    with np.errstate(over="ignore", invalid="ignore"):
+        good = np.isfinite(np.einsum("ij,ij->i", matrix, matrix))
+    return (ids, matrix) if good.all() else (ids[good], matrix[good])
+
+
 def _batches(batches: Iterable[pa.RecordBatch], dtype) -> Iterator[Batch]:
     for batch in batches:
         if batch.num_rows:
-            yield batch.column(0).to_numpy(zero_copy_only=False), to_matrix(batch.column(1), dtype)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, matrix = usable(ids, to_matrix(batch.column(1), dtype))
+            if len(ids):
+                yield ids, matrix
 
 
 def check_width(vectors: np.ndarray, queries: np.ndarray) -> None:
@@ -85,10 +101,7 @@ def run_blocks(
 
     if fits_broadcast(right, query_bytes, per_row=kept * 24):
         table = right.toArrow()
-        block = (
-            table.column("qid").to_numpy(),
-            to_matrix(table.column("_q"), dtype),
-        )
+        block = usable(table.column("qid").to_numpy(), to_matrix(table.column("_q"), dtype))
         if not len(block[0]):
             return vectors.sparkSession.createDataFrame([], schema)
         shared = vectors.sparkSession.sparkContext.broadcast(block)
@@ -114,15 +127,15 @@ def run_blocks(
     def pair(vector_table: pa.Table, query_table: pa.Table) -> pa.Table:
         if not vector_table.num_rows or not query_table.num_rows:
             return pa.table({n: [] for n in names})
-        batch = (
-            vector_table.column("vec_id").to_numpy(),
-            to_matrix(vector_table.column("_v"), dtype),
+        batch = usable(
+            vector_table.column("vec_id").to_numpy(), to_matrix(vector_table.column("_v"), dtype)
         )
-        parts = kernel(
-            [batch],
-            query_table.column("qid").to_numpy(),
-            to_matrix(query_table.column("_q"), dtype),
+        block = usable(
+            query_table.column("qid").to_numpy(), to_matrix(query_table.column("_q"), dtype)
         )
+        if not len(batch[0]) or not len(block[0]):
+            return pa.table({n: [] for n in names})
+        parts = kernel([batch], *block)
         found = [output(columns) for columns in parts]
         return pa.Table.from_batches(found) if found else pa.table({n: [] for n in names})
 
@@ -165,27 +178,35 @@ def query_slices(queries: int, per_query: int) -> Iterator[slice]:
 def candidates(key: np.ndarray, k: int, slack, bound) -> np.ndarray:
     """Column numbers that hold every one of each row's k smallest keys.
 
-    ``key`` may be off by ``slack / 2``; what lies beyond ``bound + slack`` can
-    no longer enter. Rows are padded to equal width with their next larger keys.
+    Each key may be off by its own ``slack / 2``, so the k-th smallest is judged by
+    what the keys can be at most, and a key by what it can be at least; what lies
+    beyond ``bound`` by more than its slack can no longer enter. Rows are padded to
+    equal width with their next larger keys.
     """
     width = key.shape[1]
     kth = np.full((key.shape[0], 1), np.inf)
     if width > k:
-        kth = np.partition(key, k - 1, axis=1)[:, k - 1 : k]
-    open_ = key <= np.minimum(kth, bound) + slack
+        kth = np.partition(key + slack / 2, k - 1, axis=1)[:, k - 1 : k]
+    least = key - slack
+    open_ = least <= np.minimum(kth, bound)
     most = int(open_.sum(axis=1).max())
     if most >= width:
         return np.broadcast_to(np.arange(width), key.shape)
-    return np.argpartition(key, most, axis=1)[:, :most]
+    return np.argpartition(least, most, axis=1)[:, :most]
 
 
 def squared_distances(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances by one matrix product, and how far off they may be."""
+    """Squared distances by one matrix product, and how far off each of them may be."""
     v2 = np.einsum("ij,ij->i", vectors, vectors)
     q2 = np.einsum("ij,ij->i", queries, queries)
-    squares = q2[:, None] + v2[None, :] - 2.0 * (queries @ vectors.T)
-    error = (vectors.shape[1] + 4) * 4 * np.finfo(np.float64).eps * (q2 + v2.max())
-    return squares, error[:, None]
+    lengths = q2[:, None] + v2[None, :]
+    squares = lengths - 2.0 * (queries @ vectors.T)
+    return squares, (vectors.shape[1] + 4) * 4 * np.finfo(np.float64).eps * lengths
+
+
+def lengths(gaps: np.ndarray) -> np.ndarray:
+    """Lengths of the rows; the one way distances are computed, so that equal ones compare equal."""
+    return np.sqrt(np.einsum("ij,ij->i", gaps, gaps))
 
 
 def exact_distances(vectors: np.ndarray, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -193,5 +214,5 @@ def exact_distances(vectors: np.ndarray, queries: np.ndarray, at: np.ndarray) ->
     result = np.empty(at.shape)
     for rows in query_slices(at.shape[0], at.shape[1] * vectors.shape[1]):
         gap = vectors[at[rows]] - queries[rows][:, None, :]
-        result[rows] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap))
+        result[rows] = lengths(gap.reshape(-1, gap.shape[-1])).reshape(gap.shape[:2])
     return result

@@ -76,9 +76,16 @@ def merge_postings(*parts: DataFrame) -> DataFrame:
 
 
 def merge_indexes(*indexes: Index) -> Index:
-    """Merge indexes of disjoint sets of documents."""
-    postings = merge_postings(*[i.postings for i in indexes])
-    return Index(postings, term_statistics(postings), sum(i.n_docs for i in indexes))
+    """Merge indexes; a document that several of them hold is one document.
+
+    Such documents are told by their postings, so one without any term must not
+    be counted by two parts.
+    """
+    postings = materialize(merge_postings(*[i.postings for i in indexes]), "merged")
+    held = sum(i.postings.select("doc_id").distinct().count() for i in indexes)
+    repeated = held - postings.select("doc_id").distinct().count()
+    n_docs = sum(i.n_docs for i in indexes) - repeated
+    return Index(postings, term_statistics(postings), n_docs)
 
 
 def build_index(
@@ -102,8 +109,11 @@ def build_index(
     if vocabulary is not None:
         return _partial_index(tokens, vocabulary, stem, df.count())
     if stem:
-        counted = tokens.groupBy("lang", "token", "doc_id").agg(F.count("*").alias("tf"))
-        stemmed = apply_stems(counted, stem_vocabulary(tokens))
+        # Counted once and written, so that the text is read once: dictionary and postings use it.
+        counted = materialize(
+            tokens.groupBy("lang", "token", "doc_id").agg(F.count("*").alias("tf")), "counted"
+        )
+        stemmed = apply_stems(counted, stem_vocabulary(counted))
         postings = stemmed.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
     else:
         postings = term_frequencies(tokens.select("doc_id", F.col("token").alias("term")))
@@ -138,16 +148,15 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     A list longer than one block goes over several lines, each with the term's
     full document frequency.
     """
+    postings = materialize(postings, "postings")
     lists = posting_lists(postings, span)
     pairs = F.transform(
         "postings",
         lambda p: F.concat(F.lit("("), p["doc_id"], F.lit(", "), p["tf"], F.lit(")")),
     )
     listed = lists.select("term", "block", F.concat_ws(", ", pairs).alias("pairs"))
-    # Measuring the frequencies would count the postings once more.
     whole = lookup_join(
-        listed, document_frequencies(postings), ["term"], salt_by=["block"],
-        broadcast=False, salts=8,
+        listed, materialize(document_frequencies(postings), "frequencies"), ["term"], salt_by=["block"]
     )
     return whole.select(
         "term", "block",
@@ -157,12 +166,15 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
 
 # The shape of one index line and of its list, pairs put as '#'.
 LINE = r"^(.+?) \(DF: (\d+)\): (.+)$"
-PAIR = r"\(\d+, \d+\)"
+PAIR = r"\((-?\d+), (\d+)\)"
 PAIRS = "^#(?:, #)*$"
 
 
 def parse_postings(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Rows ``(term, df, doc_id, tf)``; a malformed line is an error naming it."""
+    """Rows ``(term, df, doc_id, tf)``; a malformed line is an error naming it.
+
+    Ids may be negative or have leading zeros; a number beyond 64 bits is an error.
+    """
     parts = lines.select(F.trim(F.col(line_col)).alias("_line")).select(
         "_line",
         F.regexp_extract("_line", LINE, 1).alias("term"),
@@ -172,12 +184,18 @@ def parse_postings(lines: DataFrame, line_col: str = "line") -> DataFrame:
     malformed = F.raise_error(
         F.concat(F.lit("malformed index line: "), F.coalesce("_line", F.lit("null")))
     )
-    # A well-formed list turns into one of two-element JSON arrays.
-    pairs = F.from_json(
-        F.concat(F.lit("["), F.translate("_pairs", "()", "[]"), F.lit("]")), "array<array<bigint>>"
+
+    def numbers(group: int):
+        found = F.regexp_extract_all("_pairs", F.lit(PAIR), F.lit(group))
+        return F.transform(found, lambda x: x.try_cast("bigint"))
+
+    df = F.col("_df").try_cast("bigint")
+    pairs = F.arrays_zip(numbers(1).alias("doc_id"), numbers(2).alias("tf"))
+    small = df.isNotNull() & ~F.exists(
+        pairs, lambda p: p["doc_id"].isNull() | p["tf"].isNull()
+    )
+    valid = F.regexp_replace("_pairs", PAIR, "#").rlike(PAIRS) & small
+    checked = F.when(valid, pairs).otherwise(malformed.cast("array<struct<doc_id:bigint,tf:bigint>>"))
+    return parts.select("term", df.alias("df"), F.explode(checked).alias("_pair")).select(
+        "term", "df", "_pair.doc_id", "_pair.tf"
     )
-    valid = F.regexp_replace("_pairs", PAIR, "#").rlike(PAIRS)
-    checked = F.when(valid, pairs).otherwise(malformed.cast("array<array<bigint>>"))
-    return parts.select(
-        "term", F.col("_df").cast("long").alias("df"), F.explode(checked).alias("_pair")
-    ).select("term", "df", F.col("_pair")[0].alias("doc_id"), F.col("_pair")[1].alias("tf"))

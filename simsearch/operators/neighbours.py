@@ -1,4 +1,8 @@
-"""Exact nearest neighbours, range search and distances."""
+"""Exact nearest neighbours, range search and distances.
+
+A vector or query with a null, NaN or infinite element is at no distance from
+anything: it is in no answer, and takes no other vector with it.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ from simsearch.operators.blocks import (
     candidates,
     check_width,
     exact_distances,
+    lengths,
     query_slices,
     run_blocks,
     squared_distances,
@@ -55,8 +60,7 @@ def _within(radius: float | None):
                 near_q, near_v = np.nonzero(squares <= limit[rows, None] ** 2 + 2 * error)
                 for part in query_slices(len(near_q), vectors.shape[1]):
                     q, v = near_q[part] + rows.start, near_v[part]
-                    gap = vectors[v] - points[q]
-                    distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                    distance = lengths(vectors[v] - points[q])
                     kept = distance <= limit[q]
                     if kept.any():
                         yield [qids[q[kept]], ids[v[kept]], distance[kept]]

@@ -19,8 +19,10 @@ UNKNOWN = "Unknown"
 
 # Query terms put into the scan as literals; see ``narrow``.
 LITERAL_TERMS = 1000
-# Pairs of query and posting that one task of ``score`` adds up.
+# Pairs of query and posting that one task of ``score`` adds up, and the most tasks: beyond
+# that the aggregate of a task spills instead.
 TASK_PAIRS = 500_000
+MOST_TASKS = 20_000
 
 
 def narrow(index: Index, terms: DataFrame, most: int = LITERAL_TERMS) -> Index:
@@ -93,7 +95,7 @@ def _tasks(weights: DataFrame) -> int:
     """
     pairs = weights.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
     session = weights.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return max(int(session), math.ceil(pairs / TASK_PAIRS))
+    return max(int(session), min(MOST_TASKS, math.ceil(pairs / TASK_PAIRS)))
 
 
 def score(
@@ -168,10 +170,11 @@ def search_top_k(
     """
     if query_terms is None:
         query_terms = analyze_queries(queries, lang, stem, clean)
+    query_terms = materialize(query_terms, "query")
     index = narrow(index, query_terms)
     # A weighted row is no wider than a few numbers more than a query term.
     small = fits_broadcast(query_terms)
-    weights = query_weights(index, query_terms, broadcast=small)
+    weights = materialize(query_weights(index, query_terms, broadcast=small), "weights")
     best = top_k(score(index, weights, small, query_terms), k)
     return best.select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
 
@@ -198,8 +201,8 @@ def attach_metadata(
     )
     if small:
         ids = hits.select("doc_id").distinct()
-        kept = kept.join(F.broadcast(ids), "doc_id", "left_semi")
-        joined = hits.join(F.broadcast(kept), "doc_id", "left")
+        kept = materialize(kept.join(F.broadcast(ids), "doc_id", "left_semi"), "shown")
+        joined = lookup_join(hits, kept, ["doc_id"], "left")
     else:
         joined = lookup_join(hits, kept, ["doc_id"], "left")
     return joined.select(
@@ -228,13 +231,16 @@ def liketo(
     id_col: str = "doc_id",
     lang_col: str | None = "lang",
     metadata: dict[str, str] | None = None,
+    index: Index | None = None,
 ) -> DataFrame:
     """``SELECT columns FROM table WHERE field LIKETO text LIMIT limit``.
 
     Ranks the rows of ``table`` by their ``field``. ``metadata`` maps the shown
     names to columns of the table; a shown column without one reads 'Unknown'.
+    With a (stored) ``index`` of the field the table is read only to show the
+    hits; ``stem`` must say how that index was built.
     """
-    if field not in table.columns:
+    if field not in table.columns and index is None:
         raise ValueError(f"unknown field: {field}")
     wanted = ALL_COLUMNS if columns == "*" else list(columns)
     unknown = [c for c in wanted if c not in ALL_COLUMNS]
@@ -243,11 +249,15 @@ def liketo(
     mapping = SONG_COLUMNS if metadata is None else metadata
     mapping = {name: source for name, source in mapping.items() if source in table.columns}
     one = table.sparkSession.createDataFrame([(0, text)], "qid long, text string")
-    terms = analyze_queries(one, lang, stem)
-    index = build_index(table, id_col, [field], lang_col, stem, vocabulary=terms)
+    terms = materialize(analyze_queries(one, lang, stem), "query")
+    if index is None:
+        index = build_index(table, id_col, [field], lang_col, stem, vocabulary=terms)
+    else:
+        index = narrow(index, terms)
     # One text is as small as the argument it was passed in.
-    weights = query_weights(index, terms, broadcast=True)
+    weights = materialize(query_weights(index, terms, broadcast=True), "weights")
     hits = top_k(score(index, weights, True, terms).select("doc_id", "similarity"), limit, by=None)
+    hits = materialize(hits, "hits")
     shown = attach_metadata(hits, table, mapping, id_col, small=True)
     for name in ALL_COLUMNS:
         if name not in shown.columns:
@@ -256,25 +266,34 @@ def liketo(
 
 
 def match_any(
-    df: DataFrame,
+    df: DataFrame | None,
     field: str,
     queries: DataFrame,
     limit: int | None = None,
     id_col: str = "doc_id",
     stem: bool = True,
+    index: Index | None = None,
 ) -> DataFrame:
     """Rows ``(qid, doc_id)``: documents holding any word of the query.
 
     Both sides are normalised as English, whatever the documents' language. With
-    ``limit`` each query keeps its first documents by id.
+    ``limit`` each query keeps its first documents by id. With a (stored)
+    ``index`` of the field, built without a language column and stemmed as
+    ``stem`` says, its postings are read and no document is.
     """
     terms = analyze_queries(queries, "en", stem, clean=True).select("qid", "term")
-    tokens = analyze_documents(df, id_col, [field], None, stem)
-    matches = lookup_join(tokens, terms, ["term"], salt_by=["doc_id"])
-    found = matches.select("qid", "doc_id").distinct()
+    terms = materialize(terms, "query")
+    if index is None:
+        tokens = analyze_documents(df, id_col, [field], None, stem)
+        # Words nobody asks for go first, and a word counts once for a document.
+        asked = lookup_join(tokens, terms.select("term").distinct(), ["term"], "left_semi")
+        held = asked.select("doc_id", "term").distinct()
+    else:
+        held = narrow(index, terms).postings.select("doc_id", "term")
+    found = lookup_join(held, terms, ["term"], salt_by=["doc_id"]).select("qid", "doc_id")
     if limit is None:
-        return found
-    return top_k(found, limit, order=[F.col("doc_id").asc()]).select("qid", "doc_id")
+        return found.distinct()
+    return top_k(found.distinct(), limit, order=[F.col("doc_id").asc()]).select("qid", "doc_id")
 
 
 def with_corpus(

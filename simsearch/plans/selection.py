@@ -12,14 +12,16 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from simsearch.plans.storage import materialize
 
 # Rows one task may order within a range.
 RANGE_ROWS = 1_000_000
-MAX_RANGES = 10_000
 
 
 def _ranges(rows: int) -> int:
-    return max(1, min(MAX_RANGES, math.ceil(rows / RANGE_ROWS)))
+    return max(1, math.ceil(rows / RANGE_ROWS))
 
 
 def cut_ranges(df: DataFrame, column: str, ranges: int, out: str = "_range") -> DataFrame:
@@ -77,36 +79,78 @@ def order_statistics(
     return [at[r] for r in ranks]
 
 
+def _total_order(df: DataFrame, order: list) -> list:
+    """``order``, and a hash of the whole row for what is equal in it."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return [*[F.col(c) if isinstance(c, str) else c for c in order], F.xxhash64(*plain)]
+
+
 def number_rows(
     df: DataFrame, key: str, order: list[str], out: str, ranges: int | None = None
 ) -> DataFrame:
-    """Zero-based position of every row within its ``key``, in ``order``.
+    """Zero-based position of every row within its ``key``, in ``order`` (nulls first).
 
-    A key that holds many rows is cut along the first order column, so no task
-    orders more than one range of it.
+    Rows with a null key are a key of their own. The whole order, ties broken by a
+    hash of the row, is cut into ranges of equal size whatever its types, so no
+    task orders more than one range and a key may span any number of them.
     """
     if ranges is None:
         ranges = _ranges(df.count())
+    rows = df.withColumn("_tie", _total_order(df, [])[0])
+    full = [*order, "_tie"]
     if ranges == 1:
-        within = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(out, (F.row_number().over(within) - 1).cast("long"))
-    lead = F.col(order[0])
-    if dict(df.dtypes)[order[0]].startswith("timestamp"):
-        lead = F.unix_micros(lead)
-    lead = F.coalesce(lead.cast("double"), F.lit(-math.inf))
-    ranked = cut_ranges(df.withColumn("_lead", lead), "_lead", ranges)
-    before = Window.partitionBy(key).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
+        within = Window.partitionBy(key).orderBy(*full)
+        return rows.withColumn(out, (F.row_number().over(within) - 1).cast("long")).drop("_tie")
+    ranged = materialize(
+        rows.repartitionByRange(ranges, key, *full).withColumn("_range", F.spark_partition_id()),
+        "ranged",
     )
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ranked.groupBy(key, "_range").agg(F.count("*").alias("_n"))
+        ranged.groupBy(key, "_range").agg(F.count("*").alias("_n"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+        .select(F.col(key).alias("_key"), F.col("_range").alias("_own"), "_start")
     )
-    within = Window.partitionBy(key, "_range").orderBy(*order)
+    within = Window.partitionBy(key, "_range").orderBy(*full)
     return (
-        ranked.withColumn("_row", F.row_number().over(within) - 1)
-        .join(starts, [key, "_range"])
+        ranged.withColumn("_row", F.row_number().over(within) - 1)
+        .join(starts, (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_range") == F.col("_own")))
         .withColumn(out, (F.col("_start") + F.col("_row")).cast("long"))
-        .drop("_lead", "_range", "_start", "_row")
+        .drop("_tie", "_range", "_start", "_row", "_key", "_own")
+    )
+
+
+def first_rows(df: DataFrame, order: list[str], n: int, at_once: int) -> DataFrame:
+    """The n rows that come first in ``order`` (nulls first), ties broken by a hash of the row.
+
+    Up to ``at_once`` rows are a sorted limit. More are found by cutting the order
+    into ranges: all before one range belong to the answer, and the row at which
+    that one is cut bounds it. Both ways give the same rows.
+    """
+    tie = _total_order(df, [])[0]
+    if n <= at_once:
+        return df.orderBy(*order, tie).limit(n)
+    keys = df.select(*order, tie.alias("_tie"))
+    full = [*order, "_tie"]
+    ranged = materialize(
+        keys.repartitionByRange(*full).withColumn("_range", F.spark_partition_id()), "ranged"
+    )
+    before, home = 0, None
+    for row in sorted(ranged.groupBy("_range").count().collect()):
+        if before + row["count"] >= n:
+            home = row["_range"]
+            break
+        before += row["count"]
+    if home is None:
+        return df
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*full))
+    bound = (
+        ranged.where(F.col("_range") == home).withColumn("_row", within)
+        .where(F.col("_row") == n - before).select(F.struct(*full).alias("_bound"))
     )
+    ahead = F.struct(*[F.col(c) for c in order], tie.alias("_tie"))
+    marked = df.withColumn("_at", ahead).join(F.broadcast(bound))  # one row
+    less = marked.where(F.col("_at") < F.col("_bound")).drop("_at", "_bound")
+    # Rows equal in everything may stand on both sides of the cut.
+    equal = marked.where(F.col("_at") == F.col("_bound")).drop("_at", "_bound")
+    return less.unionByName(equal.limit(n - less.count()))

@@ -33,12 +33,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``materialize`` or ``new_table_path`` has placed; others are left alone."""
+    if not path.startswith(shared_folder(spark).rstrip("/") + "/"):
+        raise ValueError(f"not a table between jobs: {path}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def balanced(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of fewer files than the cluster has cores.
+    """Spread a scan of fewer splits than the cluster has cores.
 
-    A corpus of many files comes back unchanged; a file or two would otherwise
+    A corpus of many splits comes back unchanged; a file or two would otherwise
     leave heavy per-row work to a few tasks.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    # Counted in the JVM: the names of a large table's files stay there.
-    return df.repartition(key) if len(df._jdf.inputFiles()) < cores else df
+    return df.repartition(key) if df.rdd.getNumPartitions() < cores else df

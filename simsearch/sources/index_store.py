@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simsearch.operators.index import Index, term_statistics
-from simsearch.plans.storage import materialize
+from simsearch.plans.storage import discard, new_table_path
 
 POSTINGS = T.StructType(
     [
@@ -41,7 +41,9 @@ def write_index(
     first and the documents are analysed once.
     """
     spark = index.postings.sparkSession
-    postings = materialize(index.postings.select("term", "doc_id", "tf"), "unsorted")
+    unsorted = new_table_path(spark, "unsorted")
+    index.postings.select("term", "doc_id", "tf").write.parquet(unsorted)
+    postings = spark.read.schema(POSTINGS).parquet(unsorted)
     keys = ["term", "doc_id"]
     ranged = (
         postings.repartitionByRange(partitions, *keys)
@@ -57,6 +59,8 @@ def write_index(
         terms.repartitionByRange("term").sortWithinPartitions("term")
         .write.mode(mode).option("maxRecordsPerFile", block_rows).parquet(f"{path}/terms")
     )
+    discard(spark, unsorted)
+    # Last: an index without its count of documents is not one, and is not read.
     meta = spark.range(1).select(F.lit(index.n_docs).cast("long").alias("n_docs"))
     meta.write.mode(mode).parquet(f"{path}/meta")
 

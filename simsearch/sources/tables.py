@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simsearch.plans.selection import order_statistics
+from simsearch.plans.selection import first_rows
 
 # The columns of the song and track files.
 SONGS = T.StructType(
@@ -32,7 +32,7 @@ TRACKS = T.StructType(
     ]
 )
 
-# Rows a sorted limit may bring together; longer slices are cut by an id bound.
+# Rows a sorted limit may bring together; longer slices are cut at a bound.
 SLICE_ROWS = 10_000
 
 
@@ -64,14 +64,10 @@ def read_tracks(
     return _read(spark, path, schema).withColumn(id_col, F.col(id_col).cast("long"))
 
 
-def corpus_slice(df: DataFrame, n: int, id_col: str = "doc_id") -> DataFrame:
-    """The n rows with the smallest ids."""
+def corpus_slice(
+    df: DataFrame, n: int, id_col: str = "doc_id", at_once: int = SLICE_ROWS
+) -> DataFrame:
+    """The n rows with the smallest ids, null ids first; exactly n if there are as many."""
     if n <= 0:
         raise ValueError("n must be positive")
-    if n <= SLICE_ROWS:
-        return df.orderBy(id_col).limit(n)
-    rows = df.count()
-    if n >= rows:
-        return df
-    bound = order_statistics(df, id_col, [n - 1])[0]
-    return df.where(F.col(id_col) <= F.lit(int(bound)))
+    return first_rows(df, [id_col], n, at_once)

@@ -189,7 +189,7 @@ def oracles() -> dict[str, str]:
     ),
     found AS (SELECT DISTINCT q.qid, k.doc_id FROM q JOIN kept k USING (term))"""
     percentiles = ", ".join(f"({p}.0::DOUBLE)" for p in (10, 30, 50, 70, 90))
-    return {
+    found = {
         "src_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "src_tracks": "SELECT * FROM part",
         "corpus_slice": (
@@ -352,3 +352,29 @@ def oracles() -> dict[str, str]:
             (length(html) - length(replace(html, '<', '')))::BIGINT AS n_tags,
             (length(html) - length(replace(html, chr(10), '')))::BIGINT AS n_lines FROM pages""",
     }
+    found["corpus_slice_cut"] = found["corpus_slice"]
+    found["liketo_stored"] = found["liketo"]
+    found["match_any_stored"] = found["match_any_limit"]
+    found["range_pca_full"] = found["range_search"]
+    found["zero_crossings_cut"] = found["zero_crossings"]
+    centred = f"""{_FLAT},
+        pooled AS (SELECT coef, avg(value) AS m FROM flat GROUP BY coef),
+        c AS (SELECT vec_id, coef, value - m AS x FROM flat JOIN pooled USING (coef))"""
+    found["pca_norms"] = f"""WITH {centred}
+        SELECT vec_id, {_r('sum(x * x)')} AS norm FROM c GROUP BY vec_id"""
+    found["pca_moments"] = f"""WITH {centred},
+        cov AS (SELECT a.coef AS i, b.coef AS j, sum(a.x * b.x) AS v
+                FROM c a JOIN c b USING (vec_id) GROUP BY ALL),
+        squared AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM cov a JOIN cov b ON a.j = b.i GROUP BY ALL),
+        t AS (SELECT sum(v) AS t FROM cov WHERE i = j)
+        SELECT 1.0::DOUBLE AS first,
+               {_r('(SELECT sum(v * v) FROM cov) / t ^ 2')} AS second,
+               {_r('(SELECT sum(s.v * c.v) FROM squared s JOIN cov c ON s.i = c.j AND s.j = c.i) / t ^ 3')} AS third
+        FROM t"""
+    found["components_kept"] = f"""WITH {_FLAT},
+        v AS (SELECT coef, var_pop(value) AS v FROM flat GROUP BY coef),
+        r AS (SELECT row_number() OVER o AS component,
+                     sum(v) OVER o / sum(v) OVER () AS cumulative FROM v
+              WINDOW o AS (ORDER BY v DESC, coef))
+        SELECT min(component) AS components FROM r WHERE cumulative >= 0.5"""
+    return found

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from simsearch.operators import reduction, search
 from simsearch.plans.joins import lookup_join
 from simsearch.plans.selection import number_rows
 from simsearch.plans.storage import new_table_path
-from simsearch.sources import index_store, media, tables
+from simsearch.sources import index_store, tables
 from simsearch.sources import vectors as vector_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,12 +67,12 @@ def centroid(spark, sf_dir, by: list[str]) -> DataFrame:
     return lists.select(qid.alias("qid"), "q")
 
 
-def signals(spark, sf_dir) -> DataFrame:
+def signals(spark, sf_dir, ranges: int | None = None) -> DataFrame:
     """One signal per user: event values about the user's mean, in time order."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     means = events.groupBy("user_id").agg(F.avg("value").alias("mean"))
     centred = lookup_join(events, means, ["user_id"], salt_by=["event_id"])
-    placed = number_rows(centred, "user_id", ["ts", "event_id"], "pos")
+    placed = number_rows(centred, "user_id", ["ts", "event_id"], "pos", ranges)
     return placed.select(
         F.col("user_id").alias("signal_id"), "pos", (F.col("value") - F.col("mean")).alias("value")
     )
@@ -111,6 +111,12 @@ def corpus_slice(spark, sf_dir):
     return tables.corpus_slice(documents(spark, sf_dir), CORPUS).select("doc_id", "lang", "n_chars")
 
 
+def corpus_slice_cut(spark, sf_dir):
+    """The same slice, found by cutting the order into ranges as a long one is."""
+    cut = tables.corpus_slice(documents(spark, sf_dir), CORPUS, at_once=0)
+    return cut.select("doc_id", "lang", "n_chars")
+
+
 def _long_vectors(df: DataFrame) -> DataFrame:
     return features.coefficients(df, "embedding", ["vec_id", "label"])
 
@@ -125,10 +131,6 @@ def write_vectors(spark, sf_dir):
     return _long_vectors(vector_files.read_vectors(spark, path))
 
 
-def media_catalog(spark, sf_dir):
-    return media.media_catalog(spark, sf_dir, [".parquet"])
-
-
 def index_roundtrip(spark, sf_dir):
     path = new_table_path(spark, "index")
     index_store.write_index(plain_index(spark, sf_dir), path)
@@ -316,6 +318,27 @@ def liketo(spark, sf_dir):
     return rounded(hits, "similarity")
 
 
+def _stored(spark, sf_dir, lang_col: str | None):
+    path = new_table_path(spark, "index")
+    built = index.build_index(documents(spark, sf_dir), lang_col=lang_col, stem=False)
+    index_store.write_index(built, path)
+    return index_store.read_index(spark, path)
+
+
+def liketo_stored(spark, sf_dir):
+    hits = search.liketo(
+        documents(spark, sf_dir), "text", LIKE_TEXT, stem=False,
+        metadata={"title": "source", "artist": "lang"}, index=_stored(spark, sf_dir, "lang"),
+    )
+    return rounded(hits, "similarity")
+
+
+def match_any_stored(spark, sf_dir):
+    return search.match_any(
+        None, "text", text_queries(spark, sf_dir), K, stem=False, index=_stored(spark, sf_dir, None)
+    )
+
+
 def match_any(spark, sf_dir):
     return search.match_any(
         documents(spark, sf_dir), "text", text_queries(spark, sf_dir), stem=False
@@ -434,6 +457,52 @@ def pca_components(spark, sf_dir):
     return reduction.choose_components(reduction.explained_variance(embeddings(spark, sf_dir)))
 
 
+def pca_norms(spark, sf_dir):
+    """Squared lengths of the projections at full rank: squared distances to the mean."""
+    rows = embeddings(spark, sf_dir)
+    reduced = reduction.reduce_vectors(reduction.fit_pca(rows), rows)
+    flat = features.coefficients(reduced, "embedding", ["vec_id"])
+    norms = flat.groupBy("vec_id").agg(F.sum(F.col("value") * F.col("value")).alias("norm"))
+    return rounded(norms, "norm")
+
+
+def pca_moments(spark, sf_dir):
+    """Power sums of the variance shares, which are traces of powers of the covariance."""
+    ratio = F.col("ratio")
+    shares = reduction.explained_variance(embeddings(spark, sf_dir)).agg(
+        F.sum(ratio).alias("first"), F.sum(ratio * ratio).alias("second"),
+        F.sum(ratio * ratio * ratio).alias("third"),
+    )
+    return rounded(shares, "first", "second", "third")
+
+
+def components_kept(spark, sf_dir):
+    """How many coefficients, by falling variance, keep half of it."""
+    stats = features.coefficient_stats(embeddings(spark, sf_dir))
+    spread = stats.select("coef", (F.col("std") * F.col("std")).alias("v"))
+    order = Window.orderBy(F.col("v").desc(), "coef")  # one row per coefficient
+    ranked = spread.withColumns({
+        "component": F.row_number().over(order).cast("long"),
+        "cumulative": F.sum("v").over(order) / F.sum("v").over(Window.partitionBy()),
+    })
+    return reduction.choose_components(ranked, 0.5)
+
+
+def range_pca_full(spark, sf_dir):
+    rows = embeddings(spark, sf_dir)
+    model = reduction.fit_pca(rows)
+    found = neighbours.range_search(
+        reduction.reduce_vectors(model, rows),
+        reduction.reduce_queries(model, vector_queries(spark, sf_dir)), RADIUS,
+    )
+    return rounded(found, "distance")
+
+
+def zero_crossings_cut(spark, sf_dir):
+    """Crossings of signals whose rows were numbered in several ranges, as long ones are."""
+    return features.zero_crossings(signals(spark, sf_dir, ranges=5))
+
+
 def _knn_reduced(spark, sf_dir, n):
     rows = embeddings(spark, sf_dir)
     model = reduction.fit_pca(rows, n)
@@ -497,19 +566,22 @@ def extract_features(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        src_documents, src_tracks, corpus_slice, read_vectors, write_vectors, media_catalog,
+        src_documents, src_tracks, corpus_slice, corpus_slice_cut, read_vectors, write_vectors,
         index_roundtrip, postings_text, postings_parse,
         text_concat, text_clean, lang_resolve, tokens, tokens_nostop, tokens_stemmed,
         analyze_docs, analyze_docs_stemmed, query_terms,
         term_freq, doc_freq, posting_lists, index_sorted, index_merge, index_build,
         index_build_stemmed,
         term_lookup, idf, query_weights, doc_weights, dot_scores, cosine_scores, text_topk,
-        search_topk, search_topk_stemmed, hits_metadata, liketo, match_any, match_any_limit,
+        search_topk, search_topk_stemmed, hits_metadata, liketo, liketo_stored,
+        match_any, match_any_limit, match_any_stored,
         search_by_corpus,
         knn_exact, range_search, knn_ties, lsh_signature, hamming_topk, knn_lsh,
         knn_lsh_stored, distances, distance_percentiles, distance_hist, hits_tracks,
-        pca_project, pca_variance, pca_components, knn_pca, knn_pca_full,
-        mean_pool, coef_stats, minmax, zero_crossings, rms_frames, shape_profile,
+        pca_project, pca_variance, pca_components, pca_norms, pca_moments, components_kept,
+        knn_pca, knn_pca_full, range_pca_full,
+        mean_pool, coef_stats, minmax, zero_crossings, zero_crossings_cut,
+        rms_frames, shape_profile,
         extract_features,
     )
 }
