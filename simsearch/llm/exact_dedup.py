@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsearch.llm.rows import KEY, attach, with_key
+from simsearch.llm.rows import KEY, one_of_twins, with_key, without
 from simsearch.llm.texts import IS_SPACE, pieces, utf8
 from simsearch.plans.storage import materialize
 
@@ -118,7 +118,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     Returns doc_id, keep_id, group_size, kept, text_sha256 and the row key.
     An empty table gives no rows.
     """
-    texts = with_key(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    texts = with_key(docs.select("doc_id", "text"))
     seed = verified_seed(texts.select("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     facts = texts.mapInArrow(
@@ -153,15 +153,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep; twins count as one row."""
-    groups = exact_groups(docs)
-    dropped = groups.groupBy(*KEY).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    dropped = materialize(dropped.where("not kept or n > 1"), "dropped")
-    twins = dropped.where("kept").select(*KEY)
-    keyed = with_key(docs)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    rest = attach(keyed, dropped.select(*KEY), KEY, "left_anti").select(*names)
-    if twins.isEmpty():
-        return rest
-    single = keyed.join(twins, KEY, "left_semi").dropDuplicates(KEY).select(*names)
-    return rest.unionByName(single)
-
+    groups = exact_groups(docs).groupBy(*KEY).agg(
+        F.max("kept").alias("kept"), F.count("*").alias("n")
+    )
+    groups = materialize(groups.where("not kept or n > 1"), "decisions")
+    rest = without(docs, groups.where("not kept"))
+    return one_of_twins(rest, groups.where("kept").select(*KEY))

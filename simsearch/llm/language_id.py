@@ -206,6 +206,8 @@ def keep_known(
 
     All columns stay as they are, whatever their names; only ``text`` is looked at.
     """
+    if not profiles:  # nothing learnt: whatever has letters stays
+        profiles = {"": np.zeros(DIMENSIONS)}
     names, table = _ordered(profiles)
     wanted = None if accepted is None else frozenset(accepted)
     return docs.mapInArrow(_known(names, table, seed, wanted), docs.schema)

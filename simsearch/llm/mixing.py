@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsearch.llm.rows import attach, running, with_key
+from simsearch.llm.rows import attach, packed, running, with_key
 from simsearch.plans.storage import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -232,13 +232,16 @@ def mix(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as drawn, by shard in random order."""
+    """The mix itself: rows of ``docs``, each as often as drawn, by shard in random order.
+
+    Adds ``shard`` and ``place``, which take the place of columns of those names.
+    """
     _, taken = mix(docs, seed)
     taken = materialize(taken, "taken")
-    names = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "place")]
-    keyed = with_key(docs, ("doc_id", "text", "source"))
+    names = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("shard", "place")]
+    rows = packed(docs, ("doc_id", "text", "source"))
     return (
-        attach(keyed, taken, ROW, "inner")
-        .select(*names, taken["shard"], taken["place"])
+        attach(rows, taken, ROW, "inner")
+        .select(*names, "shard", "place")
         .repartition("shard").sortWithinPartitions("shard", "place")
     )

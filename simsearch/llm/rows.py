@@ -29,12 +29,24 @@ def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "left") -
     return big.join(F.broadcast(small) if fits_broadcast(small) else small, on, how)
 
 
+def packed(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """Whole rows as one struct ``_row`` beside their key, so no column can clash with ours."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *columns)
+    return with_key(keyed, columns).select("_row", *KEY)
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose key is not among ``rejected``; all columns stay as they are."""
-    keyed = with_key(docs)
-    return attach(keyed, rejected.select(*KEY).distinct(), KEY, "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    return attach(packed(docs), rejected.select(*KEY).distinct(), KEY, "left_anti").select("_row.*")
+
+
+def one_of_twins(docs: DataFrame, twins: DataFrame) -> DataFrame:
+    """``docs`` with a single row for each key in ``twins``; other rows stay as they are."""
+    if twins.isEmpty():
+        return docs
+    rows = packed(docs)
+    single = attach(rows, twins, KEY, "left_semi").dropDuplicates(KEY)
+    return attach(rows, twins, KEY, "left_anti").unionByName(single).select("_row.*")
 
 
 def running(df: DataFrame, order: list, sums: dict[str, str]) -> DataFrame:
