@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from simsearch.llm import sketch
 from simsearch.llm.components import contract
-from simsearch.llm.rows import KEY, attach, with_key, without
+from simsearch.llm.rows import KEY, attach, one_of_twins, with_key, without
 from simsearch.llm.texts import list_column, pieces
 from simsearch.llm.words import Words, mix
 from simsearch.plans.storage import materialize
@@ -37,7 +37,7 @@ NGRAM, PERCENT = 4, 85
 # Groups of prefix n-grams up to this size are paired out; leaders of larger ones at first.
 PAIRED = 16
 # N-grams of the sets that one task compares with one other set.
-TRIE_SIZE = 2_000_000
+TRIE_SIZE = 1 << 16
 _STEP = 64
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 LINK, NEAR, FAR = 2, 1, 0
@@ -205,12 +205,14 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sized = attach(pairs, weight, ["b"], "inner")
     hubs = sized.groupBy("a").agg(F.ceil(F.sum("w") / TRIE_SIZE).alias("parts"))
     hubs = materialize(hubs.withColumn("parts", F.greatest("parts", F.lit(1))), "hubs")
-    members = (
-        attach(pairs, hubs, ["a"], "inner")
-        .select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("node"))
-        .join(sets, "node").select("a", "part", "node", "n", "grams", F.lit(False).alias("first"))
+    asked = attach(pairs, hubs, ["a"], "inner").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("node")
     )
-    own = sets.withColumnRenamed("node", "a").join(hubs, "a").select(
+    # Few sets are asked for, as a rule: these joins leave the others where they lie.
+    members = attach(sets, asked, ["node"], "inner").select(
+        "a", "part", "node", "n", "grams", F.lit(False).alias("first")
+    )
+    own = attach(sets.withColumnRenamed("node", "a"), hubs, ["a"], "inner").select(
         "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
         F.col("a").alias("node"), "n", "grams", F.lit(True).alias("first"),
     )
@@ -224,12 +226,17 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(judged, "judged")
 
 
-def _length_fits(percent: int):
-    return (F.least("n", "n2") * 100) >= (F.greatest("n", "n2") * percent)
+def _may_link(percent: int):
+    """Whether sets of n and n2 n-grams can be linked if these are the first they have in common.
+
+    ``place`` and ``place2`` count what comes before in the global order, unique n-grams included.
+    """
+    needed = F.ceil((F.col("n") + F.col("n2")) * percent / (100 + percent))
+    return (F.col("n") - F.col("place") >= needed) & (F.col("n2") - F.col("place2") >= needed)
 
 
 def similar_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """Every row with its set's size and its component: doc_id, n_shingles, component_id, row key.
+    """Every row with its set's size and its component: doc_id, n_shingles, component_id.
 
     Reads ``doc_id, text``; other columns are ignored. Words are in lower case
     (A-Z). Two rows are linked if 100 times the intersection of their sets of
@@ -237,9 +244,9 @@ def similar_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT)
     the smallest doc_id that links reach. A row with fewer words than ``n`` has
     its whole sequence as set; without words its set is empty and it is linked
     to nothing. Repeated rows are linked. A null doc_id counts as the largest.
-    An empty table gives no rows.
+    An empty table gives no rows. Also returned: the row key and ``component``, a
+    number per component (null for empty sets) that does without ids.
     """
-    spark = docs.sparkSession
     texts = with_key(docs.select("doc_id", "text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     facts = materialize(
@@ -261,13 +268,14 @@ def similar_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT)
     roots = attach(classes.select("node", "least"), labels, ["node"], "inner")
     roots = materialize(
         attach(roots, roots.groupBy("comp").agg(F.min("least").alias("root")), ["comp"], "inner")
-        .select("node", "root"),
+        .select("node", "root", "comp"),
         "roots",
     )
     found = facts.join(classes.select(*same, "node", "least"), same, "left")
     return attach(found, roots, ["node"]).select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("root", "least", "doc_id").alias("component_id"), *KEY,
+        F.coalesce("root", "least", "doc_id").alias("component_id"),
+        F.coalesce("comp", "node").alias("component"), *KEY,
     )
 
 
@@ -291,15 +299,17 @@ def _candidates(texts, facts, classes, n: int, percent: int) -> DataFrame:
     if not kept.groupBy(*KEY).count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(KEY)
     names = classes.select(F.col("one._k1").alias("_k1"), F.col("one._k2").alias("_k2"), "node")
-    kept = materialize(attach(names, kept, KEY, "inner").select("node", "n", "grams"), "kept")
+    names = materialize(attach(names, kept.select(*KEY), KEY, "left_semi"), "names")
+    kept = materialize(attach(kept, names, KEY, "inner").select("node", "n", "grams"), "kept")
 
-    held = kept.select("node", "n", F.explode("grams").alias("gram"))
+    held = kept.select("node", F.explode("grams").alias("gram"))
     frequency = materialize(
         held.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"), "frequency"
     )
-    ordered = held.join(frequency, "gram").groupBy("node", "n").agg(
+    ordered = held.join(frequency, "gram").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams")
     )
+    ordered = attach(ordered, kept.select("node", "n"), ["node"], "inner")
     enough = F.size("grams") * 100 >= F.col("n") * percent
     return materialize(ordered.where(enough).select("node", "n", F.col("grams.gram").alias("grams")), "nodes")
 
@@ -309,19 +319,24 @@ def _linked(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     unique = F.col("n") - F.size("grams")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - unique
     members = nodes.select(
-        "node", "n", F.explode(F.slice("grams", F.lit(1), prefix.cast("int"))).alias("gram")
+        "node", "n", unique.alias("unique"), F.posexplode(F.slice("grams", F.lit(1), prefix.cast("int")))
+    ).select("node", "n", "unique", (F.col("unique") + F.col("pos")).alias("place"), F.col("col").alias("gram"))
+    # The set with the fewest n-grams of its own leads: the likeliest origin of the others.
+    groups = members.groupBy("gram").agg(
+        F.count("*").alias("size"), F.min(F.struct("unique", "node", "n", "place")).alias("lead")
     )
-    groups = members.groupBy("gram").agg(F.count("*").alias("size"), F.min("node").alias("lead"))
     members = materialize(
-        members.join(materialize(groups.where("size > 1"), "groups"), "gram"), "members"
+        members.drop("unique").join(materialize(groups.where("size > 1"), "groups"), "gram"), "members"
     )
 
-    small = members.where(F.col("size") <= PAIRED).select("gram", "node", "n")
-    other = small.select("gram", F.col("node").alias("node2"), F.col("n").alias("n2"))
-    pairs = small.join(other, "gram").where(F.col("node") < F.col("node2")).where(_length_fits(percent))
-    led = members.where((F.col("size") > PAIRED) & (F.col("node") != F.col("lead")))
+    small = members.where(F.col("size") <= PAIRED).select("gram", "node", "n", "place")
+    other = small.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "place")])
+    pairs = small.join(other, "gram").where(F.col("node") < F.col("node2")).where(_may_link(percent))
+    led = members.where((F.col("size") > PAIRED) & (F.col("node") != F.col("lead.node"))).withColumns(
+        {"node2": F.col("lead.node"), "n2": F.col("lead.n"), "place2": F.col("lead.place")}
+    ).where(_may_link(percent))
     pairs = pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).unionByName(
-        led.select(F.col("lead").alias("a"), F.col("node").alias("b"))
+        led.select(F.col("node2").alias("a"), F.col("node").alias("b"))
     )
     judged = verify(materialize(pairs.distinct(), "pairs"), nodes, percent)
     labels = contract(labels, judged.where(F.col("state") == LINK))
@@ -332,7 +347,7 @@ def _linked(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     )
     far = judged.where(F.col("state") == FAR).select(F.col("a").alias("hub"), F.col("b").alias("node"))
 
-    large = materialize(members.where(F.col("size") > PAIRED), "large")
+    large = materialize(members.where(F.col("size") > PAIRED).drop("lead"), "large")
     leaders = PAIRED
     while True:
         leaders *= 4
@@ -344,9 +359,10 @@ def _linked(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         named = materialize(named.join(mixed, "gram"), "named")
         leads = F.pmod(F.xxhash64("gram", "node"), F.col("size")) < leaders
         first = named.where(leads).select(
-            "gram", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("n2")
+            "gram", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("n2"),
+            F.col("place").alias("place2"),
         )
-        pairs = attach(named, first, ["gram"], "inner").where("comp <> ca").where(_length_fits(percent))
+        pairs = attach(named, first, ["gram"], "inner").where("comp <> ca").where(_may_link(percent))
         pairs = materialize(
             pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
             "pairs",
@@ -365,18 +381,9 @@ def drop_similar(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> Dat
     All columns stay as they are; rows without words are in no component and stay.
     """
     found = materialize(similar_components(docs, n, percent), "components")
-    found = found.withColumn("_own", F.col("component_id").eqNullSafe(F.col("doc_id")))
-    one = found.where("_own").groupBy("component_id").agg(F.min(F.struct(*KEY)).alias("one"))
-    one = materialize(one, "kept")
-    rest = found.join(one, found["component_id"].eqNullSafe(one["component_id"]), "left").where(
-        "one is null or _k1 <> one._k1 or _k2 <> one._k2"
-    ).where("n_shingles > 0")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)
+    one = materialize(found.groupBy("component").agg(F.min(first).alias("one")), "kept")
+    rest = attach(found, one, ["component"], "inner").where("_k1 <> one._k1 or _k2 <> one._k2")
     kept = without(docs, materialize(rest.select(*KEY), "dropped"))
-    twins = found.where("n_shingles > 0").groupBy(*KEY).count().where("count > 1").select(*KEY)
-    twins = materialize(twins, "twins")
-    if twins.isEmpty():
-        return kept
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = with_key(kept)
-    single = keyed.join(twins, KEY, "left_semi").dropDuplicates(KEY)
-    return without(kept, twins).unionByName(single.select(*names))
+    twins = found.where("n_shingles > 0").groupBy(*KEY).count().where("count > 1")
+    return one_of_twins(kept, materialize(twins.select(*KEY), "twins"))

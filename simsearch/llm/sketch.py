@@ -24,7 +24,7 @@ SLICE_BITS = 20
 MAX_BITS = 28
 PARTS = "slice int, cells binary"
 # Hashes a task holds before it passes them on.
-HELD = 2_000_000
+HELD = 1_000_000
 
 
 def width_bits(items: float, rows: int) -> int:

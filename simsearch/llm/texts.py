@@ -12,7 +12,7 @@ SPACES = b" \t\n\x0b\x0c\r"
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 # Bytes of text worked on at once; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
