@@ -563,13 +563,17 @@ _STEMMERS: dict[str, Callable[[_Words], _Words]] = {
 }
 
 
-# Unresolved expressions by language; making one takes about a second.
-_EXPRESSIONS: dict[tuple[int, str, str], Column] = {}
+# Unresolved expressions by language; making one takes about a second. Those of an
+# application that has ended are of no use and are dropped.
+_EXPRESSIONS: dict[tuple[str, str, str], Column] = {}
 
 
 def _expression(token: str, language: str) -> Column:
-    key = (id(SparkContext._active_spark_context), token, language)
+    application = SparkContext.getOrCreate().applicationId
+    key = (application, token, language)
     if key not in _EXPRESSIONS:
+        for old in [k for k in _EXPRESSIONS if k[0] != application]:
+            del _EXPRESSIONS[old]
         words = _STEMMERS[language](_Words(F.array(F.col(token))))
         _EXPRESSIONS[key] = words.rows[0]["w"]
     return _EXPRESSIONS[key]

@@ -2,8 +2,7 @@
 
 Each task compares the vectors it scans with all queries as one matrix product
 and passes on only what can still be part of the answer. Query tables small
-enough are sent to every task; larger ones are cut into blocks, and each pair
-of a vector block and a query block is one group of a cogrouped job.
+enough are sent to every task; larger ones are sent in chunks, one after the other.
 """
 
 from __future__ import annotations
@@ -16,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsearch.plans.joins import fits_broadcast
+from simsearch.plans.joins import estimated_bytes
+from simsearch.plans.storage import materialize
 
 # Queries sent whole to each task, in bytes, with the k best each of them keeps.
 QUERY_BYTES = 32 * 1024 * 1024
-VECTOR_BLOCK = 50_000
-QUERY_BLOCK = 2_000
+# Chunks that larger query tables are cut into at most; beyond it chunks grow.
+MOST_CHUNKS = 10_000
 # Numbers a task holds at a time while it compares.
 _CELLS = 4_000_000
 
@@ -99,11 +99,12 @@ def run_blocks(
     def output(columns: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    if fits_broadcast(right, query_bytes, per_row=kept * 24):
-        table = right.toArrow()
+    def compare(some: DataFrame) -> DataFrame | None:
+        """The vectors against queries that fit a task; none if no query is usable."""
+        table = some.toArrow()
         block = usable(table.column("qid").to_numpy(), to_matrix(table.column("_q"), dtype))
         if not len(block[0]):
-            return vectors.sparkSession.createDataFrame([], schema)
+            return None
         shared = vectors.sparkSession.sparkContext.broadcast(block)
 
         def scan(batches):
@@ -113,35 +114,22 @@ def run_blocks(
 
         return left.mapInArrow(scan, schema)
 
-    vector_blocks = max(1, math.ceil(left.count() / VECTOR_BLOCK))
-    query_blocks = max(1, math.ceil(right.count() / QUERY_BLOCK))
-
-    def numbered(df: DataFrame, key: str, own: str, blocks: int, other: str, repeats: int):
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-        )
-
-    left = numbered(left, "vec_id", "_vb", vector_blocks, "_qb", query_blocks)
-    right = numbered(right, "qid", "_qb", query_blocks, "_vb", vector_blocks)
-
-    def pair(vector_table: pa.Table, query_table: pa.Table) -> pa.Table:
-        if not vector_table.num_rows or not query_table.num_rows:
-            return pa.table({n: [] for n in names})
-        batch = usable(
-            vector_table.column("vec_id").to_numpy(), to_matrix(vector_table.column("_v"), dtype)
-        )
-        block = usable(
-            query_table.column("qid").to_numpy(), to_matrix(query_table.column("_q"), dtype)
-        )
-        if not len(batch[0]) or not len(block[0]):
-            return pa.table({n: [] for n in names})
-        parts = kernel([batch], *block)
-        found = [output(columns) for columns in parts]
-        return pa.Table.from_batches(found) if found else pa.table({n: [] for n in names})
-
-    return (
-        left.groupBy("_vb", "_qb").cogroup(right.groupBy("_vb", "_qb")).applyInArrow(pair, schema)
+    empty = vectors.sparkSession.createDataFrame([], schema)
+    size = estimated_bytes(right, per_row=kept * 24)
+    if size <= query_bytes:
+        found = compare(right)
+        return empty if found is None else found
+    # More queries are taken chunk by chunk: a scan of the vectors for each, and no shuffle of them.
+    chunks = min(right.count(), math.ceil(size / max(1, query_bytes)), MOST_CHUNKS)
+    numbered = materialize(
+        right.withColumn("_chunk", F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int")), "queries"
     )
+    parts = empty
+    for chunk in range(chunks):
+        found = compare(numbered.where(F.col("_chunk") == chunk).drop("_chunk"))
+        if found is not None:
+            parts = parts.unionByName(materialize(found, "chunk"))
+    return parts
 
 
 class Best:

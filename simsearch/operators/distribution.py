@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simsearch.plans.selection import RANGE_ROWS, order_statistics
+from simsearch.plans.storage import materialize
 
 # The percentiles a search radius is chosen from.
 PERCENTILES = (10, 30, 50, 70, 90)
@@ -22,6 +23,8 @@ def distance_percentiles(
     """Rows ``(percentile, distance)``, interpolated linearly between ranks."""
     if any(not 0 <= p <= 100 for p in percentiles):
         raise ValueError("percentiles must lie in 0..100")
+    # The distances may come out of a long job: once is enough.
+    df = materialize(df.select(column), "distances")
     rows = df.agg(F.count(column)).first()[0]
     shares = [p / 100 for p in percentiles]
     labels = F.array(*[F.lit(float(p)) for p in percentiles])
@@ -47,6 +50,7 @@ def distance_histogram(df: DataFrame, bins: int = 50, column: str = "distance")
     """Rows ``(bin, low, high, n)`` of equal width, the last one closed above."""
     if bins <= 0:
         raise ValueError("bins must be positive")
+    df = materialize(df.select(column), "distances")
     low, high = df.agg(F.min(column), F.max(column)).first()
     spark = df.sparkSession
     if low is None:

@@ -128,7 +128,8 @@ def extract_features(
     """Apply a user's extractor to every payload: rows ``(id, features...)``.
 
     A payload that raises is dropped, or with ``failures`` those rows alone are
-    returned as ``(id, error)``.
+    returned as ``(id, error)``. Large payloads are passed to Python in small batches:
+    the session's ``spark.sql.execution.arrow.maxBytesPerBatch`` bounds them in bytes.
     """
     names = schema.fieldNames()
     out = T.StructType(

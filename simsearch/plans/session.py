@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Vectors pass through Python in batches of this many rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # ... and at most so many bytes, for file payloads and long texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

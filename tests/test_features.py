@@ -72,6 +72,23 @@ def test_positions_of_a_hot_key(spark, ranges):
         assert order == sorted(order)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "timestamp", "double"])
+def test_positions_are_the_same_however_they_are_cut(spark, kind):
+    rows = [(None if i % 5 == 0 else i % 3, i % 4 and i % 11, i) for i in range(120)]
+    at = {"date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("t")),
+          "timestamp": F.timestamp_seconds(F.col("t"))}.get(kind, F.col("t").cast(kind))
+    df = spark.createDataFrame(rows, "k int, t int, e int").select("k", at.alias("t"), "e").repartition(4)
+    for order in (["t", "e"], ["t"]):  # the second leaves ties to the row itself
+        one, many = (sorted(map(str, number_rows(df, "k", order, "pos", n).collect())) for n in (1, 7))
+        assert one == many and len(one) == 120
+
+
+def test_one_moment_for_all(spark):
+    df = spark.range(60).select(F.lit(1).alias("k"), F.lit(None).cast("date").alias("t"), "id")
+    got = number_rows(df, "k", ["t"], "pos", 6)
+    assert sorted(r.pos for r in got.collect()) == list(range(60))
+
+
 def test_extractor_failures_are_set_aside(spark):
     def extractor(text):
         if text == "bad":

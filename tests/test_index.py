@@ -51,6 +51,43 @@ def test_malformed_line_is_named(spark, line):
         index.parse_postings(lines).collect()
 
 
+def test_numbers_of_any_shape_are_read(spark):
+    lines = spark.createDataFrame(
+        [("love (DF: 2): (037156, 2), (1, 1)",), ("night (DF: 1): (-5, 3)",)], "line string")
+    assert tuples(index.parse_postings(lines)) == [
+        ("love", 2, 1, 1), ("love", 2, 37156, 2), ("night", 1, -5, 3)]
+    back = spark.createDataFrame([("a", -9, 2), ("a", 7, 1)], "term string, doc_id long, tf long")
+    assert tuples(index.parse_postings(index.format_postings(back))) == [("a", 2, -9, 2), ("a", 2, 7, 1)]
+
+
+@pytest.mark.parametrize("pair", ["(99999999999999999999, 1)", "(1, 99999999999999999999)"])
+def test_too_large_a_number_names_its_line(spark, pair):
+    lines = spark.createDataFrame([(f"love (DF: 1): {pair}",)], "line string")
+    with pytest.raises(Exception, match="malformed index line: love"):
+        index.parse_postings(lines).collect()
+
+
+def test_merged_parts_may_share_documents(songs):
+    parts = [
+        index.build_index(songs.where(c), lang_col=None, stem=False, stopword_lists={})
+        for c in ("doc_id < 4", "doc_id >= 2")
+    ]
+    assert index.merge_indexes(*parts).n_docs == 5
+
+
+def test_writing_an_index_leaves_no_copy(spark, built, tmp_path):
+    import os
+
+    from simsearch.plans.storage import discard, shared_folder
+
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    write_index(built, str(tmp_path / "idx"))
+    assert set(os.listdir(folder)) == before
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path / "idx"))
+
+
 def test_df_is_list_size_and_tf_adds_up(built):
     sizes = built.postings.groupBy("term").count()
     assert built.terms.join(sizes, "term").where("df <> count").count() == 0

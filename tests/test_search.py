@@ -104,6 +104,25 @@ def test_liketo(spark, songs):
         search.liketo(table, "lyrics", "love")
 
 
+def test_a_stored_index_gives_the_same_answers(spark, songs, tmp_path):
+    from simsearch.operators.index import build_index
+    from simsearch.sources import index_store
+
+    path = str(tmp_path / "idx")
+    index_store.write_index(build_index(songs, lang_col=None), path)
+    stored = index_store.read_index(spark, path)
+    for text in ("love trains", "zebra", ""):
+        plain, held = (
+            search.liketo(songs, "text", text, limit=3, lang="en", lang_col=None, index=i).collect()
+            for i in (None, stored)
+        )
+        assert plain == held
+    queries = ask(spark, "loved nights!", "zebra", "trains")
+    for limit in (None, 2):
+        assert tuples(search.match_any(None, "text", queries, limit, index=stored)) == tuples(
+            search.match_any(songs, "text", queries, limit))
+
+
 def test_match_any(spark, songs):
     queries = ask(spark, "loved nights!", "zebra", "trains")
     assert tuples(search.match_any(songs, "text", queries)) == [

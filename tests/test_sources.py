@@ -23,17 +23,29 @@ def test_track_ids_are_numbers(spark, tmp_path):
     assert tuples(tables.read_tracks(spark, str(path))) == [(37156, "Song", "Ana")]
 
 
-@pytest.mark.parametrize("limit", [10_000, 5])
-def test_slices(spark, monkeypatch, limit):
-    monkeypatch.setattr(tables, "SLICE_ROWS", limit)
+@pytest.mark.parametrize("at_once", [10_000, 0])
+def test_slices(spark, at_once):
     df = spark.range(100).select((F.col("id") * 3).alias("doc_id")).repartition(3)
-    got = tables.corpus_slice(df, 20)
+    got = tables.corpus_slice(df, 20, at_once=at_once)
     assert sorted(r.doc_id for r in got.collect()) == [3 * i for i in range(20)]
-    assert tables.corpus_slice(df, 500).count() == 100
+    assert tables.corpus_slice(df, 500, at_once=at_once).count() == 100
     with pytest.raises(ValueError):
         tables.corpus_slice(df, 0)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "timestamp"])
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 9])
+def test_slices_of_null_and_repeated_ids(spark, kind, n):
+    rows = [(1, "a"), (2, "b"), (2, "c"), (2, "c"), (3, "d"), (None, "e"), (None, "f")]
+    ids = {"bigint": F.col("i"), "string": F.col("i").cast("string"),
+           "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("i")),
+           "timestamp": F.timestamp_seconds(F.col("i"))}[kind]
+    df = spark.createDataFrame(rows, "i int, v string").select(ids.alias("doc_id"), "v").repartition(3)
+    small, cut = (sorted(map(str, tables.corpus_slice(df, n, at_once=a).collect())) for a in (10_000, 0))
+    assert small == cut and len(cut) == min(n, 7)
+    assert sum("None" in r for r in cut) == min(n, 2)
+
+
 def test_vector_files(spark, tmp_path):
     path = str(tmp_path / "v")
     df = spark.range(25).select(

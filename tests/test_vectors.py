@@ -56,6 +56,30 @@ def test_goldens(points, origin):
     assert [r.distance for r in every.orderBy("vec_id").collect()] == [0, 5, 5, 10, 1]
 
 
+BAD = {
+    "nan": [float("nan")] * 12, "null": [None] + [0.0] * 11, "infinite": [float("inf")] + [0.0] * 11,
+    "huge": [3e38] * 12,
+}
+
+
+@PATHS
+@pytest.mark.parametrize("kind", list(BAD))
+def test_a_bad_vector_takes_no_other_with_it(spark, cloud, query_bytes, kind):
+    _, _, df, queries = cloud
+    bad = spark.createDataFrame([(10_000, BAD[kind])], "vec_id long, embedding array<float>")
+    mixed = df.unionByName(bad).coalesce(1)
+    asked = queries.unionByName(bad.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q")))
+    for found in (
+        lambda v, q: neighbours.knn(v, q, 5, query_bytes=query_bytes),
+        lambda v, q: neighbours.range_search(v, q, 4.0, query_bytes=query_bytes),
+        lambda v, q: neighbours.knn_with_ties(v, q, 5, query_bytes=query_bytes),
+    ):
+        good = [r for r in tuples(found(mixed, asked)) if r[0] != 10_000]
+        assert good == tuples(found(df, queries))
+    near = [r for r in tuples(neighbours.distances(mixed, queries)) if r[1] != 10_000]
+    assert near == tuples(neighbours.distances(df, queries))
+
+
 @PATHS
 def test_knn_is_exact(cloud, query_bytes):
     ids, matrix, df, queries = cloud
