@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from simsearch.plans.storage import materialize
+
 # Largest lookup side, in estimated bytes, that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Copies of the lookup side made when a join is shuffled instead; a join key
-# holding any share of the rows is spread over this many tasks.
-SALTS = 32
+# Rows of one join key that a task may get; a key with more is spread over as many
+# tasks as it needs, and only such a key's lookup rows are repeated.
+HOT_ROWS = 5_000_000
 
 _ROW_OVERHEAD = 16
 
@@ -41,6 +43,28 @@ def fits_broadcast(
     return estimated_bytes(df, per_row) <= limit
 
 
+def _salted(big: DataFrame, lookup: DataFrame, on: list[str], by: list[str], hot_rows: int):
+    """Both sides with a salt: 0 for most keys, more for the keys that hold many rows."""
+    counts = big.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = materialize(
+        counts.select(*on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts")), "hot"
+    )
+    spread = F.pmod(F.xxhash64(*by), F.col("_salts")).cast("int")
+    no_key = F.lit(False)
+    for name in on:
+        no_key = no_key | F.col(name).isNull()
+    # Rows without a key meet nothing, wherever they are.
+    alone = F.pmod(F.xxhash64(*by), F.lit(1024)).cast("int")
+    # There is at most one hot key per ``hot_rows`` rows.
+    left = big.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.when(no_key, alone).otherwise(F.coalesce(spread, F.lit(0)))
+    ).drop("_salts")
+    right = lookup.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_salts")
+    return left, right
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -48,14 +72,15 @@ def lookup_join(
     how: str = "inner",
     salt_by: list[str] | None = None,
     broadcast: bool | None = None,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``big`` with ``lookup`` without ever gathering one hot key.
 
     ``broadcast`` says whether the lookup side is small; when it is ``None``
-    the side is measured. A lookup side over the limit is joined by shuffle:
-    ``big`` is spread within each key by a hash of ``salt_by`` (by default all
-    its columns) and the lookup side is repeated once per salt. ``how`` is one
+    the side is measured. A lookup side over the limit is joined by shuffle: keys
+    with more than ``hot_rows`` rows in ``big`` are counted out first and spread by
+    a hash of ``salt_by`` (by default all columns of ``big``), with a copy of their
+    lookup rows for each part; all other keys are joined as they are. ``how`` is one
     of inner, left, left_semi and left_anti, where a repeated lookup row meets
     each row of ``big`` exactly once.
     """
@@ -65,7 +90,6 @@ def lookup_join(
         broadcast = fits_broadcast(lookup)
     if broadcast:
         return big.join(F.broadcast(lookup), on, how)
-    columns = salt_by or big.columns
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    left, right = _salted(big, lookup, on, salt_by or big.columns, hot_rows)
+    # In the column order of an unsalted join.
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
