@@ -184,6 +184,14 @@ def tokens_stemmed(spark, sf_dir):
     return analysis.stem_vocabulary(rows)
 
 
+def stems_of_parts(spark, sf_dir):
+    """English stems of the words that parts are described with."""
+    rows = analysis.document_tokens(
+        table(spark, sf_dir, "part"), "p_partkey", ("p_name", "p_type"), None
+    )
+    return analysis.stem_vocabulary(rows, ["english"]).select("token", "stem")
+
+
 def analyze_docs(spark, sf_dir):
     rows = analysis.analyze_documents(documents(spark, sf_dir), stem=False)
     return rows.groupBy("doc_id", "term").agg(F.count("*").alias("n"))
@@ -569,6 +577,7 @@ QUERIES: dict[str, Query] = {
         src_documents, src_tracks, corpus_slice, corpus_slice_cut, read_vectors, write_vectors,
         index_roundtrip, postings_text, postings_parse,
         text_concat, text_clean, lang_resolve, tokens, tokens_nostop, tokens_stemmed,
+        stems_of_parts,
         analyze_docs, analyze_docs_stemmed, query_terms,
         term_freq, doc_freq, posting_lists, index_sorted, index_merge, index_build,
         index_build_stemmed,
