@@ -41,6 +41,28 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+class Scratch:
+    """Tables of a loop, of which each round needs only those of the round before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, DataFrame] = {}
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_table_path(self.spark, name)
+        df.write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[path] = found
+        return found
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Remove all tables but these."""
+        for path, table in list(self.paths.items()):
+            if not any(table is kept for kept in tables):
+                discard(self.spark, path)
+                del self.paths[path]
+
+
 def balanced(df: DataFrame, key: str) -> DataFrame:
     """Spread a scan of fewer splits than the cluster has cores.
 
