@@ -95,7 +95,62 @@ QUERIES: dict[str, Query] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLES: dict[str, str] = {
+    "op3_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS k
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)
+        ),
+        repeated AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+        covered AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN repeated USING (k)
+        ),
+        words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+        kept AS (
+            SELECT a.doc_id, count(c.p) AS n_removed,
+                   string_agg(a.word, ' ' ORDER BY a.p) FILTER (WHERE c.p IS NULL) AS kept
+            FROM words a LEFT JOIN covered c ON c.doc_id = a.doc_id AND c.p = a.p
+            GROUP BY a.doc_id
+        )
+        SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
+    """,
+    "op6_jaccard_join": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                              '[^\x20\x09-\x0D]+') AS ws
+            FROM documents
+        ),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 4)
+            UNION ALL
+            SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 3
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+            FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT x, y FROM common JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+            WHERE 100 * k >= 85 * (sx.n + sy.n - k)
+        ),
+        sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached(doc_id, r) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT a.doc_id, s.y FROM reached a JOIN sides s ON s.x = a.r
+        )
+        SELECT a.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+        FROM reached a LEFT JOIN sizes s ON s.doc_id = a.doc_id GROUP BY a.doc_id
+    """,
     "op9_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from simsearch.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
-from llm_rows import rows_of
+from llm_rows import messy, nothing, rows_of  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_rows import prose, rows_of
+from llm_rows import messy, nothing, prose, rows_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from simsearch.llm import decontamination, html_text, language_id, lm_scoring, mixing, token_counts
