@@ -31,7 +31,7 @@ from simsearch.llm.components import contract
 from simsearch.llm.rows import KEY, attach, one_of_twins, with_key, without
 from simsearch.llm.texts import list_column, pieces
 from simsearch.llm.words import Words, mix
-from simsearch.plans.storage import materialize
+from simsearch.plans.storage import Scratch, materialize
 
 NGRAM, PERCENT = 4, 85
 # Groups of prefix n-grams up to this size are paired out; leaders of larger ones at first.
@@ -338,7 +338,8 @@ def _linked(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).unionByName(
         led.select(F.col("node2").alias("a"), F.col("node").alias("b"))
     )
-    judged = verify(materialize(pairs.distinct(), "pairs"), nodes, percent)
+    scratch = Scratch(nodes.sparkSession)
+    judged = verify(scratch.table(pairs.distinct(), "pairs"), nodes, percent)
     labels = contract(labels, judged.where(F.col("state") == LINK))
     # Hubs: a node's is one it is linked to; those known to be far from a node.
     hubs = materialize(
@@ -347,32 +348,33 @@ def _linked(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     )
     far = judged.where(F.col("state") == FAR).select(F.col("a").alias("hub"), F.col("b").alias("node"))
 
-    large = materialize(members.where(F.col("size") > PAIRED).drop("lead"), "large")
+    large = scratch.table(members.where(F.col("size") > PAIRED).drop("lead"), "large")
     leaders = PAIRED
     while True:
+        scratch.keep(large)
         leaders *= 4
-        named = materialize(attach(large, labels, ["node"], "inner"), "named")
+        named = attach(large, labels, ["node"], "inner")
         mixed = named.groupBy("gram").agg((F.min("comp") != F.max("comp")).alias("mixed"))
-        mixed = materialize(mixed.where("mixed").select("gram"), "mixed")
+        mixed = scratch.table(mixed.where("mixed").select("gram"), "mixed")
         if mixed.isEmpty():
             return labels
-        named = materialize(named.join(mixed, "gram"), "named")
+        named = scratch.table(attach(named, mixed, ["gram"], "inner"), "named")
         leads = F.pmod(F.xxhash64("gram", "node"), F.col("size")) < leaders
         first = named.where(leads).select(
             "gram", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("n2"),
             F.col("place").alias("place2"),
         )
         pairs = attach(named, first, ["gram"], "inner").where("comp <> ca").where(_may_link(percent))
-        pairs = materialize(
+        pairs = scratch.table(
             pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
             "pairs",
         )
         for one, two in (("a", "b"), ("b", "a")):
             near = attach(pairs, hubs.select(F.col("node").alias(one), "hub"), [one])
             pairs = near.join(far.withColumnRenamed("node", two), ["hub", two], "left_anti").select("a", "b")
-        judged = verify(materialize(pairs, "pairs"), nodes, percent)
+        judged = verify(scratch.table(pairs, "pairs"), nodes, percent)
         labels = contract(labels, judged.where(F.col("state") == LINK))
-        large = materialize(named.where(F.col("size") > leaders).drop("comp"), "large")
+        large = scratch.table(named.where(F.col("size") > leaders).drop("comp"), "large")
 
 
 def drop_similar(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
