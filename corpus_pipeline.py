@@ -17,7 +17,7 @@ from simsearch.llm import decontamination, exact_dedup, jaccard_join, language_i
 from simsearch.llm.workload import remainder, table
 from simsearch.plans.storage import materialize
 
-# Iterative draws and trained profiles have no SQL form; tests compare with brute force.
+# Random draws and trained profiles have no SQL form; tests compare with what was planted.
 ORACLE_SQL = None
 
 # Near duplicates of the corpus: distinct runs of five words, Jaccard similarity of 0.8 or more.
