@@ -36,7 +36,7 @@ _SPAN = WINDOW - RUN + 1  # runs in a window; a power of two
 _OTHER = np.uint64(0xA24BAED4963EE407)
 # Windows a task groups by itself at a time, and bytes of text per sketched run (words of six
 # bytes or so, two runs kept in seventeen).
-_GROUPED = 2_000_000
+_GROUPED = 500_000
 _BYTES_PER_RUN = 50
 ROWS = 2
 
@@ -196,7 +196,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         ),
         "windows",
     )
-    # At most one row per window and task (or two million windows of it).
+    # At most one row per window and task (or half a million windows of it).
     asked = found.where("asks").withColumn(
         "n", F.count("*").over(Window.partitionBy("w1", "w2"))
     ).where("n > 1 and not known")
