@@ -24,7 +24,7 @@ from simsearch.plans.storage import materialize
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
-BLOCK = 1024
+BLOCK = 128
 _encodings: dict[str, object] = {}
 
 
@@ -90,7 +90,7 @@ def with_suffix_sums(counts: DataFrame) -> DataFrame:
     """The sums of ``length_histogram`` from rows (n_tokens, documents, tokens)."""
     blocked = counts.withColumn("_block", F.floor(F.col("n_tokens") / BLOCK))
     later = Window.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per 1024 lengths: the longest document bounds this table.
+    # One row per BLOCK lengths: the longest document bounds this table.
     blocks = blocked.groupBy("_block").agg(
         F.sum("documents").alias("_d"), F.sum("tokens").alias("_t")
     )
