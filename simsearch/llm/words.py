@@ -111,7 +111,7 @@ class Words:
 def sliding(reduce: np.ufunc, values: np.ndarray, length: int) -> np.ndarray:
     """``reduce`` over values[i : i + length], a power of two, cut short at the end."""
     found, width = values.copy(), 1
-    while width < length:
-        found[:-width or None] = reduce(found[:-width or None], found[width:]) if width < len(found) else found
+    while width < min(length, len(found)):
+        found[:-width] = reduce(found[:-width], found[width:])
         width *= 2
     return found

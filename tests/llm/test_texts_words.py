@@ -2,10 +2,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from simsearch.llm import sketch
+from simsearch.llm import sketch, substring_dedup
 from simsearch.llm.texts import pieces, utf8
 from simsearch.llm.words import Words, sliding
 
@@ -45,6 +46,18 @@ def test_sliding():
     assert sliding(np.maximum, values[:1], 4).tolist() == [5]
 
 
+@pytest.mark.parametrize("size", range(21))
+def test_sliding_of_any_size(size):
+    values = np.random.default_rng(size).integers(0, 100, size)
+    assert sliding(np.minimum, values, 16).tolist() == [values[i:i + 16].min() for i in range(size)]
+
+
+def test_a_table_of_one_short_row(spark):
+    docs = spark.createDataFrame([(1, "five words are not many")], "doc_id long, text string")
+    got = substring_dedup.remove_repeats(docs).first()
+    assert (got.n_words, got.n_removed, got.kept_text) == (5, 0, "five words are not many")
+
+
 def test_pieces_keep_all_rows_and_sliced_columns():
     batch = pa.RecordBatch.from_pydict({"text": pa.array(["a" * 50, None, "b", "c" * 300, ""])}).slice(1)
     parts = list(pieces(iter([batch]), limit=100))
