@@ -25,7 +25,7 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var ruby rb rt rp wbr img".split()
 )
 LEFT_OUT = frozenset(
-    "head nav footer aside form script style noscript template svg math canvas iframe object "
+    "head nav footer aside script style noscript template svg math canvas iframe object "
     "embed audio video select button textarea title dialog menu menuitem fieldset map".split()
 )
 ENDS_PARAGRAPH = frozenset(
@@ -38,7 +38,7 @@ ENDS_ITEM = {
     "option": frozenset(["option"]),
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Words of class and id that name what is not the article.
+# Words of class and id that name what is not the article, and words that may stand beside them.
 NOT_ARTICLE = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promos "
     "promotion banner sidebar menu menus nav navbar navigation breadcrumb breadcrumbs header masthead "
@@ -46,9 +46,10 @@ NOT_ARTICLE = frozenset(
     "signup share sharing social related recommended widget toolbar pagination pager login searchbox "
     "legal copyright comment comments commentlist discussion disqus replies respond".split()
 )
+PLAIN = frozenset("area list wrapper wrap container box block inner outer item items site global links body".split())
 COMMENTS = frozenset("comment comments commentlist discussion disqus replies respond".split())
 ROLES = frozenset(
-    "navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar "
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar "
     "toolbar".split()
 )
 WHOLE = frozenset(["article", "main"])
@@ -63,13 +64,18 @@ WORDS = re.compile(r"[a-z]+")
 
 DEEPEST = 512  # Levels of nested elements told apart.
 PARAGRAPH = 25  # Characters from which on a block passes points.
+# An element in doubt holds the article if it has more than such a share of the page's points: one whose
+# whole name is another part of a page, and a form or one with such a word somewhere in its name.
+NAMED, PARTLY, FORM = 1, 2, 3
+MOST = {NAMED: 0.9, PARTLY: 1 / 3, FORM: 1 / 3}
+LONG = 100  # Characters outside links from which on a block under a partly fitting name is kept.
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "skip", "doubt", "points", "chars", "linked")
 
-    def __init__(self, tag, parent, skip):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag, parent, skip, doubt=0):
+        self.tag, self.parent, self.skip, self.doubt = tag, parent, skip, doubt
         self.points = 0.0
         self.chars = self.linked = 0
 
@@ -78,43 +84,46 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
 
 
-def _left_out(tag: str, rest: str, in_article: bool) -> bool:
+def _left_out(tag: str, rest: str, in_article: bool) -> tuple[bool, int]:
+    """Whether an element is left out with all it holds, and if not, what puts it in doubt."""
     if tag in LEFT_OUT or tag == "header" and not in_article:
-        return True
+        return True, 0
+    form = FORM if tag == "form" else 0
     if not rest or rest.isspace() or tag in ("html", "body"):
-        return False
+        return False, form
     found = _attributes(rest)
-    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES:
-        return True
+    role = found.get("role", "").lower()
+    if "hidden" in found or found.get("aria-hidden") == "true" or role in ROLES:
+        return True, 0
     if "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
-    names = set(WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    return bool(names & (COMMENTS if tag in WHOLE or tag in HEADINGS or tag == "header" else NOT_ARTICLE))
-
-
-def _blocks(page: str) -> list[tuple[_Node, str, int]]:
-    """Text blocks in page order with their element and how much of each is link text."""
+        return True, 0
+    careful = tag in WHOLE or tag in HEADINGS or tag == "header"
+    listed = COMMENTS if careful else NOT_ARTICLE
+    names = [set(WORDS.findall(n)) for n in f"{found.get('class', '')} {found.get('id', '')}".lower().split()]
+    names = [n for n in names if n & listed]
+    if any(n <= listed | PLAIN for n in names):
+        return False, NAMED
+    return False, form or (FORM if role == "form" else PARTLY if names and not careful else 0)
+
+
+def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
+    """Text blocks in page order: the element of each, and its texts with theirs and whether they are links."""
     root = _Node("html", None, False)
     stack, blocks, texts = [root], [], []
-    linked, in_link = 0, False
+    in_link = False
     here = root
 
     def end_block():
-        nonlocal linked
-        if texts:
-            text = " ".join("".join(texts).split())
-            if text:
-                blocks.append((here, text, linked))
-            texts.clear()
-        linked = 0
+        if any(not t.isspace() for _, t, _ in texts):
+            node = here
+            while node.tag in INLINE:
+                node = node.parent
+            blocks.append((node, texts.copy()))
+        texts.clear()
 
     def add(piece: str):
-        nonlocal linked
         if piece and not here.skip:
-            text = html.unescape(piece) if "&" in piece else piece
-            texts.append(text)
-            if in_link:
-                linked += len(text)
+            texts.append((here, html.unescape(piece) if "&" in piece else piece, in_link))
 
     at, size = 0, len(page)
     while at < size:
@@ -163,11 +172,11 @@ def _blocks(page: str) -> list[tuple[_Node, str, int]]:
         if tag in VOID:
             continue
         in_article = any(n.tag in WHOLE for n in stack)
-        skip = here.skip or _left_out(tag, found["rest"], in_article)
+        skip, doubt = _left_out(tag, found["rest"], in_article)
         if tag in INLINE:
             if tag == "a":
                 in_link = True
-            if not skip or here.skip:
+            if not (skip or doubt == NAMED) or here.skip or here.doubt and here.tag in INLINE:
                 continue
         else:
             end_block()
@@ -181,23 +190,92 @@ def _blocks(page: str) -> list[tuple[_Node, str, int]]:
                     break
                 if stack[depth].tag not in INLINE and stack[depth].tag not in ("tbody", "thead", "tfoot"):
                     break
-            skip = stack[-1].skip or _left_out(tag, found["rest"], in_article)
         if len(stack) < DEEPEST:  # what lies deeper counts as part of the last level, as in browsers
-            here = _Node(tag, stack[-1], skip)
+            here = _Node(tag, stack[-1], stack[-1].skip or skip, doubt)
             stack.append(here)
     end_block()
     return blocks
 
 
+def _points(text: str, linked: int) -> float:
+    return (1 + text.count(",") + min(3.0, len(text) / 100)) * (1.0 - min(1.0, linked / max(1, len(text))))
+
+
+def _joined(texts: list[tuple[_Node, str, bool]]) -> tuple[str, int]:
+    """A block's text and how much of it is link text."""
+    return " ".join("".join([t for _, t, _ in texts]).split()), sum(len(t) for _, t, link in texts if link)
+
+
+def _judged(blocks):
+    """Blocks as element, text and length of link text, without the elements in doubt that don't hold the article."""
+    if any(node.doubt for node in _around(blocks)):
+        dropped = _dropped(blocks)
+        lost = {}
+        for node in _around(blocks):  # an element comes before those it holds
+            lost[node] = node in dropped or node.parent is not None and lost[node.parent]
+        blocks = [(node, [t for t in texts if not lost[t[0]]]) for node, texts in blocks]
+    found = [(node, *_joined(texts)) for node, texts in blocks]
+    return [b for b in found if b[1]]
+
+
+def _around(blocks) -> list[_Node]:
+    """The elements of the blocks' texts and all around them, outer ones first."""
+    found = {}
+    for _, texts in blocks:
+        for node, _, _ in texts:
+            new = []
+            while node is not None and node not in found:
+                new.append(node)
+                node = node.parent
+            found.update(dict.fromkeys(reversed(new)))
+    return list(found)
+
+
+def _dropped(blocks) -> set[_Node]:
+    order = _around(blocks)
+    points, longest, title = dict.fromkeys(order, 0.0), dict.fromkeys(order, 0), set()
+    for _, texts in blocks:
+        own = {}
+        for t in texts:
+            own.setdefault(t[0], []).append(t)
+        for node, some in own.items():
+            text, linked = _joined(some)
+            if len(text) >= PARAGRAPH:
+                points[node] += _points(text, linked)
+            longest[node] = max(longest[node], len(text) - linked)
+            if node.tag == "h1":
+                title.add(node)
+    for node in reversed(order):
+        if node.parent is not None:
+            points[node.parent] += points[node]
+            longest[node.parent] = max(longest[node.parent], longest[node])
+            if node in title:
+                title.add(node.parent)
+    total = points[order[0]]
+    # What holds the article or main part with the most points stays, unless its name fits and it has few.
+    marked = [n for n in order if n.tag in WHOLE and n.doubt != NAMED]
+    best = max(marked, key=points.get, default=None)
+    rich = best is not None and points[best] >= total / 4
+    holds = set()
+    while best is not None:
+        holds.add(best)
+        best = best.parent
+    return {
+        n for n in order
+        if n.doubt and points[n] <= MOST[n.doubt] * total
+        and not (n in holds and (rich or n.doubt != NAMED))
+        and (n.doubt == NAMED or n not in title and (n.doubt == FORM or longest[n] < LONG))
+    }
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in page order, one to a line; empty if there is none."""
-    blocks = _blocks(page or "")
+    blocks = _judged(_blocks(page or ""))
     if not blocks:
         return ""
     holders: set[_Node] = set()
     for node, text, linked in blocks:
-        above, share = node, 1.0 - min(1.0, linked / max(1, len(text)))
-        points = (1 + text.count(",") + min(3.0, len(text) / 100)) * share
+        above, points = node, _points(text, linked)
         while above is not None:
             above.chars += len(text)
             above.linked += linked

@@ -146,6 +146,36 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+LONGER = "<p>" + "A paragraph of the body, as long as they are, with a comma or two in it. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("name", [
+    "class='has-sidebar'", "class='layout no-sidebar'", "class='with-banner'", "id='header-fixed-page'",
+    "class='sidebar'", "class='discussion'",
+])
+@pytest.mark.parametrize("tag", ["div", "form"])
+def test_names_and_forms_around_the_page_keep_it(name, tag):
+    inside = f"<h1>Title</h1>{LONGER * 3}"
+    want = html_text.main_text(f"<body>{inside}</body>")
+    assert want.count("\n") == 3
+    for body in (inside, f"<article>{inside}</article>"):
+        assert html_text.main_text(f"<body><{tag} {name}>{body}</{tag}></body>") == want
+
+
+@pytest.mark.parametrize("name", ["post-header", "section-discussion", "legal-analysis"])
+def test_names_of_parts_of_an_article_keep_their_paragraphs(name):
+    page = f"<body><div><h1>Title</h1>{LONGER * 9}<div class='{name}'>{LONGER}</div>{LONGER}</div></body>"
+    assert html_text.main_text(page).count("\n") == 11
+
+
+def test_named_parts_are_still_left_out():
+    comments = f"<ol class='comment-list'><li><article class='comment-body'>{LONGER * 4}</article></li></ol>"
+    page = f"""<body><div><h1>Title</h1>{LONGER * 2}<p>Text <span class="ad">gone</span> goes on.</p></div>
+        <div class="related"><p>Gone, too, as nobody asked for it.</p></div>{comments}</body>"""
+    got = html_text.main_text(page)
+    assert got.count("\n") == 3 and got.endswith("Text goes on.")
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
