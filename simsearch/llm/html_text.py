@@ -2,8 +2,10 @@
 
 Every paragraph passes points for its length and commas to the elements above
 it, less the higher they are; an element's points are discounted by the share
-of its text that is link text. The best element, or the article it lies in, is
-kept with those of its siblings that score like it.
+of its text that is link text. The article around the best element is kept with
+those of its siblings that score like it; without one, the best element and what
+stands beside it or the elements around it: headings, paragraphs, lists and tables,
+and whatever else holds a paragraph, if little of it is link text.
 """
 
 from __future__ import annotations
@@ -63,6 +65,8 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 WORDS = re.compile(r"[a-z]+")
 
 DEEPEST = 512  # Levels of nested elements told apart.
+PROSE = HEADINGS | frozenset("p ul ol li dl dt dd table pre blockquote figure".split())
+LINKED = 1 / 3  # Share of link text beyond which an element beside the best one is a list of links.
 PARAGRAPH = 25  # Characters from which on a block passes points.
 # An element in doubt holds the article if it has more than such a share of the page's points: one whose
 # whole name is another part of a page, and a form or one with such a word somewhere in its name.
@@ -304,12 +308,34 @@ def main_text(page: str | None) -> str:
     if best is None:  # only short blocks: the article if one is marked, else the page
         best = next((b for b, _, _ in blocks if _whole(b) is not None), blocks[0][0])
         best = _whole(best) or _top(best)
-    best = _whole(best) or best
-    least = max(10.0, score(best) / 5)
-    kept = {best} | {n for n in holders if n.parent is best.parent and n.parent and score(n) >= least}
+    whole = _whole(best)
+    if whole is None:
+        return "\n".join(_with_siblings(best, blocks, holders))
+    least = max(10.0, score(whole) / 5)
+    kept = {whole} | {n for n in holders if n.parent is whole.parent and n.parent and score(n) >= least}
     return "\n".join([text for node, text, _ in blocks if _within(node, kept)])
 
 
+def _with_siblings(best: _Node, blocks: list[tuple[_Node, str, int]], holders: set[_Node]) -> Iterator[str]:
+    """Texts of an element, and of what belongs to it beside it and beside the elements around it."""
+    around = set()
+    above = best.parent
+    while above is not None:
+        around.add(above)
+        above = above.parent
+    for node, text, linked in blocks:
+        if node in around:  # text of its own of an element around
+            keep = len(text) >= PARAGRAPH and linked <= LINKED * len(text)
+        else:
+            while node.parent is not None and node.parent not in around and node is not best:
+                node = node.parent
+            keep = node is best or (
+                node.linked <= LINKED * node.chars and (node.tag in PROSE or node in holders)
+            )
+        if keep:
+            yield text
+
+
 def _whole(node: _Node | None) -> _Node | None:
     """The outermost article around a node, else the main part of the page."""
     found = None

@@ -176,6 +176,17 @@ def test_named_parts_are_still_left_out():
     assert got.count("\n") == 3 and got.endswith("Text goes on.")
 
 
+@pytest.mark.parametrize("wrap", ["{}", "<div>{}</div>", "<div><section>{}</section></div>"])
+def test_a_body_split_over_siblings_is_kept_whole(wrap):
+    section = "<section><p>" + "One paragraph with, say, four, commas, and " + "some more words " * 19 + "</p></section>"
+    links = "<div>" + "<a href='/x'>A long, long link to another page</a> " * 3 + "</div>"
+    page = f"""<body>{links}<h1>Title</h1><p>The lead.</p>{wrap.format("<div>" + LONGER * 20 + "</div>")}
+        {section}<ul><li>item</li></ul>Text of the body's own, here.{links}</body>"""
+    got = html_text.main_text(page).split("\n")
+    assert got[:2] == ["Title", "The lead."] and len(got) == 25
+    assert got[22].startswith("One paragraph") and got[23:] == ["item", "Text of the body's own, here."]
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
