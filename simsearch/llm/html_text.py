@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -64,7 +66,6 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORDS = re.compile(r"[a-z]+")
 
-DEEPEST = 512  # Levels of nested elements told apart.
 PROSE = HEADINGS | frozenset("p ul ol li dl dt dd table pre blockquote figure".split())
 LINKED = 1 / 3  # Share of link text beyond which an element beside the best one is a list of links.
 PARAGRAPH = 25  # Characters from which on a block passes points.
@@ -76,10 +77,15 @@ LONG = 100  # Characters outside links from which on a block under a partly fitt
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "doubt", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "skip", "doubt", "level", "whole", "points", "chars", "linked")
 
     def __init__(self, tag, parent, skip, doubt=0):
         self.tag, self.parent, self.skip, self.doubt = tag, parent, skip, doubt
+        self.level = parent.level + 1 if parent else 0
+        # The outermost article around the element, else the main part of the page.
+        self.whole = parent and parent.whole
+        if tag == "article" and (self.whole is None or self.whole.tag == "main") or tag == "main" and not self.whole:
+            self.whole = self
         self.points = 0.0
         self.chars = self.linked = 0
 
@@ -114,6 +120,7 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
     """Text blocks in page order: the element of each, and its texts with theirs and whether they are links."""
     root = _Node("html", None, False)
     stack, blocks, texts = [root], [], []
+    opened = Counter()  # tags on the stack, so that a stray closing tag is told without a search
     in_link = False
     here = root
 
@@ -125,6 +132,10 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
             blocks.append((node, texts.copy()))
         texts.clear()
 
+    def pop(depth):
+        opened.subtract(n.tag for n in stack[depth:])
+        del stack[depth:]
+
     def add(piece: str):
         if piece and not here.skip:
             texts.append((here, html.unescape(piece) if "&" in piece else piece, in_link))
@@ -157,12 +168,12 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
                 in_link = False
             if tag == "br":
                 end_block()
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[depth].tag == tag:
                     if any(n.tag not in INLINE for n in stack[depth:]):
                         end_block()
                         in_link = False
-                    del stack[depth:]
+                    pop(depth)
                     here = stack[-1]
                     break
             continue
@@ -175,7 +186,7 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
             continue
         if tag in VOID:
             continue
-        in_article = any(n.tag in WHOLE for n in stack)
+        in_article = stack[-1].whole is not None
         skip, doubt = _left_out(tag, found["rest"], in_article)
         if tag in INLINE:
             if tag == "a":
@@ -190,13 +201,13 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
                 ends = {"p"} | HEADINGS if tag in HEADINGS else {"p"}
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in ends:
-                    del stack[depth:]
+                    pop(depth)
                     break
                 if stack[depth].tag not in INLINE and stack[depth].tag not in ("tbody", "thead", "tfoot"):
                     break
-        if len(stack) < DEEPEST:  # what lies deeper counts as part of the last level, as in browsers
-            here = _Node(tag, stack[-1], stack[-1].skip or skip, doubt)
-            stack.append(here)
+        here = _Node(tag, stack[-1], stack[-1].skip or skip, doubt)
+        stack.append(here)
+        opened[tag] += 1
     end_block()
     return blocks
 
@@ -212,31 +223,30 @@ def _joined(texts: list[tuple[_Node, str, bool]]) -> tuple[str, int]:
 
 def _judged(blocks):
     """Blocks as element, text and length of link text, without the elements in doubt that don't hold the article."""
-    if any(node.doubt for node in _around(blocks)):
-        dropped = _dropped(blocks)
+    order = _around(t[0] for _, texts in blocks for t in texts)
+    if any(node.doubt for node in order):
+        dropped = _dropped(blocks, order)
         lost = {}
-        for node in _around(blocks):  # an element comes before those it holds
+        for node in order:  # an element comes before those it holds
             lost[node] = node in dropped or node.parent is not None and lost[node.parent]
         blocks = [(node, [t for t in texts if not lost[t[0]]]) for node, texts in blocks]
     found = [(node, *_joined(texts)) for node, texts in blocks]
     return [b for b in found if b[1]]
 
 
-def _around(blocks) -> list[_Node]:
-    """The elements of the blocks' texts and all around them, outer ones first."""
+def _around(nodes: Iterable[_Node]) -> list[_Node]:
+    """The elements and all around them, outer ones first."""
     found = {}
-    for _, texts in blocks:
-        for node, _, _ in texts:
-            new = []
-            while node is not None and node not in found:
-                new.append(node)
-                node = node.parent
-            found.update(dict.fromkeys(reversed(new)))
+    for node in nodes:
+        new = []
+        while node is not None and node not in found:
+            new.append(node)
+            node = node.parent
+        found.update(dict.fromkeys(reversed(new)))
     return list(found)
 
 
-def _dropped(blocks) -> set[_Node]:
-    order = _around(blocks)
+def _dropped(blocks, order: list[_Node]) -> set[_Node]:
     points, longest, title = dict.fromkeys(order, 0.0), dict.fromkeys(order, 0), set()
     for _, texts in blocks:
         own = {}
@@ -277,89 +287,79 @@ def main_text(page: str | None) -> str:
     blocks = _judged(_blocks(page or ""))
     if not blocks:
         return ""
-    holders: set[_Node] = set()
+    order = _around(node for node, _, _ in blocks)
+    number = {node: i for i, node in enumerate(order)}
+    points, held = np.zeros(len(order)), np.zeros(len(order), bool)
+    path, depth = np.zeros(max(n.level for n in order) + 1, np.int64), {}
+    weights = 1.0 / np.arange(1, len(path) + 1)
     for node, text, linked in blocks:
-        above, points = node, _points(text, linked)
-        while above is not None:
-            above.chars += len(text)
-            above.linked += linked
-            above = above.parent
+        node.chars += len(text)
+        node.linked += linked
         if len(text) < PARAGRAPH:
             continue
         above = node.parent if node.tag == "p" or node.tag in HEADINGS or node.tag == "li" else node
-        weight, level = 1.0, 1
-        while above is not None:
-            above.points += points * weight
-            holders.add(above)
-            level += 1
-            weight = 1.0 / level
-            above = above.parent
+        least, levels = above, above.level + 1
+        while least is not None and depth.get(least.level) is not least:  # the rest of the path is that of the last
+            path[least.level], depth[least.level] = number[least], least
+            least = least.parent
+        points[path[:levels]] += _points(text, linked) * weights[levels - 1::-1]
+        held[path[levels - 1]] = True
+    for node in reversed(order):
+        node.points = points[number[node]]
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+            held[number[node.parent]] |= held[number[node]]
+    holders = {node for node in order if held[number[node]]}
 
     def score(node: _Node) -> float:
         return node.points * (1 - node.linked / max(1, node.chars))
 
-    best = None
+    best, seen = None, set()
     for node, _, _ in blocks:  # in page order, so that of equal scores the first counts
         above = node
-        while above is not None:
+        while above is not None and above not in seen:
+            seen.add(above)
             if above in holders and (best is None or score(above) > score(best)):
                 best = above
             above = above.parent
     if best is None:  # only short blocks: the article if one is marked, else the page
-        best = next((b for b, _, _ in blocks if _whole(b) is not None), blocks[0][0])
-        best = _whole(best) or _top(best)
-    whole = _whole(best)
-    if whole is None:
-        return "\n".join(_with_siblings(best, blocks, holders))
+        best = next((b for b, _, _ in blocks if b.whole is not None), blocks[0][0])
+        best = best.whole or order[0]
+    if best.whole is None:
+        return "\n".join(_with_siblings(best, blocks, order, holders))
+    whole = best.whole
     least = max(10.0, score(whole) / 5)
     kept = {whole} | {n for n in holders if n.parent is whole.parent and n.parent and score(n) >= least}
-    return "\n".join([text for node, text, _ in blocks if _within(node, kept)])
+    within = {}
+    for node in order:
+        within[node] = node in kept or node.parent is not None and within[node.parent]
+    return "\n".join([text for node, text, _ in blocks if within[node]])
 
 
-def _with_siblings(best: _Node, blocks: list[tuple[_Node, str, int]], holders: set[_Node]) -> Iterator[str]:
+def _with_siblings(
+    best: _Node, blocks: list[tuple[_Node, str, int]], order: list[_Node], holders: set[_Node]
+) -> Iterator[str]:
     """Texts of an element, and of what belongs to it beside it and beside the elements around it."""
     around = set()
     above = best.parent
     while above is not None:
         around.add(above)
         above = above.parent
-    for node, text, linked in blocks:
-        if node in around:  # text of its own of an element around
-            keep = len(text) >= PARAGRAPH and linked <= LINKED * len(text)
-        else:
-            while node.parent is not None and node.parent not in around and node is not best:
-                node = node.parent
-            keep = node is best or (
+    kept = {}
+    for node in order:
+        if node is best or node.parent is None or node.parent in around:
+            kept[node] = node is best or (
                 node.linked <= LINKED * node.chars and (node.tag in PROSE or node in holders)
             )
-        if keep:
+        else:
+            kept[node] = kept[node.parent]
+    for node, text, linked in blocks:
+        # Text of its own of an element around is judged by itself.
+        if len(text) >= PARAGRAPH and linked <= LINKED * len(text) if node in around else kept[node]:
             yield text
 
 
-def _whole(node: _Node | None) -> _Node | None:
-    """The outermost article around a node, else the main part of the page."""
-    found = None
-    while node is not None:
-        if node.tag == "article" or node.tag == "main" and found is None:
-            found = node
-        node = node.parent
-    return found
-
-
-def _top(node: _Node) -> _Node:
-    while node.parent is not None:
-        node = node.parent
-    return node
-
-
-def _within(node: _Node | None, kept: set[_Node]) -> bool:
-    while node is not None:
-        if node in kept:
-            return True
-        node = node.parent
-    return False
-
-
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "html"):
         texts = [main_text(page) for page in batch.column("html").to_pylist()]

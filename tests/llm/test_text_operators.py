@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -187,6 +188,21 @@ def test_a_body_split_over_siblings_is_kept_whole(wrap):
     assert got[22].startswith("One paragraph") and got[23:] == ["item", "Text of the body's own, here."]
 
 
+@pytest.mark.parametrize("levels", [10, 600, 30_000])
+def test_deep_elements_are_told_apart(levels):
+    page = "<article><h1>Title</h1>" + "<div>" * levels + f"{LONGER}<nav>Gone</nav><aside>{LONGER}</aside>"
+    page += "<div><div>" + LONGER + "</div></div>" * 2 + "</article><section><p>Not in the article.</p></section>"
+    got = html_text.main_text("<div>" + page + "</div>")
+    assert got.count("\n") == 2 and "Gone" not in got and got.startswith("Title\nA paragraph")
+
+
+def test_deep_pages_take_no_square_of_their_depth():
+    started = time.process_time()
+    page = "".join(f"<section>{LONGER if i % 10 == 0 else 'some words'}</i></b>" for i in range(30_000))
+    assert html_text.main_text(page).count("A paragraph") == 12_000
+    assert time.process_time() - started < 20
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
