@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.llm import decontamination, exact_dedup, html_text, jaccard_join, language_id
-from simsearch.llm import line_dedup, lm_scoring, mixing, substring_dedup, token_counts
+from simsearch.llm import collocations, decontamination, exact_dedup, fingerprints, hard_negatives
+from simsearch.llm import html_text, jaccard_join, language_id, line_dedup, lm_scoring, mixing
+from simsearch.llm import substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +83,23 @@ def op10_line_dedup(spark, sf_dir):
     )
 
 
+def op11_fingerprints(spark, sf_dir):
+    found = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
+def op12_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scoring": op2_lm_scoring,
@@ -93,6 +111,9 @@ QUERIES: dict[str, Query] = {
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -186,4 +207,71 @@ ORACLES: dict[str, str] = {
         FROM keyed k LEFT JOIN common c ON c.key = k.key
         GROUP BY k.doc_id
     """,
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        pairs AS (
+            SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE label = own
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER best AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER best <= 3
+    """,
+    "op13_collocations": rf"""
+        WITH pieces AS MATERIALIZED (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+            FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                                         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+        ),
+        grams AS MATERIALIZED (
+            SELECT lang, k, g, count(*) AS f
+            FROM (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+                  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                        FROM (SELECT lang, ws, unnest([1, 2, 3]) AS k FROM pieces) WHERE len(ws) >= k))
+            GROUP BY ALL
+        ),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+        candidates AS MATERIALIZED (
+            SELECT lang, g, f AS a, string_split(g, ' ') AS ws FROM grams WHERE k > 1 AND f >= 10
+        ),
+        cuts AS MATERIALIZED (
+            SELECT lang, g, a, len(ws) AS size, k, array_to_string(ws[1:k], ' ') AS head,
+                   array_to_string(ws[k + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM candidates)
+        ),
+        scored AS (
+            SELECT c.lang, c.g, a, size, l.f AS l, r.f AS r,
+                   CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+            FROM cuts c JOIN grams l ON l.lang = c.lang AND l.g = head
+            JOIN grams r ON r.lang = c.lang AND r.g = tail
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.g
+                                       ORDER BY (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f), c.k) = 1
+        ),
+        held AS (
+            SELECT DISTINCT c.lang, c.g FROM candidates c
+            JOIN (SELECT lang, a, unnest([head, tail]) AS g FROM cuts WHERE size = 3) t
+              ON t.lang = c.lang AND t.g = c.g
+            WHERE 100 * t.a >= 50 * c.a
+        )
+        SELECT c.lang, row_number() OVER best AS rank, c.g AS phrase, a, l, r, n, score
+        FROM scored c JOIN totals t ON t.lang = c.lang LEFT JOIN held h ON h.lang = c.lang AND h.g = c.g
+        WHERE h.g IS NULL
+        WINDOW best AS (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.g)
+        QUALIFY row_number() OVER best <= 2000
+    """,
 }
