@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simsearch.llm.rows import attach
+from simsearch.llm.rows import attach, running
 from simsearch.llm.texts import pieces
 from simsearch.llm.words import Words, mix
 from simsearch.plans.joins import lookup_join
@@ -35,13 +35,15 @@ _PARTS_WORDS = _ENDS_PIECE.copy()
 _PARTS_WORDS[list(_SPACES)] = True
 
 UNKNOWN_LANG = "und"
-# Most words whose numbers are sent to the tasks (16 bytes each); with more, a word's
-# number is its hash, and edges of rare words are counted like all others.
-MOST_WORDS = 4_000_000
 # In place of a word's number: too rare to be in a candidate, or no more words in the piece.
-RARE, END = 0, -1
-# Bytes of text whose runs a task adds up before passing them on.
-_PIECE_BYTES = 4 << 20
+RARE, END = 0, 1
+_FIRST = 2  # the least number of a word
+# Bits of a word's number, so that three fit one number: with more words than that, a word's
+# number is its hash, and edges of rare words are counted like all others.
+_BITS = 21
+MOST_WORDS = (1 << _BITS) - _FIRST
+# Bytes of text whose words and runs a task adds up before passing them on.
+_PIECE_BYTES = 2 << 20
 
 
 def _hashed(batch: pa.RecordBatch, seed: int) -> tuple[Words, np.ndarray]:
@@ -49,7 +51,15 @@ def _hashed(batch: pa.RecordBatch, seed: int) -> tuple[Words, np.ndarray]:
     words = Words(batch.column("text"), lower=True, separators=_PARTS_WORDS)
     langs = batch.column("_lang").to_numpy(zero_copy_only=False).view(np.uint64)
     hashes = mix(words.hashes(seed) ^ langs[words.rows])
-    return words, np.maximum(hashes >> np.uint64(1), np.uint64(1)).astype(np.int64)
+    return words, np.maximum(hashes >> np.uint64(1), np.uint64(_FIRST)).astype(np.int64)
+
+
+def _spelt(words: Words, at: np.ndarray) -> pa.Array:
+    """The words at these places, as text."""
+    sizes = words.ends[at] - words.starts[at]
+    edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    raw = words.raw[np.repeat(words.starts[at] - edges[:-1], sizes) + np.arange(edges[-1])]
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw)))
 
 
 def _count_words(seed: int):
@@ -59,17 +69,41 @@ def _count_words(seed: int):
             if not len(words):
                 continue
             found, at, n = np.unique(hashes, return_index=True, return_counts=True)
-            raw = words.raw.tobytes()
-            texts = [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
             langs = batch.column("lang").take(pa.array(words.rows[at]))
             yield pa.RecordBatch.from_pydict({
-                "h": pa.array(found), "lang": langs,
-                "word": pa.array(texts, pa.binary()).cast(pa.string()), "f": pa.array(n),
+                "h": pa.array(found), "lang": langs, "word": _spelt(words, at), "f": pa.array(n),
             })
 
     return count
 
 
+def _runs(words: Words, numbers: np.ndarray) -> list[np.ndarray]:
+    """The number of each word that is not RARE and those of the two after it in its piece."""
+    ends = np.concatenate([[0], np.cumsum(_ENDS_PIECE[words.raw], dtype=np.int32)])
+    goes_on = np.zeros(len(words), bool)
+    goes_on[:-1] = ends[words.starts[1:]] == ends[words.ends[:-1]]
+    goes_on[words.first[1:][words.counts > 0] - 1] = False
+    second = np.full(len(words), END, np.int64)
+    second[:-1][goes_on[:-1]] = numbers[1:][goes_on[:-1]]
+    third = np.full(len(words), END, np.int64)
+    both = (goes_on[:-2] & goes_on[1:-1] & (second[:-2] >= _FIRST)).nonzero()[0]
+    third[both] = numbers[both + 2]
+    kept = numbers != RARE
+    return [numbers[kept], second[kept], third[kept]]
+
+
+def _added(*columns: np.ndarray) -> list[np.ndarray]:
+    """Distinct rows of the columns and how often each occurs."""
+    if len(columns) == 1:
+        return list(np.unique(columns[0], return_counts=True))
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    starts = np.flatnonzero(new)
+    return [*[c[starts] for c in columns], np.diff(np.append(starts, len(order)))]
+
+
 def _count_edges(seed: int, known):
     """Edges of each piece of text, added up; ``known`` holds sorted hashes and their numbers."""
 
@@ -78,29 +112,15 @@ def _count_edges(seed: int, known):
             words, numbers = _hashed(batch, seed)
             if not len(words):
                 continue
-            if known is not None:
+            if known is None:
+                names, columns = ["s1", "s2", "s3"], _runs(words, numbers)
+            else:
                 hashes, ids = known.value
                 at = np.minimum(np.searchsorted(hashes, numbers), len(hashes) - 1)
-                numbers = np.where(hashes[at] == numbers, ids[at], RARE)
-            ends = np.concatenate([[0], np.cumsum(_ENDS_PIECE[words.raw])])
-            goes_on = np.zeros(len(words), bool)
-            goes_on[:-1] = ends[words.starts[1:]] == ends[words.ends[:-1]]
-            goes_on[words.first[1:][words.counts > 0] - 1] = False
-            padded = np.concatenate([numbers, [END, END]])
-            second = np.where(goes_on, padded[1:-1], END)
-            third = np.where(goes_on & np.concatenate([goes_on[1:], [False]]), padded[2:], END)
-            third = np.where(second > 0, third, END)
-            kept = numbers != RARE
-            run = np.stack([numbers[kept], second[kept], third[kept]])
-            if not run.shape[1]:
-                continue
-            run = run[:, np.lexsort(run[::-1])]
-            new = np.concatenate([[True], (run[:, 1:] != run[:, :-1]).any(axis=0)])
-            starts = np.flatnonzero(new)
-            weights = np.diff(np.concatenate([starts, [run.shape[1]]]))
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c) for c in run[:, starts]], pa.array(weights)], names=["s1", "s2", "s3", "w"]
-            )
+                run = _runs(words, np.where(hashes[at] == numbers, ids[at], RARE))
+                names, columns = ["key"], [run[0] << 2 * _BITS | run[1] << _BITS | run[2]]
+            found = _added(*columns)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=[*names, "w"])
 
     return count
 
@@ -133,9 +153,14 @@ def word_graph(
     totals = materialize(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = counted.where(F.col("f") >= least)
     few = frequent.count() <= most_words
-    number = F.monotonically_increasing_id() + 1 if few else F.col("h")
-    words = materialize(frequent.select(number.alias("s"), "h", "lang", "word"), "words")
-    known = None
+    texts, known = _texts(docs), None
+    if few:
+        # Frequent words get small numbers.
+        frequent = running(frequent.withColumn("_one", F.lit(1)), [F.desc("f"), "h"], {"s": "_one"})
+        words = frequent.select((F.col("s") + _FIRST).alias("s"), "h", "lang", "word")
+    else:
+        words = frequent.select(F.col("h").alias("s"), "h", "lang", "word")
+    words = materialize(words, "words")
     if few:
         table = words.select("h", "s").toArrow()
         hashes, ids = (table.column(c).to_numpy() for c in ("h", "s"))
@@ -143,8 +168,17 @@ def word_graph(
             hashes, ids = np.zeros(1, np.int64), np.full(1, RARE, np.int64)
         order = np.argsort(hashes)
         known = docs.sparkSession.sparkContext.broadcast((hashes[order], ids[order]))
-    runs = _texts(docs).mapInArrow(_count_edges(seed, known), "s1 long, s2 long, s3 long, w long")
-    edges = materialize(runs.groupBy("s1", "s2", "s3").agg(F.sum("w").alias("w")), "edges")
+        runs = texts.mapInArrow(_count_edges(seed, known), "key long, w long")
+        edges = runs.groupBy("key").agg(F.sum("w").alias("w"))
+        mask = MOST_WORDS + _FIRST - 1
+        edges = edges.select(
+            F.shiftright("key", 2 * _BITS).alias("s1"), F.shiftright("key", _BITS).bitwiseAND(mask).alias("s2"),
+            F.col("key").bitwiseAND(mask).alias("s3"), "w",
+        )
+    else:
+        runs = texts.mapInArrow(_count_edges(seed, None), "s1 long, s2 long, s3 long, w long")
+        edges = runs.groupBy("s1", "s2", "s3").agg(F.sum("w").alias("w"))
+    edges = materialize(edges, "edges")
     if known is not None:
         known.destroy()
     return edges, words.select("s", "lang", "word"), totals
@@ -152,7 +186,7 @@ def word_graph(
 
 def pair_counts(edges: DataFrame) -> DataFrame:
     """Rows ``(s1, s2, f)``: what leaves each node, edges cut short by a piece's end included."""
-    return edges.where("s2 > 0").groupBy("s1", "s2").agg(F.sum("w").alias("f"))
+    return edges.where(F.col("s2") >= _FIRST).groupBy("s1", "s2").agg(F.sum("w").alias("f"))
 
 
 def word_counts(edges: DataFrame) -> DataFrame:
@@ -238,7 +272,7 @@ def candidates(
                               F.col("f").alias(name))
         return lookup_join(df, named, on)
 
-    triples = edges.where((F.col("s3") > 0) & (F.col("w") >= least))
+    triples = edges.where((F.col("s3") >= _FIRST) & (F.col("w") >= least))
     triples = counted(triples, ["s1", "s2"], pairs, "f_first")
     triples = counted(triples, ["s2", "s3"], pairs, "f_last")
     paths = materialize(compact_paths(triples), "paths")

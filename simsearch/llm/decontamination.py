@@ -88,10 +88,10 @@ class Index:
         key = term * self.blocks + item // BLOCK_ITEMS
         order = np.argsort(key, kind="stable")
         self.item, self.impact = item[order], impact[order]
-        cells = len(self.terms) * self.blocks
-        self.start = np.searchsorted(key[order], np.arange(cells + 1))
-        self.block_max = np.zeros(cells)
-        np.maximum.at(self.block_max, key, impact)
+        # Only cells that occur: a term is in few blocks.
+        self.cells, first = np.unique(key[order], return_index=True)
+        self.start = np.append(first, len(order))
+        self.block_max = np.maximum.reduceat(self.impact, first) if len(order) else np.zeros(0)
 
         # An item's commonest terms that together stay below the threshold are not essential:
         # whatever reaches the threshold holds one of the others.
@@ -104,6 +104,11 @@ class Index:
         self.open_block = opens % self.blocks
         self.open_start = np.searchsorted(opens // self.blocks, np.arange(len(self.terms) + 1))
 
+    def cell(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each (term, block) among the cells, -1 for one without postings."""
+        at = np.minimum(np.searchsorted(self.cells, keys), max(0, len(self.cells) - 1))
+        return np.where(self.cells[at] == keys, at, -1) if len(self.cells) else np.full(len(keys), -1)
+
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Term number of each word, -1 for what no item holds."""
         if not len(self.terms):
@@ -149,7 +154,8 @@ def retrieve(index: Index, words: Words, hashes: np.ndarray):
     owner, place = _expand(
         np.searchsorted(held_passage, asked), np.searchsorted(held_passage, asked, "right")
     )
-    cell = held_term[place] * index.blocks + block[owner]
+    cell = index.cell(held_term[place] * index.blocks + block[owner])
+    owner, cell = owner[cell >= 0], cell[cell >= 0]
     bound = np.bincount(owner, index.block_max[cell], len(pairs))
     keep = bound >= RETRIEVE - 1e-9
     owner, cell = owner[keep[owner]], cell[keep[owner]]
@@ -240,7 +246,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "question_overlap double, answer_overlap double"
     )
     hits = spark.createDataFrame([], fields)
-    scans = []
     chunks = (items.agg(F.max("_chunk")).first()[0] or 0) + 1 if total else 0
     for chunk in range(chunks):
         own = items.where(F.col("_chunk") == chunk)
@@ -250,11 +255,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         mine = own.select("text").mapInArrow(_terms, "term array<long>, length long")
         mine = mine.select(F.explode("term").alias("term")).distinct()
         df = dict(map(tuple, frequency.join(mine, "term", "left_semi").collect()))
+        # One index at a time: its hits are written before the next is built.
         sent = spark.sparkContext.broadcast(Index(held, df, total, mean or 0.0))
-        scans.append(texts.mapInArrow(_search(sent), fields))
-    for found in scans:
+        found = materialize(texts.mapInArrow(_search(sent), fields), "hits")
+        sent.destroy()
         hits = hits.unionByName(found)
-    hits = materialize(hits, "hits")
     return attach(hits, items.select("_item", "item_id"), ["_item"], "inner").select(
         *KEY, "doc_id", "item_id", "score", "question_overlap", "answer_overlap"
     )

@@ -48,15 +48,29 @@ NOT_ARTICLE = frozenset(
     "promotion banner sidebar menu menus nav navbar navigation breadcrumb breadcrumbs header masthead "
     "footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "signup share sharing social related recommended widget toolbar pagination pager login searchbox "
-    "legal copyright comment comments commentlist discussion disqus replies respond".split()
+    "legal copyright comment comments commentlist discussion disqus replies respond "
+    "responses feedback".split()
 )
-PLAIN = frozenset("area list wrapper wrap container box block inner outer item items site global links body".split())
-COMMENTS = frozenset("comment comments commentlist discussion disqus replies respond".split())
+PLAIN = frozenset(
+    "area list wrapper wrap container box block inner outer item items site global links body reader readers "
+    "user users".split()
+)
+COMMENTS = frozenset("comment comments commentlist discussion disqus replies respond responses feedback".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar "
     "toolbar".split()
 )
 WHOLE = frozenset(["article", "main"])
+# What a comment has beside its text: words of class and id, elements and texts that date or sign it.
+DATES = frozenset("date dated time timestamp ago published posted datetime".split())
+AUTHORS = frozenset("author user username userlink commenter avatar byline vcard nick nickname poster fn".split())
+NAME_TAGS = frozenset("b strong cite em a address".split())
+DATE = re.compile(
+    r"\b\d{4}-\d\d?-\d\d?\b|\b\d\d?[./]\d\d?[./]\d{2,4}\b|\b\d\d?:\d\d\b"
+    r"|\b\d+ (?:second|minute|min|hour|day|week|month|year)s? ago\b"
+    r"|\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.? \d\d?\b"
+    r"|\b\d\d?\.? (?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)", re.I,
+)
 
 TAG = re.compile(
     r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<other>[!?][^>]*+>?)|(?P<close>/?)"
@@ -77,10 +91,12 @@ LONG = 100  # Characters outside links from which on a block under a partly fitt
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "doubt", "level", "whole", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "skip", "doubt", "comment", "kind", "dates", "signed", "level", "whole",
+                 "points", "chars", "linked")
 
-    def __init__(self, tag, parent, skip, doubt=0):
+    def __init__(self, tag, parent, skip, doubt=0, comment=0, kind=""):
         self.tag, self.parent, self.skip, self.doubt = tag, parent, skip, doubt
+        self.comment, self.kind, self.dates, self.signed = comment, kind, 0, False
         self.level = parent.level + 1 if parent else 0
         # The outermost article around the element, else the main part of the page.
         self.whole = parent and parent.whole
@@ -94,14 +110,13 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
 
 
-def _left_out(tag: str, rest: str, in_article: bool) -> tuple[bool, int]:
+def _left_out(tag: str, found: dict[str, str], names: list[set[str]], in_article: bool) -> tuple[bool, int]:
     """Whether an element is left out with all it holds, and if not, what puts it in doubt."""
     if tag in LEFT_OUT or tag == "header" and not in_article:
         return True, 0
     form = FORM if tag == "form" else 0
-    if not rest or rest.isspace() or tag in ("html", "body"):
+    if not found or tag in ("html", "body"):
         return False, form
-    found = _attributes(rest)
     role = found.get("role", "").lower()
     if "hidden" in found or found.get("aria-hidden") == "true" or role in ROLES:
         return True, 0
@@ -109,13 +124,23 @@ def _left_out(tag: str, rest: str, in_article: bool) -> tuple[bool, int]:
         return True, 0
     careful = tag in WHOLE or tag in HEADINGS or tag == "header"
     listed = COMMENTS if careful else NOT_ARTICLE
-    names = [set(WORDS.findall(n)) for n in f"{found.get('class', '')} {found.get('id', '')}".lower().split()]
     names = [n for n in names if n & listed]
     if any(n <= listed | PLAIN for n in names):
         return False, NAMED
     return False, form or (FORM if role == "form" else PARTLY if names and not careful else 0)
 
 
+FULLY, SOMEHOW = 2, 1
+
+
+def _comment(tag: str, names: list[set[str]]) -> int:
+    """Whether a name is that of reader comments, or has such a word in it."""
+    if tag in ("html", "body"):
+        return 0
+    names = [n for n in names if n & COMMENTS]
+    return FULLY if any(n <= COMMENTS | PLAIN for n in names) else SOMEHOW if names else 0
+
+
 def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
     """Text blocks in page order: the element of each, and its texts with theirs and whether they are links."""
     root = _Node("html", None, False)
@@ -130,6 +155,8 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
             while node.tag in INLINE:
                 node = node.parent
             blocks.append((node, texts.copy()))
+            if sum(len(t) for _, t, _ in texts) <= LONG and DATE.search("".join([t for _, t, _ in texts])):
+                node.dates += 1
         texts.clear()
 
     def pop(depth):
@@ -187,10 +214,18 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
         if tag in VOID:
             continue
         in_article = stack[-1].whole is not None
-        skip, doubt = _left_out(tag, found["rest"], in_article)
+        rest = found["rest"]
+        attributes = _attributes(rest) if rest and not rest.isspace() else {}
+        label = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+        names = [set(WORDS.findall(n)) for n in label]
+        skip, doubt = _left_out(tag, attributes, names, in_article)
+        dated = tag == "time" or any(n & DATES for n in names)
+        signed = attributes.get("rel") == "author" or any(n & AUTHORS for n in names)
         if tag in INLINE:
             if tag == "a":
                 in_link = True
+            here.dates += dated
+            here.signed |= signed or tag in NAME_TAGS and not texts
             if not (skip or doubt == NAMED) or here.skip or here.doubt and here.tag in INLINE:
                 continue
         else:
@@ -205,7 +240,9 @@ def _blocks(page: str) -> list[tuple[_Node, list[tuple[_Node, str, bool]]]]:
                     break
                 if stack[depth].tag not in INLINE and stack[depth].tag not in ("tbody", "thead", "tfoot"):
                     break
-        here = _Node(tag, stack[-1], stack[-1].skip or skip, doubt)
+        kind = " ".join(sorted(WORDS.findall(attributes.get("class", "").lower())))
+        here = _Node(tag, stack[-1], stack[-1].skip or skip, doubt, _comment(tag, names), kind)
+        here.dates, here.signed = int(dated), signed or tag in NAME_TAGS
         stack.append(here)
         opened[tag] += 1
     end_block()
@@ -224,16 +261,96 @@ def _joined(texts: list[tuple[_Node, str, bool]]) -> tuple[str, int]:
 def _judged(blocks):
     """Blocks as element, text and length of link text, without the elements in doubt that don't hold the article."""
     order = _around(t[0] for _, texts in blocks for t in texts)
+    blocks = _without(blocks, order, _named_comments(blocks, order))
+    order = _around(t[0] for _, texts in blocks for t in texts)
+    blocks = _without(blocks, order, _listed_comments(blocks, order))
+    order = _around(t[0] for _, texts in blocks for t in texts)
     if any(node.doubt for node in order):
-        dropped = _dropped(blocks, order)
-        lost = {}
-        for node in order:  # an element comes before those it holds
-            lost[node] = node in dropped or node.parent is not None and lost[node.parent]
-        blocks = [(node, [t for t in texts if not lost[t[0]]]) for node, texts in blocks]
+        blocks = _without(blocks, order, _dropped(blocks, order))
     found = [(node, *_joined(texts)) for node, texts in blocks]
     return [b for b in found if b[1]]
 
 
+def _without(blocks, order: list[_Node], dropped: set[_Node]):
+    """Blocks without the texts in any of the elements."""
+    if not dropped:
+        return blocks
+    lost = {}
+    for node in order:  # an element comes before those it holds
+        lost[node] = node in dropped or node.parent is not None and lost[node.parent]
+    found = [(node, [t for t in texts if not lost[t[0]]]) for node, texts in blocks]
+    return [b for b in found if b[1]]
+
+
+def _is_prose(node: _Node, texts, least: int = PARAGRAPH) -> bool:
+    """Whether a block is a heading or a paragraph."""
+    text, linked = _joined(texts)
+    return bool(text) and (node.tag in HEADINGS or len(text) >= least and linked <= LINKED * len(text))
+
+
+def _named_comments(blocks, order: list[_Node]) -> set[_Node]:
+    """Elements named as reader comments, however much they hold, if something else can be the article.
+
+    A name that says no more needs a heading or paragraph outside. One with other words
+    in it needs a long paragraph there, and inside a list of like elements, but
+    neither the title nor a marked article.
+    """
+    if not any(node.comment for node in order):
+        return set()
+    found = set()
+    for comment, least in ((FULLY, PARAGRAPH), (SOMEHOW, LONG)):
+        own = {n for n in order if n.comment == comment}
+        if comment == SOMEHOW:
+            own -= set(_around(n for n in order if n.tag == "h1" or n.tag in WHOLE))
+            like = Counter((n.parent, n.tag, n.kind) for n in order if n.tag != "p" and n.tag not in INLINE)
+            own &= {parent for (parent, _, _), many in like.items() if many > 2}
+        inside = {}
+        for node in order:
+            inside[node] = node in own or node in found or node.parent is not None and inside[node.parent]
+        outside = [(n, t) for n, t in blocks if not inside[n]]
+        if own and any(_is_prose(n, t, least) and (comment == FULLY or n.tag not in HEADINGS) for n, t in outside):
+            found |= own
+    return found
+
+
+def _listed_comments(blocks, order: list[_Node]) -> set[_Node]:
+    """Lists of comments by their structure, below a heading or paragraph.
+
+    Two or more elements of the same tag and class in one element, each with a date
+    and a name and none with a title: their list goes too if it has little else.
+    """
+    dates = {n: n.dates for n in order}
+    signed, titled = {n: n.signed for n in order}, {n: n.tag in ("h1", "h2") or n.tag in WHOLE for n in order}
+    for node in reversed(order):
+        if node.parent is not None:
+            dates[node.parent] += dates[node]
+            signed[node.parent] |= signed[node]
+            titled[node.parent] |= titled[node]
+    groups = {}
+    for node in order:
+        if node.parent is not None and node.tag not in INLINE and dates[node] and signed[node] and not titled[node]:
+            groups.setdefault((node.parent, node.tag, node.kind), []).append(node)
+    items = {n for some in groups.values() if len(some) > 1 for n in some}
+    if not items:
+        return set()
+    inside, first = {}, None
+    for node in order:
+        inside[node] = node in items or node.parent is not None and inside[node.parent]
+    for at, (node, _) in enumerate(blocks):
+        if inside[node]:
+            first = at
+            break
+    if first is None or not any(_is_prose(n, t) for n, t in blocks[:first]):
+        return set()
+    rest = {}
+    for node, texts in blocks:
+        while node is not None and not inside[node]:
+            rest[node] = max(rest.get(node, 0), len(_joined(texts)[0]))
+            node = node.parent
+    lists = {n.parent for n in items if n.parent.tag not in ("html", "body") and not titled[n.parent]}
+    return items | {n for n in lists if rest.get(n, 0) < LONG}
+
+
 def _around(nodes: Iterable[_Node]) -> list[_Node]:
     """The elements and all around them, outer ones first."""
     found = {}
@@ -330,7 +447,12 @@ def main_text(page: str | None) -> str:
         return "\n".join(_with_siblings(best, blocks, order, holders))
     whole = best.whole
     least = max(10.0, score(whole) / 5)
-    kept = {whole} | {n for n in holders if n.parent is whole.parent and n.parent and score(n) >= least}
+    # Beside an article with a paragraph of its own only other articles belong to it.
+    alone = any(b.whole is whole and len(text) - linked >= LONG for b, text, linked in blocks)
+    kept = {whole} | {
+        n for n in holders
+        if n.parent is whole.parent and n.parent and score(n) >= least and (not alone or n.tag in WHOLE)
+    }
     within = {}
     for node in order:
         within[node] = node in kept or node.parent is not None and within[node.parent]

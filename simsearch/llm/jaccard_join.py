@@ -296,6 +296,7 @@ def _candidates(texts, facts, classes, n: int, percent: int) -> DataFrame:
         _survivors(n, percent, repeated), "_k1 long, _k2 long, n long, grams array<long>"
     )
     kept = materialize(kept, "survivors")
+    repeated.destroy()
     if not kept.groupBy(*KEY).count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(KEY)
     names = classes.select(F.col("one._k1").alias("_k1"), F.col("one._k2").alias("_k2"), "node")

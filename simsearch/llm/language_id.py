@@ -26,6 +26,10 @@ DIMENSIONS = 1024
 _TRIGRAMS, _TEXTS = 2048, 256
 _PIECE = 1 << 20
 UNKNOWN = "und"
+# Cosines of unrelated vectors spread by 1 / 32 around 0: four times that is no chance agreement.
+LEAST_SCORE = 4 / DIMENSIONS**0.5
+# A text with fewer code points is too short to be told from chance.
+JUDGED_CHARS = 40
 
 
 class _Letters:
@@ -186,28 +190,36 @@ def predict_language(
     )
 
 
-def _known(names: list[str], table: np.ndarray, seed: int, accepted: frozenset[str] | None):
+def _known(names: list[str], table: np.ndarray, seed: int, accepted: frozenset[str] | None, least: float):
     predict = _predict(names, table, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            text = batch.select(["text"])
-            found = [p for part in predict(iter([text])) for p in part.column("lang_pred").to_pylist()]
-            keep = [x != UNKNOWN and (accepted is None or x in accepted) for x in found]
+            keep = []
+            lengths = [len(t or "") for t in batch.column("text").to_pylist()]
+            for part in predict(iter([batch.select(["text"])])):
+                langs, scores = (part.column(c).to_pylist() for c in ("lang_pred", "score"))
+                for lang, score in zip(langs, scores):
+                    sure = score >= least or lengths[len(keep)] < JUDGED_CHARS
+                    keep.append(lang != UNKNOWN and sure and (accepted is None or lang in accepted))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def keep_known(
-    docs: DataFrame, profiles: dict[str, np.ndarray], accepted: list[str] | None = None, seed: int = 5
+    docs: DataFrame, profiles: dict[str, np.ndarray], accepted: list[str] | None = None, seed: int = 5,
+    least_score: float = LEAST_SCORE,
 ) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or not among ``accepted`` (null: any).
 
-    All columns stay as they are, whatever their names; only ``text`` is looked at.
+    A text of JUDGED_CHARS code points or more goes too if its cosine with every
+    prototype is under ``least_score``: it is in none of the languages. All columns
+    stay as they are, whatever their names; only ``text`` is looked at. Without
+    profiles whatever has letters stays; an empty table stays empty.
     """
-    if not profiles:  # nothing learnt: whatever has letters stays
-        profiles = {"": np.zeros(DIMENSIONS)}
+    if not profiles:
+        profiles, least_score = {"": np.zeros(DIMENSIONS)}, 0.0
     names, table = _ordered(profiles)
     wanted = None if accepted is None else frozenset(accepted)
-    return docs.mapInArrow(_known(names, table, seed, wanted), docs.schema)
+    return docs.mapInArrow(_known(names, table, seed, wanted, least_score), docs.schema)

@@ -196,6 +196,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         ),
         "windows",
     )
+    repeated.destroy()
     # At most one row per window and task (or half a million windows of it).
     asked = found.where("asks").withColumn(
         "n", F.count("*").over(Window.partitionBy("w1", "w2"))

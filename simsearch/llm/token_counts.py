@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import importlib.util
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +26,9 @@ from simsearch.plans.storage import materialize
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 128
+# What the splitting pattern counts as white space. It makes one piece of a run of it,
+# but for the last character of a run before other text, and fails on very long ones.
+LONG_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 _encodings: dict[str, object] = {}
 
 
@@ -52,11 +56,22 @@ def _encoding(name: str, ranks: bytes, pattern: str):
     return _encodings[name]
 
 
+def encoded_length(encoding, text: str) -> int:
+    """Tokens of a whole text; long runs of white space are encoded as the pieces they are."""
+    total = at = 0
+    for run in LONG_SPACES.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[at:run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start():end]))
+        at = end
+    return total + len(encoding.encode_ordinary(text[at:]))
+
+
 def _lengths(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(*vocabulary.value)
         for batch in pieces(batches):
-            found = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch.column("text").to_pylist()]
+            found = [encoded_length(encoding, t) if t else 0 for t in batch.column("text").to_pylist()]
             columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
             yield pa.RecordBatch.from_pydict(columns | {"n_tokens": pa.array(found, pa.int64())})
 

@@ -28,16 +28,20 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> _SHIFT)
 
 
+# Powers of a base that stay in a worker's memory (8 bytes each): enough for a piece of usual size.
+MOST_POWERS = 1 << 21
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    """base**0 .. base**(size-1) modulo 2**64; kept for the task's later pieces."""
+    """base**0 .. base**(size-1) modulo 2**64; up to MOST_POWERS are kept for the task's later pieces."""
     held = _powers.get(base)
     if held is None or len(held) < size:
         table = np.full(max(size, 1 << 16), base & (2**64 - 1), np.uint64)
         table[0] = 1
-        held = _powers[base] = np.multiply.accumulate(table)
+        held = np.multiply.accumulate(table, out=table)
+        if len(held) <= MOST_POWERS:
+            _powers[base] = held
     return held[:size]
 
 

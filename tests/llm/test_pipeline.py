@@ -3,7 +3,9 @@ import re
 from collections import Counter
 
 import pytest
-from llm_rows import prose
+from llm_rows import messy, nothing, prose  # noqa: F401
+
+from simsearch.plans.storage import materialize
 
 pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -30,7 +32,7 @@ def test_stages(spark, folder):
         out = stage(spark, kept, folder)
         if name != "source_mix":
             assert out.dtypes == docs.dtypes, name
-        kept = pipeline.materialize(out, name)
+        kept = materialize(out, name)
         ids.append([r.doc_id for r in kept.select("doc_id").collect()])
     clean = list(range(120))
     by_key = lambda found: sorted(found, key=repr)
@@ -45,6 +47,28 @@ def test_stages(spark, folder):
     assert set(times) <= set(ids[3]) and max(times.values()) <= 2
 
 
+def test_texts_in_no_known_language_go(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    strange = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(200))
+    rows = [(900, strange, None, "s0"), (901, "日本語", None, "s0"), (902, prose(902, 60), None, "s0")]
+    more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    more = docs.unionByName(more, allowMissingColumns=True)
+    kept = {r.doc_id for r in pipeline.known_language(spark, more, folder).select("doc_id").collect()}
+    # The short text cannot be told from chance.
+    assert 900 not in kept and {901, 902} <= kept
+
+
+def test_empty_tables_and_no_labels(spark, tmp_path, messy, nothing):
+    for name, docs in (("none", nothing), ("unlabelled", messy.withColumn("lang", messy.lang.substr(1, 0)))):
+        docs = docs if name == "none" else docs.selectExpr("*", "cast(null as string) as l").drop("lang")
+        docs = docs.withColumnRenamed("l", "lang") if name != "none" else docs
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        rows = pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert (len(rows) == 0) == (name == "none")
+        assert all(re.search(r"[^\W\d_]", r.text) for r in rows)
+
+
 def test_run_equals_its_stages(spark, folder):
     rows = pipeline.run(spark, folder)
     assert {"shard", "place"} <= set(rows.columns) and rows.count() > 0
@@ -61,5 +85,5 @@ def test_entry_without_the_subpackage(monkeypatch):
 def test_a_query_for_each_operator():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()

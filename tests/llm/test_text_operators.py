@@ -52,6 +52,22 @@ def test_suffix_sums_over_many_blocks(spark):
                    for n, _ in counts}
 
 
+@tokenizers
+@pytest.mark.parametrize("char", [" ", "\t", "\r", "\n", "\u00a0", "\u3000"])
+def test_long_white_space(char):
+    encoding = token_counts._encoding(*token_counts.load_vocabulary())
+    for n in (1000, 1001, 5000):
+        for text in (f"ab{char * n}cd", f"{char * n}cd", f"ab{char * n}", char * n, f"a {char * n}, {char * n}b"):
+            assert token_counts.encoded_length(encoding, text) == len(encoding.encode_ordinary(text))
+    mixed = "one" + " \n" * 3000 + "\t two"
+    assert token_counts.encoded_length(encoding, mixed) == len(encoding.encode_ordinary(mixed))
+    # As long a run is one piece, encoded by itself: its last character goes with what follows.
+    run, long = 3_000_000, encoding._encode_single_piece
+    want = len(long(("x" * 3).encode())) + len(long((char * (run - 1)).encode()))
+    want += len(encoding.encode_ordinary(char + "yes"))
+    assert token_counts.encoded_length(encoding, "xxx" + char * run + "yes") == want
+
+
 # language model
 
 
@@ -211,6 +227,43 @@ def test_pages_keep_their_rows(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+PARAGRAPHS = "".join(f"<p>Paragraph {i} of the article, which is long enough to count, and ends.</p>" for i in "12")
+SAID = "I think that this is wrong, for more than one reason, and I will say why."
+
+
+def said(tag, n=25, byline=True):
+    by = "<b>Anna</b> <time>2024-01-05</time>" if byline else ""
+    return "".join(f"<{tag}>{by}<p>{SAID} {i}</p></{tag}>" for i in range(n))
+
+
+@pytest.mark.parametrize("body", [
+    f"<article><h1>T</h1>{PARAGRAPHS}</article><div class='comments'>{said('div', byline=False)}</div>",
+    f"<article><h1>T</h1>{PARAGRAPHS}<div class='comments'>{said('div', byline=False)}</div></article>",
+    f"<div><h1>T</h1>{PARAGRAPHS}</div><div class='comments'>{said('div', byline=False)}</div>",
+    f"<article><h1>T</h1>{PARAGRAPHS}</article><div id='responses'>{said('div')}<form><textarea></textarea></form></div>",
+    f"<article><h1>T</h1>{PARAGRAPHS}</article><ul class='reader-feedback'>{said('li')}</ul>",
+    f"<div><h1>T</h1>{PARAGRAPHS}</div><ol class='xyz'>{said('li')}</ol>",
+    f"<article><h1>T</h1>{PARAGRAPHS}<section id='talkback'><h3>25 voices</h3>{said('div')}</section></article>",
+    f"<div class='post'><h1>T</h1>{PARAGRAPHS}</div><div class='xyz'>{said('section', 2)}</div>",
+])
+def test_comments_go_however_many_they_are(body):
+    assert html_text.main_text(f"<body>{body}</body>") == (
+        "T\n" + "\n".join(f"Paragraph {i} of the article, which is long enough to count, and ends." for i in "12"))
+
+
+@pytest.mark.parametrize("name", ["comments", "has-comments", "comment-page discussion", "post-comments"])
+def test_a_wrapper_named_after_comments_keeps_the_article(name):
+    text = html_text.main_text(f"<body><div class='{name}'><h1>T</h1>{PARAGRAPHS * 3}</div></body>")
+    assert text.count("\n") == 6
+
+
+def test_dated_sections_of_an_article_stay():
+    entry = "<section><h2>At noon</h2><p>Something happened, as was expected, and went on for long.</p></section>"
+    dated = entry.replace("<p>", "<p><time>12:00</time> ")
+    text = html_text.main_text(f"<body><article><h1>T</h1>{PARAGRAPHS}{dated * 3}</article></body>")
+    assert text.count("Something happened") == 3
+
+
 # decontamination
 
 
@@ -374,3 +427,18 @@ def test_mix_of_troubled_rows(messy, nothing):
     rows, taken = mixed(nothing)
     assert not rows and not taken
     assert mixing.mixed_documents(nothing).count() == 0
+
+
+def test_a_full_chunk_of_items_stays_small():
+    rng = np.random.default_rng(6)
+    vocabulary = np.array([f"w{i:06d}" for i in range(200_000)])
+    size = decontamination.CHUNK_BYTES // 240
+    texts = [" ".join(row) for row in vocabulary[rng.integers(0, len(vocabulary), (size, 30))]]
+    words = decontamination._words(decontamination.pa.array(texts, decontamination.pa.large_string()))
+    df = Counter(words.hashes().view(np.int64).tolist())
+    index = decontamination.Index(list(enumerate(texts)), df, size, 30.0)
+    held = sum(x.nbytes for x in vars(index).values() if isinstance(x, np.ndarray))
+    assert held + sum(h.nbytes for h in index.hashes) < 150 << 20
+    own = decontamination._words(decontamination.pa.array(["some words", "and " + texts[17] + " more", texts[-1]]))
+    rows, items, _ = decontamination.retrieve(index, own, own.hashes())
+    assert {(1, 17), (2, size - 1)} <= set(zip(rows.tolist(), items.tolist()))
