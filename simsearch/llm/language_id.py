@@ -26,8 +26,8 @@ DIMENSIONS = 1024
 _TRIGRAMS, _TEXTS = 2048, 256
 _PIECE = 1 << 20
 UNKNOWN = "und"
-# Cosines of unrelated vectors spread by 1 / 32 around 0: four times that is no chance agreement.
-LEAST_SCORE = 4 / DIMENSIONS**0.5
+# Cosines of unrelated vectors spread by 1 / 32 around 0: three times that is hardly chance.
+LEAST_SCORE = 3 / DIMENSIONS**0.5
 # A text with fewer code points is too short to be told from chance.
 JUDGED_CHARS = 40
 
