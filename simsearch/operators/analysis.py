@@ -90,11 +90,13 @@ def analyze_queries(
     qid_col: str = "qid",
     text_col: str = "text",
     stopword_lists: dict[str, Iterable[str]] | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Rows ``(qid, term, tf)`` in one language for all queries.
 
     Punctuation stays in query words unless ``clean`` is set, so ``"love,"`` is
-    not the term ``love``.
+    not the term ``love``. The words of a ``few`` queries are stemmed as they come,
+    without a dictionary.
     """
     language = language_name(lang)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -106,5 +108,8 @@ def analyze_queries(
     counted = tokens.groupBy("qid", "lang", "token").agg(F.count("*").alias("tf"))
     if not stem:
         return counted.select("qid", F.col("token").alias("term"), "tf")
-    stemmed = apply_stems(counted, stem_vocabulary(counted, [language]))
+    if few:
+        stemmed = counted.withColumn("term", stem_column("token", "lang", [language]))
+    else:
+        stemmed = apply_stems(counted, stem_vocabulary(counted, [language]))
     return stemmed.groupBy("qid", "term").agg(F.sum("tf").alias("tf"))

@@ -21,15 +21,23 @@ from simsearch.plans.storage import materialize
 # Width in ids of one stretch of a posting list. A list is split by document id,
 # so a term found in every document still comes in pieces of at most this many.
 BLOCK_SPAN = 4096
+# Width in ids of the blocks whose greatest term frequencies are kept with a stored index.
+MAXIMA_SPAN = 256
 
 
 @dataclass(frozen=True)
 class Index:
-    """``postings (term, doc_id, tf)``, ``terms (term, df, tf_square)`` and N."""
+    """``postings (term, doc_id, tf)``, ``terms (term, df, tf_square)`` and N.
+
+    ``blocks (term, block, n, max_tf)``, if there, has the postings of each term by
+    blocks of ``span`` ids and their greatest term frequency.
+    """
 
     postings: DataFrame
     terms: DataFrame
     n_docs: int
+    blocks: DataFrame | None = None
+    span: int = MAXIMA_SPAN
 
 
 def tf_weight(tf: Column) -> Column:
@@ -54,10 +62,21 @@ def term_statistics(postings: DataFrame) -> DataFrame:
     )
 
 
+def block_of(span: int) -> Column:
+    """Number of the block of ``span`` ids that ``doc_id`` is in."""
+    return F.expr(f"(doc_id - pmod(doc_id, {int(span)})) div {int(span)}")
+
+
+def block_maxima(postings: DataFrame, span: int = MAXIMA_SPAN) -> DataFrame:
+    """Rows ``(term, block, n, max_tf)``: what bounds the scores of a block before it is read."""
+    return postings.groupBy("term", block_of(span).alias("block")).agg(
+        F.count("*").alias("n"), F.max("tf").alias("max_tf")
+    )
+
+
 def posting_lists(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     """Rows ``(term, block, postings)``: ordered lists, split by document id."""
-    block = F.expr(f"(doc_id - pmod(doc_id, {int(span)})) div {int(span)}")
-    return postings.groupBy("term", block.alias("block")).agg(
+    return postings.groupBy("term", block_of(span).alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
     )
 

@@ -17,6 +17,7 @@ from simsearch.operators.blocks import (
     query_slices,
     run_blocks,
     to_matrix,
+    usable,
 )
 from simsearch.operators.search import top_k
 from simsearch.plans.joins import lookup_join
@@ -49,17 +50,21 @@ def lsh_signature(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """Rows ``(id, signature)``, the signature as an array of 64-bit words."""
+    """Rows ``(id, signature)``, the signature as an array of 64-bit words.
+
+    A vector with a null, NaN or infinite element has none.
+    """
 
     def sign(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            matrix = to_matrix(batch.column(1))
+            at, matrix = usable(np.arange(batch.num_rows), to_matrix(batch.column(1)))
             words = sign_words(matrix, hyperplanes(nbits, matrix.shape[1], seed))
             offsets = np.arange(0, words.size + 1, words.shape[1], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(words.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], [id_col, "signature"])
+            ids = batch.column(0).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([ids, lists], [id_col, "signature"])
 
     rows = vectors.select(F.col(id_col).cast("long"), vector_col).where(
         F.col(vector_col).isNotNull()

@@ -21,12 +21,16 @@ from simsearch.operators.blocks import (
     run_blocks,
     squared_distances,
 )
+from simsearch.operators import pivots
 from simsearch.operators.search import top_k
-from simsearch.plans.joins import fits_broadcast, lookup_join
+from simsearch.plans.joins import estimated_bytes, fits_broadcast, lookup_join
 from simsearch.plans.storage import materialize
 
 _HITS = "qid long, vec_id long, distance double, value double"
 _PAIRS = "qid long, vec_id long, distance double"
+# Query tables so many times too large for a task are dealt to cells, unless more than such a
+# share of all pairs has to be compared anyway: then scans of the vectors move less.
+FEW_SCANS, MOST_SHARE = 64, 0.5
 
 
 def _nearest(k: int):
@@ -73,6 +77,15 @@ def _merged(hits: DataFrame, k: int) -> DataFrame:
     return best.select("qid", F.col("rank").cast("long").alias("rank"), "vec_id", "distance")
 
 
+def _share_of_pairs(queries: DataFrame, query_col: str, query_bytes: int, kept: int) -> float | None:
+    """The share of pairs up to which cells pay; none if the queries fit a task."""
+    held = queries.select("qid", query_col).where(F.col(query_col).isNotNull())
+    size = estimated_bytes(held, per_row=kept * 24)
+    if size <= query_bytes:
+        return None
+    return MOST_SHARE if size <= FEW_SCANS * query_bytes else 1.0
+
+
 def knn(
     vectors: DataFrame,
     queries: DataFrame,
@@ -80,10 +93,19 @@ def knn(
     vector_col: str = "embedding",
     query_col: str = "q",
     query_bytes: int = QUERY_BYTES,
+    cell_rows: int = pivots.CELL_ROWS,
 ) -> DataFrame:
-    """Rows ``(qid, rank, vec_id, distance)``: the k nearest, ties to the smaller id."""
+    """Rows ``(qid, rank, vec_id, distance)``: the k nearest, ties to the smaller id.
+
+    Queries of more than ``query_bytes`` are dealt to cells of about ``cell_rows`` vectors.
+    """
     if k <= 0:
         raise ValueError("k must be positive")
+    share = _share_of_pairs(queries, query_col, query_bytes, k)
+    if share is not None:
+        hits, _ = pivots.nearest(vectors, queries, k, vector_col, query_col, share, cell_rows)
+        if hits is not None:
+            return _merged(hits, k)
     hits = run_blocks(
         vectors, queries, _nearest(k), _HITS, vector_col, query_col,
         query_bytes=query_bytes, kept=k,
@@ -98,10 +120,17 @@ def range_search(
     vector_col: str = "embedding",
     query_col: str = "q",
     query_bytes: int = QUERY_BYTES,
+    cell_rows: int = pivots.CELL_ROWS,
 ) -> DataFrame:
-    """Rows ``(qid, vec_id, distance)`` with distance at most ``radius``."""
+    """Rows ``(qid, vec_id, distance)`` with distance at most ``radius``; see ``knn`` for many queries."""
     if radius < 0:
         raise ValueError("radius must not be negative")
+    share = _share_of_pairs(queries, query_col, query_bytes, 0)
+    if share is not None:
+        bounded = queries.select("qid", query_col).withColumn("_radius", F.lit(float(radius)))
+        hits, _ = pivots.within(vectors, bounded, vector_col, query_col, "_radius", share, cell_rows)
+        if hits is not None:
+            return hits
     return run_blocks(
         vectors, queries, _within(float(radius)), _PAIRS, vector_col, query_col,
         query_bytes=query_bytes,
@@ -115,6 +144,7 @@ def knn_with_ties(
     vector_col: str = "embedding",
     query_col: str = "q",
     query_bytes: int = QUERY_BYTES,
+    cell_rows: int = pivots.CELL_ROWS,
 ) -> DataFrame:
     """Rows ``(qid, vec_id, distance)``: the k nearest and all as near as the k-th.
 
@@ -122,13 +152,18 @@ def knn_with_ties(
     everything within it: equally near copies stay where they are scanned, however
     many there are.
     """
-    nearest = knn(vectors, queries, k, vector_col, query_col, query_bytes)
+    nearest = knn(vectors, queries, k, vector_col, query_col, query_bytes, cell_rows)
     radius = nearest.groupBy("qid").agg(F.max("distance").alias("_radius"))
     # A radius per query is no larger than the queries themselves.
     small = fits_broadcast(queries.select("qid", query_col), query_bytes)
-    bounded = lookup_join(
-        queries.select("qid", query_col), radius, ["qid"], broadcast=small
-    ).select(
+    bounded = lookup_join(queries.select("qid", query_col), radius, ["qid"], broadcast=small)
+    share = _share_of_pairs(queries, query_col, query_bytes, 0)
+    if share is not None:
+        bounded = materialize(bounded, "radius")
+        hits, _ = pivots.within(vectors, bounded, vector_col, query_col, "_radius", share, cell_rows)
+        if hits is not None:
+            return hits
+    bounded = bounded.select(
         "qid",
         F.concat(
             F.transform(query_col, lambda x: x.cast("double")), F.array("_radius")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simsearch.functions.stopwords import sql_list
 from simsearch.operators.analysis import analyze_documents, analyze_queries
-from simsearch.operators.index import Index, build_index, tf_weight
+from simsearch.operators.index import Index, block_of, build_index, tf_weight
+from simsearch.operators.product import blocked_scores
 from simsearch.plans.joins import fits_broadcast, lookup_join
 from simsearch.plans.storage import materialize
 from simsearch.sources.tables import corpus_slice
@@ -19,10 +21,17 @@ UNKNOWN = "Unknown"
 
 # Query terms put into the scan as literals; see ``narrow``.
 LITERAL_TERMS = 1000
+# Hits of one text that are shown by literals.
+LITERAL_HITS = 1000
 # Pairs of query and posting that one task of ``score`` adds up, and the most tasks: beyond
 # that the aggregate of a task spills instead.
 TASK_PAIRS = 500_000
 MOST_TASKS = 20_000
+# Pairs from which on block maxima are asked first, and blocks scored at once to bound the k-th.
+BLOCK_PAIRS = 50_000_000
+PROBED = 2
+# What adding up in another order may change in a similarity, and what counts as tied.
+_SLACK = 2e-12
 
 
 def narrow(index: Index, terms: DataFrame, most: int = LITERAL_TERMS) -> Index:
@@ -35,8 +44,15 @@ def narrow(index: Index, terms: DataFrame, most: int = LITERAL_TERMS) -> Index:
     found = terms.select("term").distinct().limit(most + 1).collect()
     if not found or len(found) > most:
         return index
-    wanted = F.expr(f"term IN ({sql_list(sorted(row.term for row in found))})")
-    return Index(index.postings.where(wanted), index.terms.where(wanted), index.n_docs)
+    return _of_terms(index, [row.term for row in found])
+
+
+def _of_terms(index: Index, terms: Iterable[str]) -> Index:
+    wanted = F.expr(f"term IN ({sql_list(sorted(terms))})")
+    blocks = None if index.blocks is None else index.blocks.where(wanted)
+    return replace(
+        index, postings=index.postings.where(wanted), terms=index.terms.where(wanted), blocks=blocks
+    )
 
 
 def lookup_terms(index: Index, terms: DataFrame) -> DataFrame:
@@ -87,13 +103,17 @@ def doc_weights(index: Index) -> DataFrame:
     )
 
 
-def _tasks(weights: DataFrame) -> int:
+def _pairs(weights: DataFrame) -> int:
+    """Pairs of query and posting, which the document frequencies tell in advance."""
+    return weights.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+
+
+def _tasks(weights: DataFrame, pairs: int | None = None) -> int:
     """Tasks that keep the scores each of them adds up in memory.
 
-    The work grows with the pairs of query and posting, which the document
-    frequencies tell in advance and the bytes of the postings do not.
+    The work grows with the pairs, which the bytes of the postings do not tell.
     """
-    pairs = weights.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    pairs = _pairs(weights) if pairs is None else pairs
     session = weights.sparkSession.conf.get("spark.sql.shuffle.partitions")
     return max(int(session), min(MOST_TASKS, math.ceil(pairs / TASK_PAIRS)))
 
@@ -103,6 +123,7 @@ def score(
     weights: DataFrame,
     broadcast: bool | None = None,
     query_terms: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows ``(qid, doc_id, dot, similarity)`` of all matching documents.
 
@@ -110,20 +131,25 @@ def score(
     queries: a posting that many queries share travels once, and each task then
     adds up whole scores. The similarity divides by the query's ``norm``, one
     constant per query, and is 0 where that is 0. ``query_terms`` names the terms
-    asked for where that is cheaper than reading them from the weights.
+    asked for where that is cheaper than reading them from the weights. Weights
+    with a ``block`` meet the postings of that block only. Weights too many to be
+    sent to every task meet the postings in cells.
     """
+    postings, on = index.postings, ["term"]
+    if "block" in weights.columns:
+        postings, on = postings.withColumn("block", block_of(index.span)), ["term", "block"]
     if broadcast is None:
         broadcast = fits_broadcast(weights)
     if broadcast:
-        asked = (weights if query_terms is None else query_terms).select("term").distinct()
-        wanted = lookup_join(index.postings, asked, ["term"], "left_semi", broadcast=True)
+        asked = (weights if query_terms is None else query_terms).select(*on).distinct()
+        wanted = lookup_join(postings, asked, on, "left_semi", broadcast=True)
         matches = lookup_join(
-            wanted.repartition(_tasks(weights), "doc_id"), weights, ["term"], broadcast=True
+            wanted.repartition(tasks or _tasks(weights), "doc_id"), weights, on, broadcast=True
         )
+    elif on == ["term"]:
+        return blocked_scores(index, weights)
     else:
-        matches = lookup_join(
-            index.postings, weights, ["term"], salt_by=["doc_id"], broadcast=False
-        )
+        matches = lookup_join(postings, weights, on, salt_by=["doc_id"], broadcast=False)
     wd = tf_weight(F.col("tf")) * F.col("idf")
     dots = matches.groupBy("qid", "doc_id").agg(
         F.sum(F.col("wq") * wd).alias("dot"), F.max("norm").alias("norm")
@@ -155,6 +181,52 @@ def top_k(
     return scores.withColumn("rank", ranked).where(F.col("rank") <= k)
 
 
+def _kth(rows: DataFrame, column: str, k: int) -> DataFrame:
+    """Rows ``(qid, least)``: the k-th greatest value of each query that has as many."""
+    best = top_k(rows, k, order=[F.col(column).desc()])
+    full = best.groupBy("qid").agg(F.count("*").alias("n"), F.min(column).alias("least"))
+    return full.where(F.col("n") >= k).select("qid", "least")
+
+
+def block_bounds(index: Index, weights: DataFrame) -> DataFrame:
+    """Weights by block of ids: those of ``weights`` and ``block``, ``df`` within it and ``most``.
+
+    ``most`` is what the term adds at most to a similarity in that block, and does
+    add for one of its documents.
+    """
+    on = lookup_join(index.blocks, weights.drop("df"), ["term"], salt_by=["block"])
+    most = F.col("wq") * F.col("idf") * tf_weight(F.col("max_tf"))
+    return on.select(
+        "qid", "term", "block", F.col("n").alias("df"), "idf", "wq", "norm",
+        F.when(F.col("norm") != 0, most / F.col("norm")).otherwise(F.lit(0.0)).alias("most"),
+    )
+
+
+def needed_blocks(index: Index, weights: DataFrame, k: int, probed: int = PROBED) -> DataFrame:
+    """``block_bounds`` with ``needed``: whether the block can hold one of the query's k best.
+
+    Each block has a document that scores its best term's share, so the k-th best
+    of those bounds the answer before any posting is read. Then the ``probed``
+    blocks of the highest bounds are scored, which raises it. A block all of whose
+    terms together stay below is not needed.
+    """
+    bounds = materialize(block_bounds(index, weights), "bounds")
+    cells = bounds.groupBy("qid", "block").agg(F.sum("most").alias("bound"), F.max("most").alias("sure"))
+    cells = materialize(cells, "cells")
+    first = top_k(cells, probed, order=[F.col("bound").desc(), F.col("block").asc()])
+    first = materialize(first.select("qid", "block"), "probed")
+    probes = lookup_join(bounds, first, ["qid", "block"], "left_semi").drop("most")
+    scores = score(index, materialize(probes, "probes")).select("qid", F.col("similarity").alias("sure"))
+    # A probed block's documents are known: its share counts no second time.
+    others = lookup_join(cells, first, ["qid", "block"], "left_anti").select("qid", "sure")
+    least = materialize(_kth(scores.unionByName(others), "sure", k), "least")
+    judged = lookup_join(cells, least, ["qid"], "left").select(
+        "qid", "block",
+        (F.col("least").isNull() | (F.col("bound") * (1 + 1e-9) + _SLACK >= F.col("least"))).alias("needed"),
+    )
+    return lookup_join(bounds, materialize(judged, "judged"), ["qid", "block"])
+
+
 def search_top_k(
     index: Index,
     queries: DataFrame,
@@ -163,10 +235,13 @@ def search_top_k(
     stem: bool = True,
     clean: bool = False,
     query_terms: DataFrame | None = None,
+    by_blocks: bool | None = None,
 ) -> DataFrame:
     """Rows ``(qid, rank, doc_id, similarity)`` for a table ``(qid, text)``.
 
-    ``query_terms`` passes queries that were analysed already.
+    ``query_terms`` passes queries that were analysed already. With block maxima
+    in the index and many pairs of query and posting (or where ``by_blocks`` says
+    so) only the postings of blocks that can hold an answer are scored.
     """
     if query_terms is None:
         query_terms = analyze_queries(queries, lang, stem, clean)
@@ -175,7 +250,16 @@ def search_top_k(
     # A weighted row is no wider than a few numbers more than a query term.
     small = fits_broadcast(query_terms)
     weights = materialize(query_weights(index, query_terms, broadcast=small), "weights")
-    best = top_k(score(index, weights, small, query_terms), k)
+    if by_blocks is None:
+        by_blocks = index.blocks is not None and _pairs(weights) >= BLOCK_PAIRS
+    if by_blocks:
+        needed = needed_blocks(index, weights, k).where("needed").drop("needed", "most")
+        scores = score(index, materialize(needed, "needed"))
+    elif small:
+        scores = score(index, weights, True, query_terms)
+    else:
+        scores = blocked_scores(index, weights, k)
+    best = top_k(scores, k)
     return best.select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
 
 
@@ -200,9 +284,10 @@ def attach_metadata(
         *[F.col(source).cast("string").alias(name) for name, source in columns.items()],
     )
     if small:
+        # Few rows of the metadata come back, one or some for each hit.
         ids = hits.select("doc_id").distinct()
-        kept = materialize(kept.join(F.broadcast(ids), "doc_id", "left_semi"), "shown")
-        joined = lookup_join(hits, kept, ["doc_id"], "left")
+        kept = kept.join(F.broadcast(ids), "doc_id", "left_semi")
+        joined = hits.join(kept, "doc_id", "left")
     else:
         joined = lookup_join(hits, kept, ["doc_id"], "left")
     return joined.select(
@@ -248,17 +333,32 @@ def liketo(
         raise ValueError(f"unknown columns: {unknown}")
     mapping = SONG_COLUMNS if metadata is None else metadata
     mapping = {name: source for name, source in mapping.items() if source in table.columns}
-    one = table.sparkSession.createDataFrame([(0, text)], "qid long, text string")
-    terms = materialize(analyze_queries(one, lang, stem), "query")
+    spark = table.sparkSession
+    one = spark.createDataFrame([(0, text)], "qid long, text string")
+    # The words of one text, what the index knows of them and the hits are few rows each:
+    # they travel as literals instead of tables.
+    asked = analyze_queries(one, lang, stem, few=True).collect()
+    terms = spark.createDataFrame([tuple(r) for r in asked], "qid long, term string, tf long")
     if index is None:
         index = build_index(table, id_col, [field], lang_col, stem, vocabulary=terms)
+    elif asked:
+        index = _of_terms(index, [r["term"] for r in asked])
+    known = query_weights(index, terms, broadcast=True)
+    rows = [tuple(r) for r in known.collect()] if asked else []
+    weights = spark.createDataFrame(rows, known.schema)
+    tasks = _tasks(weights, sum(r[known.columns.index("df")] for r in rows))
+    scores = score(index, weights, True, terms, tasks).select("doc_id", "similarity")
+    hits = top_k(scores, limit, by=None)
+    few = limit <= LITERAL_HITS
+    if few:
+        found = hits.collect() if rows else []
+        hits = spark.createDataFrame([tuple(r) for r in found], hits.schema)
+        ids = ", ".join(str(r["doc_id"]) for r in found)
+        # Literals reach the scan of the table.
+        table = table.where(F.expr(f"`{id_col}` IN ({ids})") if found else F.lit(False))
     else:
-        index = narrow(index, terms)
-    # One text is as small as the argument it was passed in.
-    weights = materialize(query_weights(index, terms, broadcast=True), "weights")
-    hits = top_k(score(index, weights, True, terms).select("doc_id", "similarity"), limit, by=None)
-    hits = materialize(hits, "hits")
-    shown = attach_metadata(hits, table, mapping, id_col, small=True)
+        hits = materialize(hits, "hits")
+    shown = attach_metadata(hits, table, mapping, id_col, small=few)
     for name in ALL_COLUMNS:
         if name not in shown.columns:
             shown = shown.withColumn(name, F.lit(UNKNOWN))
@@ -287,9 +387,16 @@ def match_any(
         tokens = analyze_documents(df, id_col, [field], None, stem)
         # Words nobody asks for go first, and a word counts once for a document.
         asked = lookup_join(tokens, terms.select("term").distinct(), ["term"], "left_semi")
-        held = asked.select("doc_id", "term").distinct()
+        held = asked.select("doc_id", "term")
+        held = held.distinct() if limit is None else held
     else:
         held = narrow(index, terms).postings.select("doc_id", "term")
+    if limit is not None:
+        # A query's first documents are among the first of each of its terms: no more are paired.
+        if limit <= 0:
+            raise ValueError("k must be positive")
+        place = F.dense_rank().over(Window.partitionBy("term").orderBy("doc_id"))
+        held = held.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
     found = lookup_join(held, terms, ["term"], salt_by=["doc_id"]).select("qid", "doc_id")
     if limit is None:
         return found.distinct()

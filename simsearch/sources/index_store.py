@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from simsearch.operators.index import Index, term_statistics
+from simsearch.operators.index import MAXIMA_SPAN, Index, block_maxima, term_statistics
 from simsearch.plans.storage import discard, new_table_path
 
 POSTINGS = T.StructType(
@@ -23,7 +23,16 @@ TERMS = T.StructType(
         T.StructField("tf_square", T.DoubleType()),
     ]
 )
-META = T.StructType([T.StructField("n_docs", T.LongType())])
+BLOCKS = T.StructType(
+    [
+        T.StructField("term", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("max_tf", T.LongType()),
+    ]
+)
+# An index written without block maxima has no span.
+META = T.StructType([T.StructField("n_docs", T.LongType()), T.StructField("span", T.LongType())])
 
 
 def write_index(
@@ -32,8 +41,9 @@ def write_index(
     partitions: int | None = None,
     block_rows: int = 1_000_000,
     mode: str = "errorifexists",
+    span: int = MAXIMA_SPAN,
 ) -> None:
-    """Write postings and terms sorted by term, so a lookup reads few row groups.
+    """Write postings, terms and block maxima sorted by term, so a lookup reads few row groups.
 
     The ranges run over term and document: a very frequent term is split over as
     many files as it needs. Finding the ranges and sorting both read the postings,
@@ -54,21 +64,27 @@ def write_index(
         .write.mode(mode).option("maxRecordsPerFile", block_rows).parquet(f"{path}/postings")
     )
     written = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
-    terms = term_statistics(written)
-    (
-        terms.repartitionByRange("term").sortWithinPartitions("term")
-        .write.mode(mode).option("maxRecordsPerFile", block_rows).parquet(f"{path}/terms")
-    )
+    for name, table, order in (
+        ("terms", term_statistics(written), ["term"]),
+        ("blocks", block_maxima(written, span), ["term", "block"]),
+    ):
+        (
+            table.repartitionByRange(*order).sortWithinPartitions(*order)
+            .write.mode(mode).option("maxRecordsPerFile", block_rows).parquet(f"{path}/{name}")
+        )
     discard(spark, unsorted)
     # Last: an index without its count of documents is not one, and is not read.
-    meta = spark.range(1).select(F.lit(index.n_docs).cast("long").alias("n_docs"))
+    meta = spark.range(1).select(
+        F.lit(index.n_docs).cast("long").alias("n_docs"), F.lit(span).cast("long").alias("span")
+    )
     meta.write.mode(mode).parquet(f"{path}/meta")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    n_docs = spark.read.schema(META).parquet(f"{path}/meta").first()["n_docs"]
-    return Index(
-        spark.read.schema(POSTINGS).parquet(f"{path}/postings"),
-        spark.read.schema(TERMS).parquet(f"{path}/terms"),
-        n_docs,
-    )
+    meta = spark.read.schema(META).parquet(f"{path}/meta").first()
+    postings = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
+    terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
+    if meta["span"] is None:
+        return Index(postings, terms, meta["n_docs"])
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
+    return Index(postings, terms, meta["n_docs"], blocks, meta["span"])

@@ -366,6 +366,8 @@ def oracles() -> dict[str, str]:
     found["corpus_slice_cut"] = found["corpus_slice"]
     found["liketo_stored"] = found["liketo"]
     found["match_any_stored"] = found["match_any_limit"]
+    for name, plain in (("search_topk_blocks", "search_topk"), ("search_topk_cells", "search_topk"), ("knn_cells", "knn_exact"), ("range_cells", "range_search"), ("knn_ties_cells", "knn_ties")):
+        found[name] = found[plain]
     found["range_pca_full"] = found["range_search"]
     found["zero_crossings_cut"] = found["zero_crossings"]
     centred = f"""{_FLAT},

@@ -12,9 +12,10 @@ from simsearch.functions.text import clean_text, concat_text, resolve_language
 from simsearch.functions.vectors import l2_distance, minmax_normalize
 from simsearch.operators import analysis, distribution, features, index, lsh, neighbours
 from simsearch.operators import reduction, search
+from simsearch.operators.product import blocked_scores
 from simsearch.plans.joins import lookup_join
 from simsearch.plans.selection import number_rows
-from simsearch.plans.storage import new_table_path
+from simsearch.plans.storage import materialize, new_table_path
 from simsearch.sources import index_store, tables
 from simsearch.sources import vectors as vector_files
 
@@ -304,6 +305,28 @@ def search_topk(spark, sf_dir):
     return rounded(_search(spark, sf_dir), "similarity")
 
 
+def search_topk_blocks(spark, sf_dir):
+    """The same through a stored index whose block maxima say what has to be read."""
+    path = new_table_path(spark, "index")
+    built = index.build_index(documents(spark, sf_dir), stem=False)
+    index_store.write_index(built, path, span=32)
+    found = search.search_top_k(
+        index_store.read_index(spark, path), text_queries(spark, sf_dir), K,
+        query_terms=plain_terms(spark, sf_dir), by_blocks=True,
+    )
+    return rounded(found, "similarity")
+
+
+def search_topk_cells(spark, sf_dir):
+    """The same as if the queries were too many to be sent to every task."""
+    terms = materialize(plain_terms(spark, sf_dir), "query")
+    built = index.build_index(documents(spark, sf_dir), stem=False, vocabulary=terms)
+    weights = materialize(search.query_weights(built, terms), "weights")
+    found = search.top_k(blocked_scores(built, weights, K, block_weights=500, cell_postings=5000), K)
+    found = found.select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
+    return rounded(found, "similarity")
+
+
 def search_topk_stemmed(spark, sf_dir):
     terms = analysis.analyze_queries(text_queries(spark, sf_dir))
     built = index.build_index(documents(spark, sf_dir), vocabulary=terms)
@@ -391,6 +414,27 @@ def range_search(spark, sf_dir):
     return rounded(found, "distance")
 
 
+# A query table of any size counts as large, and cells are small, as if there were many.
+CELLS = {"query_bytes": 0, "cell_rows": 25}
+
+
+def knn_cells(spark, sf_dir):
+    found = neighbours.knn(embeddings(spark, sf_dir), vector_queries(spark, sf_dir), K, **CELLS)
+    return rounded(found, "distance")
+
+
+def range_cells(spark, sf_dir):
+    found = neighbours.range_search(
+        embeddings(spark, sf_dir), vector_queries(spark, sf_dir), RADIUS, **CELLS
+    )
+    return rounded(found, "distance")
+
+
+def knn_ties_cells(spark, sf_dir):
+    found = neighbours.knn_with_ties(embeddings(spark, sf_dir), vector_queries(spark, sf_dir), K, **CELLS)
+    return rounded(found, "distance")
+
+
 def knn_ties(spark, sf_dir):
     found = neighbours.knn_with_ties(embeddings(spark, sf_dir), vector_queries(spark, sf_dir), K)
     return rounded(found, "distance")
@@ -582,10 +626,10 @@ QUERIES: dict[str, Query] = {
         term_freq, doc_freq, posting_lists, index_sorted, index_merge, index_build,
         index_build_stemmed,
         term_lookup, idf, query_weights, doc_weights, dot_scores, cosine_scores, text_topk,
-        search_topk, search_topk_stemmed, hits_metadata, liketo, liketo_stored,
+        search_topk, search_topk_blocks, search_topk_cells, search_topk_stemmed, hits_metadata, liketo, liketo_stored,
         match_any, match_any_limit, match_any_stored,
         search_by_corpus,
-        knn_exact, range_search, knn_ties, lsh_signature, hamming_topk, knn_lsh,
+        knn_exact, range_search, knn_ties, knn_cells, range_cells, knn_ties_cells, lsh_signature, hamming_topk, knn_lsh,
         knn_lsh_stored, distances, distance_percentiles, distance_hist, hits_tracks,
         pca_project, pca_variance, pca_components, pca_norms, pca_moments, components_kept,
         knn_pca, knn_pca_full, range_pca_full,

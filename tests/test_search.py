@@ -168,3 +168,68 @@ def test_few_terms_reach_the_scan(spark, built, tmp_path):
     assert search.narrow(stored, terms, most=5).postings.count() == 10
     got = search.search_top_k(stored, None, 5, query_terms=terms)
     assert [r.doc_id for r in got.orderBy("rank").collect()] == [0, 2, 1]
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """A stored index of many documents: one word in all of them, rare ones in a few blocks."""
+    import numpy as np
+
+    from simsearch.sources.index_store import read_index, write_index
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        words = ["all"] * int(rng.integers(1, 4)) + [f"w{w}" for w in rng.zipf(1.4, 12) if w < 400]
+        rows.append((i - 50, " ".join(words + ["rare"] * (9 if i in (77, 300, 301) else i % 97 == 0))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path_factory.mktemp("skewed") / "i")
+    write_index(index.build_index(docs, lang_col=None, stem=False), path, span=16)
+    return read_index(spark, path)
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 700])
+def test_block_maxima_change_no_answer(spark, skewed, k):
+    queries = ask(spark, "rare all", "w1 w2 w3 all", "w7 rare rare w50", "all", "absent", "w399 w1")
+    plain = tuples(search.search_top_k(skewed, queries, k, stem=False, by_blocks=False))
+    got = tuples(search.search_top_k(skewed, queries, k, stem=False, by_blocks=True))
+    assert [r[:3] for r in got] == [r[:3] for r in plain]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in plain])
+
+
+def test_blocks_that_cannot_answer_are_not_read(spark, skewed):
+    terms = analyze_queries(ask(spark, "rare all", "w50 w60 w2"), stem=False)
+    weights = search.query_weights(skewed, terms)
+    judged = search.needed_blocks(skewed, weights, 3)
+    total, read = judged.agg(F.sum("df"), F.sum(F.when(F.col("needed"), F.col("df")))).first()
+    assert total == weights.agg(F.sum("df")).first()[0] and read < 0.5 * total
+
+
+def test_pairs_before_a_limit_stay_few(spark):
+    docs = spark.createDataFrame([(i, "train train love") for i in range(200)], "doc_id long, text string")
+    queries = ask(spark, "train love", "train", "zebra")
+    got = tuples(search.match_any(docs, "text", queries, 3, stem=False))
+    assert got == [(q, d) for q in (0, 1) for d in range(3)]
+    with pytest.raises(ValueError):
+        search.match_any(docs, "text", queries, 0, stem=False)
+    plan = search.match_any(docs, "text", queries, 3, stem=False)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit [term" in plan
+
+
+@pytest.mark.parametrize("blocks, ranges", [(10**6, 10**6), (5, 40), (1, 1)])
+def test_cells_of_queries_and_documents(spark, skewed, monkeypatch, blocks, ranges):
+    from simsearch.operators import product
+
+    monkeypatch.setattr(product, "_PAIRS", 50)
+    texts = [f"w{i} w{i % 7} rare all" for i in range(12)] + ["absent", "all", "w1 w1 w2"]
+    terms = analyze_queries(ask(spark, *texts), stem=False)
+    weights = search.query_weights(skewed, terms, broadcast=True)
+    want = search.score(skewed, weights, True)
+    got = product.blocked_scores(skewed, weights, None, blocks, ranges)
+    assert [(r[0], r[1]) for r in tuples(got)] == [(r[0], r[1]) for r in tuples(want)]
+    assert [r[3] for r in tuples(got)] == pytest.approx([r[3] for r in tuples(want)])
+    best = product.blocked_scores(skewed, weights, 4, blocks, ranges)
+    plan = best._jdf.queryExecution().toString()
+    assert "hashpartitioning(qid" not in plan
+    key = ["qid", "rank", "doc_id"]
+    assert tuples(search.top_k(best, 4).select(*key)) == tuples(search.top_k(want, 4).select(*key))

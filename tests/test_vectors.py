@@ -170,6 +170,22 @@ def test_hamming_and_rerank(cloud, query_bytes):
     assert all(r.hamming == 0 for r in ranked.where("rank = 1").collect())
 
 
+@PATHS
+@pytest.mark.parametrize("kind", list(BAD))
+def test_bad_vectors_have_no_signature(spark, cloud, query_bytes, kind):
+    _, _, df, queries = cloud
+    bad = spark.createDataFrame([(10_000, BAD[kind])], "vec_id long, embedding array<float>")
+    mixed = df.unionByName(bad)
+    asked = queries.unionByName(bad.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q")))
+    signed = lsh.lsh_signature(mixed, 32)
+    direct = lsh.knn_lsh(mixed, asked, 7, 32, query_bytes=query_bytes)
+    stored = lsh.knn_lsh(mixed, asked, 7, 32, signatures=signed, query_bytes=query_bytes)
+    for a, b in zip(tuples(direct), tuples(stored), strict=True):
+        assert a[:4] == b[:4] and a[4] == pytest.approx(b[4])
+    if kind != "huge":
+        assert signed.count() == df.count() and direct.where("qid = 10000 or vec_id = 10000").count() == 0
+
+
 def test_lsh_on_a_small_collection(points, origin):
     assert lsh.knn_lsh(points, origin, 10, 16).count() == 5
 
