@@ -216,7 +216,7 @@ def test_pairs_before_a_limit_stay_few(spark):
     assert "WindowGroupLimit [term" in plan
 
 
-@pytest.mark.parametrize("blocks, ranges", [(10**6, 10**6), (5, 40), (1, 1)])
+@pytest.mark.parametrize("blocks, ranges", [(10**6, 10**6), (5, 40)])
 def test_cells_of_queries_and_documents(spark, skewed, monkeypatch, blocks, ranges):
     from simsearch.operators import product
 
