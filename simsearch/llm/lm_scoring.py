@@ -1,16 +1,19 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-A word's probability is that of its class given the two words before, times its
-own within the class. The commonest words are classes of their own, the others
-share one by their ending and punctuation; within a class a word counts by its
-frequency, with one unseen word in reserve. The class given its history is a
-maximum-entropy model over hashed features: the previous class (n-gram), the one
-before it (skip), and both together.
-
-All training texts are counted: words, and which class follows which two. The
-second table is the model's sufficient statistic and no larger than the classes
-allow, so its gradient is that over all training tokens; tasks compute it on their
-share of the histories, round after round. The vocabulary has no bound and stays
+A word's probability is that of its class given the words before, times its own
+within the class. The commonest words are classes of their own, the others
+share one by their ending and punctuation; two digits part such a class further, each
+a decision of its own given the words before, and what is left is a word's frequency,
+with one unseen word in reserve. The class first gets a maximum-entropy model over
+the classes before: the previous class (n-gram), the one before it (skip), and both
+together, hashed. On it, and on the digits, stand the features of whole words
+(``lm_words``): the previous word, the one before it, and both.
+
+All training texts are counted: words, which class follows which two, and which
+class and digits follow which words. The class counts are no larger than the classes
+allow, so their gradient is that over all training tokens; tasks compute it on their
+share of the histories, round after round. Word features are counted in a bounded
+number of hashed rows. The vocabulary has no bound and stays
 distributed: its commonest words (a fixed number) travel to the tasks, all others
 are looked up by a join.
 """
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from simsearch.llm import lm_words
 from simsearch.llm.rows import KEY, with_key
 from simsearch.llm.texts import pieces
 from simsearch.llm.words import Words, mix
@@ -129,13 +133,8 @@ def _histories(words: Words, classes: np.ndarray):
     inside = np.ones(first[-1], bool)
     inside[first[1:] - 1] = False
     tokens[inside] = classes
-    one = np.concatenate([[END_CLASS], tokens[:-1]])
-    two = np.concatenate([[END_CLASS, END_CLASS], tokens[:-2]])[:len(tokens)]
     # Before a text stands an end, and another before that.
-    one[first[:-1]] = END_CLASS
-    two[first[:-1]] = END_CLASS
-    second = first[:-1] + 1
-    two[second[second < first[1:]]] = END_CLASS
+    one, two = lm_words.before(tokens, first, END_CLASS)
     return tokens, one * CLASSES + two, inside, first
 
 
@@ -259,12 +258,85 @@ def train(histories: DataFrame, totals: np.ndarray) -> Weights:
     return weights
 
 
+class Tokens:
+    """Classes, hashes and histories of the tokens of a piece of texts, ends included."""
+
+    def __init__(self, column: pa.Array, classes: Classes):
+        words = Words(column, lower=True)
+        self.words = words.hashes()
+        found = _histories(words, classes(self.words, _endings(words)))
+        self.classes, self.history, self.inside, self.first = found
+        self.hashes = np.full(len(self.classes), END)
+        self.hashes[self.inside] = self.words
+
+    def decisions(self, bits) -> lm_words.Decisions:
+        return lm_words.Decisions(self.classes, self.hashes, self.first, END_CLASS + 1, END, bits)
+
+    def class_logs(self, weights: Weights):
+        """A function that gives the class model's logarithms for a slice of the tokens."""
+        used, number = np.unique(self.history, return_inverse=True)
+        logs = np.concatenate([
+            weights.log_probabilities(used[i:i + 1024]).astype(np.float32)
+            for i in range(0, max(len(used), 1), 1024)
+        ])
+        return lambda some: logs[number[some]]
+
+
+def _count_features(sent, bits):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (Tokens(b.column("text"), sent.value).decisions(bits) for b in pieces(batches))
+        yield from lm_words.count(found, CLASSES, bits)
+
+    return run
+
+
+def _gradients(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, weights, tables, alpha = sent[0].value, sent[1].value, sent[2].value, sent[3]
+        tables.alpha = alpha
+
+        def decided(batches):
+            for batch in pieces(batches):
+                tokens = Tokens(batch.column("text"), classes)
+                yield tokens.decisions(tables.bits), tokens.class_logs(weights)
+
+        yield from lm_words.gradients(tables, decided, batches)
+
+    return run
+
+
+def train_words(texts: DataFrame, classes, weights: Weights, inside: np.ndarray, total: int):
+    """The word features counted over all of ``texts`` and their weights; also each step's loss.
+
+    A loss is the mean log10 probability of a token's decisions in the texts of a step, before
+    the step and without what the texts themselves have added to the counts.
+    """
+    spark = texts.sparkSession
+    bits = lm_words.table_bits(total)
+    counted = texts.mapInArrow(_count_features(classes, bits), lm_words.COUNTS)
+    model = lm_words.WordModel(lm_words.merged(counted, CLASSES, bits), inside, END_CLASS + 1, bits)
+    sent_weights, sent_model = spark.sparkContext.broadcast(weights), spark.sparkContext.broadcast(model)
+    n = lm_words.FEATURES * lm_words.BINS
+    curvature, losses = np.zeros((3, n, n)), []
+    for number in range(lm_words.STEPS):
+        some = texts.where(F.pmod(F.xxhash64("text"), F.lit(lm_words.STEPS)) == number)
+        found = some.mapInArrow(
+            _gradients((classes, sent_weights, sent_model, model.alpha)), "place int, value double"
+        )
+        loss, tokens = lm_words.step(model, found, curvature)
+        losses.append(loss / max(tokens, 1) / np.log(10))
+    sent_weights.destroy()
+    sent_model.destroy()
+    return model, losses
+
+
 class Scorer:
-    """What a task needs: classes, class weights, sizes of the classes, and the commonest words."""
+    """What a task needs: classes, weights, sizes of the parts of classes, and the commonest words."""
 
-    def __init__(self, classes, weights, inside, head_words, head_counts, total, distinct):
-        self.classes, self.weights = classes, weights
-        self.inside = inside  # log10(N_k + ALPHA (V_k + 1)); 0 for words of their own class
+    def __init__(self, classes, weights, model, inside, head_words, head_counts, total, distinct):
+        self.classes, self.weights, self.model = classes, weights, model
+        # log10(N + ALPHA (V + 1)) of the words with a shared class and two digits
+        self.inside = np.log10(inside)
         order = np.argsort(head_words)
         self.words, self.counts = head_words[order], head_counts[order]
         self.scale = np.log10(total + ALPHA * (distinct + 1))
@@ -277,13 +349,11 @@ def _score(sent):
         s = sent.value
         logs = np.log10(s.counts + ALPHA)
         for batch in pieces(batches):
-            words = Words(batch.column("text"), lower=True)
-            hashes = words.hashes()
-            classes = s.classes(hashes, _endings(words))
-            tokens, history, inside, first = _histories(words, classes)
-            used, number = np.unique(history, return_inverse=True)
-            likely = s.weights.log_probabilities(used)[number, tokens] / np.log(10)
-            likely -= s.inside[tokens]
+            piece = Tokens(batch.column("text"), s.classes)
+            hashes, tokens, inside, first = piece.words, piece.classes, piece.inside, piece.first
+            decided = piece.decisions(s.model.bits)
+            likely = s.model.score(decided, piece.class_logs(s.weights)) / np.log(10)
+            likely[decided.at] -= s.inside[decided.shared - END_CLASS - 1, decided.one, decided.two]
 
             unique, number = np.unique(hashes, return_inverse=True)
             unique = np.append(unique, END)
@@ -328,7 +398,7 @@ def _score(sent):
     return run
 
 
-def score_texts(docs: DataFrame, held_out) -> DataFrame:
+def score_texts(docs: DataFrame, held_out, losses: list | None = None) -> DataFrame:
     """Every row's log10 probability under the model and under a unigram base.
 
     Reads ``doc_id, text``; ``held_out`` is a boolean column expression naming
@@ -337,7 +407,8 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
     n_known (tokens seen in training), train_tokens, base_score, score.
     Repeated rows give repeated rows and count each in training. Without training
     rows every token is unknown: the base gives probability 1, the model one over
-    the number of classes. An empty table gives no rows.
+    the number of classes to an end and, of that, a 256th to a word. An empty table gives no rows.
+    A list ``losses`` gets the mean log10 probability of each training step (see ``train_words``).
     """
     spark = docs.sparkSession
     texts = with_key(docs.select("doc_id", "text", held_out.alias("held_out")))
@@ -354,20 +425,25 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
     common = counts.where(~is_end).orderBy(F.col("c").desc(), "word").limit(WORDS).collect()
     top = [r["word"] for r in common]
     rest = counts.where(~is_end & ~F.col("word").isin(top)) if top else counts.where(~is_end)
-    endings = rest.groupBy("ending").agg(F.sum("c").alias("c"), F.count("*").alias("v"))
+    parts = lm_words.DIGIT**2
+    rest = rest.withColumn("low", F.col("word").bitwiseAND(F.lit(parts - 1)))
+    endings = rest.groupBy("ending", "low").agg(F.sum("c").alias("c"), F.count("*").alias("v"))
     endings = materialize(endings, "endings")
-    chosen = endings.orderBy(F.col("c").desc(), "ending").limit(ENDINGS - 1).collect()
-    others = endings.where(~F.col("ending").isin([r["ending"] for r in chosen])) if chosen else endings
-    other = others.agg(F.sum("c"), F.sum("v")).first()
-    sizes = np.zeros((CLASSES, 2))
+    chosen = endings.groupBy("ending").agg(F.sum("c").alias("c"))
+    chosen = chosen.orderBy(F.col("c").desc(), "ending").limit(ENDINGS - 1).collect()
+    known = [x for i, r in enumerate(chosen) for x in (F.lit(r["ending"]), F.lit(i))]
+    group = F.coalesce(F.create_map(*known)[F.col("ending")], F.lit(ENDINGS - 1)) if known else F.lit(0)
+    grouped = endings.groupBy(group.alias("group"), "low").agg(F.sum("c").alias("c"), F.sum("v").alias("v"))
+    sizes = np.zeros((CLASSES, 1))
+    within = np.zeros((ENDINGS, parts, 2))  # by shared class and digits: tokens, words
+    for r in grouped.collect():
+        within[r["group"], r["low"]] = r["c"], r["v"]
     for i, r in enumerate(common):
-        sizes[i] = r["c"], 1
-    sizes[END_CLASS] = (counts.where(is_end).agg(F.sum("c")).first()[0] or 0), 1
-    for i, r in enumerate(chosen):
-        sizes[WORDS + 1 + i] = r["c"], r["v"]
-    sizes[OTHER_CLASS] = other[0] or 0, other[1] or 0
-    inside = np.log10(sizes[:, 0] + ALPHA * (sizes[:, 1] + 1))
-    inside[:END_CLASS + 1] = 0
+        sizes[i] = r["c"]
+    sizes[END_CLASS] = counts.where(is_end).agg(F.sum("c")).first()[0] or 0
+    sizes[END_CLASS + 1:, 0] = within[:, :, 0].sum(axis=1)
+    inside = within[:, :, 0] + ALPHA * (within[:, :, 1] + 1)
+    inside = inside.reshape(ENDINGS, lm_words.DIGIT, lm_words.DIGIT).transpose(0, 2, 1)
     classes = Classes(top, [r["ending"] for r in chosen])
 
     sent = spark.sparkContext.broadcast(classes)
@@ -377,13 +453,16 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
         "histories",
     )
     weights = train(histories, sizes[:, 0])
+    model, found = train_words(train_texts, sent, weights, inside, total)
+    if losses is not None:
+        losses.extend(found)
 
     least = _least_count(counts, HEAD)
     # Words of their own class, the end among them, travel with the commonest in any case.
     own = [int(END), *top]
     head = counts.where((F.col("c") >= least) & ~F.col("word").isin(own)).select("word", "c").toArrow()
     scorer = Scorer(
-        classes, weights, inside,
+        classes, weights, model, inside,
         np.concatenate([np.array(own), head["word"].to_numpy()]).astype(np.int64).view(np.uint64),
         np.concatenate([[sizes[END_CLASS, 0], *sizes[:len(top), 0]], head["c"].to_numpy()]),
         total, distinct,

@@ -5,11 +5,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import messy, nothing, prose, rows_of  # noqa: F401
 from pyspark.sql import functions as F
 
-from simsearch.llm import decontamination, html_text, language_id, lm_scoring, mixing, token_counts
+from simsearch.llm import decontamination, html_text, language_id, lm_scoring, lm_words, mixing, token_counts
+from simsearch.llm.words import Words, mix
 from simsearch.llm.workload import remainder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -106,6 +108,121 @@ def test_class_probabilities_add_up():
     assert np.allclose(np.exp(rows).sum(axis=1), 1)
 
 
+def spread(x):
+    return int(mix(np.array([x % 2**64], np.uint64))[0])
+
+
+def score_by_hand(rows, held, classes, weights, model, total):
+    """Scores with one Python loop per decision, counts in dictionaries, from the trained weights."""
+    odd = int(lm_words._ODD)
+    end, own = int(lm_scoring.END), lm_scoring.END_CLASS
+    bits = lm_words.table_bits(total)
+
+    def tokens_of(text):
+        found = []
+        for word in WORD.findall((text or "").translate(LOWER)):
+            one = Words(pa.array([word]))
+            k = int(classes(one.hashes(), lm_scoring._endings(one))[0])
+            found.append((int(one.hashes()[0]), k))
+        return [*found, (end, own)]
+
+    def decisions(tokens, i):
+        (word, k), (one, _), (two, _) = tokens[i], tokens[i - 1] if i else (end, 0), tokens[i - 2] if i > 1 else (end, 0)
+        keys = [spread(one + odd), spread(two + int(lm_words._EVEN)), spread(one * odd + spread(two))]
+        yield 0, [key >> (64 - bits[0]) for key in keys], k
+        if k > own:
+            low = word % 256
+            for number, context, outcome in ((1, 17 * k, low % 16), (2, 17 * k + 1 + low % 16, low // 16)):
+                yield number, [spread(key + odd * context) >> (64 - bits[1]) for key in keys], outcome
+
+    texts = [tokens_of(t) for _, t in rows]
+    words, seen = Counter(), Counter()
+    for tokens, out in zip(texts, held):
+        if not out:
+            words.update(tokens)
+            for i in range(len(tokens)):
+                for number, places, outcome in decisions(tokens, i):
+                    seen.update((min(number, 1), place, outcome) for place in places)
+    within = {(k, low): 0.1 + sum(c + 0.1 for (w, j), c in words.items() if j == k and w % 256 == low)
+              for k in range(own + 1, lm_scoring.CLASSES) for low in range(256)}
+    scores = []
+    for tokens in texts:
+        score = 0.0
+        for i, (word, k) in enumerate(tokens):
+            before = [tokens[j][1] if j >= 0 else own for j in (i - 1, i - 2)]
+            for number, places, outcome in decisions(tokens, i):
+                if number == 0:
+                    history = np.array([before[0] * lm_scoring.CLASSES + before[1]])
+                    base = list(np.exp(weights.log_probabilities(history)[0]))
+                elif number == 1:
+                    sums = [sum(within[k, d + 16 * e] for e in range(16)) for d in range(16)]
+                    base = [x / sum(sums) for x in sums]
+                else:
+                    sums = [within[k, word % 16 + 16 * e] for e in range(16)]
+                    base = [x / sum(sums) for x in sums]
+                likely = [math.log(b) for b in base]
+                for f, place in enumerate(places):
+                    counts = [seen[min(number, 1), place, x] for x in range(len(base))]
+                    alpha = model.alpha[number, f, min(sum(counts).bit_length(), lm_words.BINS - 1)]
+                    for x, (c, b) in enumerate(zip(counts, base)):
+                        likely[x] += alpha * math.log((c / b + lm_words.TAU) / (sum(counts) + lm_words.TAU))
+                score += (likely[outcome] - math.log(sum(map(math.exp, likely)))) / math.log(10)
+            if k > own:
+                score += math.log10((words[word, k] + 0.1) / within[k, word % 256])
+        scores.append(score)
+    return scores
+
+
+def test_scores_equal_brute_force(spark, monkeypatch):
+    kept, original = [], lm_scoring.Scorer.__init__
+
+    def spy(self, *parts):
+        kept.extend(parts)
+        original(self, *parts)
+
+    monkeypatch.setattr(lm_scoring.Scorer, "__init__", spy)
+    monkeypatch.setattr(lm_scoring, "HEAD", 40)
+    rows = [(i, prose(i % 20, 40, ["en", "de"][i % 2])) for i in range(40)] + [(90, None), (91, "  "), (92, "Solo")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    losses = []
+    got = {r.doc_id: r for r in lm_scoring.score_texts(docs, remainder(10) == 0, losses).collect()}
+    classes, weights, model = kept[:3]
+    assert len(losses) == lm_words.STEPS and np.abs(model.alpha).max() > 0.05
+    want = score_by_hand(rows, [got[d].held_out for d, _ in rows], classes, weights, model, got[90].train_tokens)
+    assert [got[d].score for d, _ in rows] == pytest.approx(want, abs=1e-3, rel=1e-4)
+
+
+def test_word_features_tell_what_classes_cannot(spark):
+    """Pairs of words with equal endings: only the words themselves say which comes next."""
+    rng = np.random.default_rng(5)
+    follows = rng.permutation(300)
+    rows = []
+    for i in range(300):
+        some = rng.integers(0, 300, 60)
+        rows.append((i, " ".join(f"w{a}xing w{follows[a]}xing" for a in some)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    losses = []
+    got = [r for r in lm_scoring.score_texts(docs, remainder(10) == 0, losses).collect() if r.held_out]
+    tokens = sum(r.n_tokens for r in got)
+    # Every second word follows from the one before: at least half of what that can gain is gained.
+    gained = sum(r.score for r in got) / tokens - sum(r.base_score for r in got) / tokens
+    assert gained > 0.5 * 0.5 * math.log10(300)
+    assert losses[-1] > losses[0] + 0.5
+
+
+def test_rows_of_word_counts_keep_their_shape_when_scaled():
+    def one(counts):
+        return pa.RecordBatch.from_pydict({
+            "number": pa.array([1], pa.int32()), "slice": pa.array([0], pa.int32()),
+            "cells": pa.array([lm_words._encode(np.array([3, 4, 700]))], pa.binary()),
+            "counts": pa.array([np.array(counts, np.uint32).tobytes()], pa.binary()),
+        })
+
+    [batch] = lm_words._merge(128)(iter([one([2**31, 2**30, 7]), one([2**31, 2**30, 9])]))
+    cells = np.frombuffer(batch.column("cells")[0].as_py(), np.uint16)
+    assert cells[3] == 2 * cells[4] > 2**14 and cells[700] == 16
+
+
 def test_scores_without_training(spark, nothing):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = sorted(lm_scoring.score_texts(docs, F.lit(True)).collect())
