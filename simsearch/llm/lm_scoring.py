@@ -272,14 +272,14 @@ class Tokens:
     def decisions(self, bits) -> lm_words.Decisions:
         return lm_words.Decisions(self.classes, self.hashes, self.first, END_CLASS + 1, END, bits)
 
-    def class_logs(self, weights: Weights):
-        """A function that gives the class model's logarithms for a slice of the tokens."""
-        used, number = np.unique(self.history, return_inverse=True)
+    def class_logs(self, weights: Weights, some: np.ndarray):
+        """A function that gives the class model's logarithms for a slice of ``some`` tokens."""
+        used, number = np.unique(self.history[some], return_inverse=True)
         logs = np.concatenate([
             weights.log_probabilities(used[i:i + 1024]).astype(np.float32)
             for i in range(0, max(len(used), 1), 1024)
         ])
-        return lambda some: logs[number[some]]
+        return lambda part: logs[number[part]]
 
 
 def _count_features(sent, bits):
@@ -298,7 +298,8 @@ def _gradients(sent):
         def decided(batches):
             for batch in pieces(batches):
                 tokens = Tokens(batch.column("text"), classes)
-                yield tokens.decisions(tables.bits), tokens.class_logs(weights)
+                found = tokens.decisions(tables.bits)
+                yield found, tokens.class_logs(weights, found.some)
 
         yield from lm_words.gradients(tables, decided, batches)
 
@@ -352,8 +353,9 @@ def _score(sent):
             piece = Tokens(batch.column("text"), s.classes)
             hashes, tokens, inside, first = piece.words, piece.classes, piece.inside, piece.first
             decided = piece.decisions(s.model.bits)
-            likely = s.model.score(decided, piece.class_logs(s.weights)) / np.log(10)
+            likely = s.model.score(decided, piece.class_logs(s.weights, decided.some)) / np.log(10)
             likely[decided.at] -= s.inside[decided.shared - END_CLASS - 1, decided.one, decided.two]
+            likely = likely[decided.number]
 
             unique, number = np.unique(hashes, return_inverse=True)
             unique = np.append(unique, END)

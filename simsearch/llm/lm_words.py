@@ -35,7 +35,7 @@ PRIOR = 4.0
 # 2**16 rows of 128 classes and 2**20 rows of 16 digits, 48 MB in all.
 CLASS_BITS, DIGIT_BITS = (10, 16), (13, 20)
 SLICE = 1 << 18
-BLOCK = 4096
+BLOCK = 512  # decisions worked on at once: their tables stay in the processor's cache
 _ODD, _EVEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x3C6EF372FE94F82A)
 
 
@@ -66,11 +66,20 @@ def digits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Decisions:
-    """What is decided about the tokens of a piece, and the rows of the tables that speak for it."""
+    """What is decided about the tokens of a piece, and the rows of the tables that speak for it.
+
+    Tokens that agree in their word and the two before are decided once: ``some`` are the first
+    of each kind, ``times`` their numbers, and ``number`` tells which of them a token is.
+    """
 
     def __init__(self, tokens, hashes, first, own_classes: int, end, bits: tuple[int, int]):
         """``tokens`` are classes, those from ``own_classes`` on shared; ``hashes`` the words'."""
         one, two = before(hashes, first, end)
+        kinds = mix(mix(one * _ODD + mix(two)) * _EVEN + hashes)
+        _, self.some, self.number, self.times = np.unique(
+            kinds, return_index=True, return_inverse=True, return_counts=True
+        )
+        tokens, hashes, one, two = (x[self.some] for x in (tokens, hashes, one, two))
         keys = [mix(one + _ODD), mix(two + _EVEN), mix(one * _ODD + mix(two))]
         self.classes = tokens
         self.class_rows = np.stack([(k >> np.uint64(64 - bits[0])).astype(np.int64) for k in keys])
@@ -92,10 +101,10 @@ def count(decisions: Iterator[Decisions], classes: int, bits: tuple[int, int]) -
     tables = [np.zeros(classes << bits[0], np.int32), np.zeros(DIGIT << bits[1], np.int32)]
     for d in decisions:
         for rows in d.class_rows:
-            np.add.at(tables[0], rows * classes + d.classes, 1)
+            np.add.at(tables[0], rows * classes + d.classes, d.times.astype(np.int32))
         for outcome, some in zip((d.one, d.two), d.digit_rows):
             for rows in some:
-                np.add.at(tables[1], rows * DIGIT + outcome, 1)
+                np.add.at(tables[1], rows * DIGIT + outcome, d.times[d.at].astype(np.int32))
     for number, table in enumerate(tables):
         for start in range(0, len(table), SLICE):
             part = table[start:start + SLICE]
@@ -168,14 +177,15 @@ class WordModel:
         self.alpha = np.zeros((3, FEATURES, BINS))
 
     def decisions(self, d: Decisions, class_logs):
-        """For each decision: number, table, base of some of its tokens, rows, outcomes.
+        """For each decision: number, table, base of a slice of it, rows, outcomes, times.
 
-        ``class_logs`` gives the class model's logarithms for a slice of tokens.
+        ``class_logs`` gives the class model's logarithms for a slice of ``d.some``.
         """
         shared = d.shared - self.own_classes
-        yield 0, self.tables[0], class_logs, d.class_rows, d.classes
-        yield 1, self.tables[1], lambda s: self.first[shared[s]], d.digit_rows[0], d.one
-        yield 2, self.tables[1], lambda s: self.second[shared[s], d.one[s]], d.digit_rows[1], d.two
+        yield 0, self.tables[0], class_logs, d.class_rows, d.classes, d.times
+        times = d.times[d.at]
+        yield 1, self.tables[1], lambda s: self.first[shared[s]], d.digit_rows[0], d.one, times
+        yield 2, self.tables[1], lambda s: self.second[shared[s], d.one[s]], d.digit_rows[1], d.two, times
 
     def values(self, table, base, rows, own=None):
         """Features (feature, token, outcome) and the bin of each row; ``own`` outcomes are taken out once."""
@@ -203,9 +213,9 @@ class WordModel:
         return score - np.log(np.exp(score).sum(axis=1, keepdims=True))
 
     def score(self, d: Decisions, class_logs) -> np.ndarray:
-        """Natural logarithm of each token's decisions together."""
+        """Natural logarithm of all decisions about each kind of token."""
         found = np.zeros(len(d.classes))
-        for number, table, base_of, rows, outcome in self.decisions(d, class_logs):
+        for number, table, base_of, rows, outcome, _ in self.decisions(d, class_logs):
             for start in range(0, len(outcome), BLOCK):
                 s = slice(start, start + BLOCK)
                 base = base_of(s)
@@ -216,26 +226,27 @@ class WordModel:
 
     def gradient(self, d: Decisions, class_logs, sums: np.ndarray, loss: np.ndarray) -> None:
         """Add to ``sums`` (decision, gradient and curvature by weight) and ``loss`` (sum, tokens)."""
-        for number, table, base_of, rows, outcome in self.decisions(d, class_logs):
+        size = FEATURES * BINS
+        for number, table, base_of, rows, outcome, times in self.decisions(d, class_logs):
             for start in range(0, len(outcome), BLOCK):
                 s = slice(start, start + BLOCK)
-                base, own = base_of(s), outcome[s]
+                base, own, weight = base_of(s), outcome[s], times[s]
                 line = np.arange(len(base))
                 values, bins = self.values(table, base, rows[:, s], own)
                 logs = self.logs(number, base, values, bins)
-                loss[0] += logs[line, own].sum()
+                loss[0] += weight @ logs[line, own]
                 p = np.exp(logs)
-                means = [(p * v).sum(axis=1) for v in values]
+                means = [np.einsum("ij,ij->i", p, v) for v in values]
                 places = [f * BINS + b for f, b in enumerate(bins)]
                 for f, (value, mean) in enumerate(zip(values, means)):
-                    np.add.at(sums[number, 0], places[f], value[line, own] - mean)
+                    sums[number, 0] += np.bincount(places[f], weight * (value[line, own] - mean), size)
                     weighed = p * value
                     for g in range(f, FEATURES):
-                        both = (weighed * values[g]).sum(axis=1) - mean * means[g]
-                        np.add.at(sums[number], (1 + places[f], places[g]), both)
-                        if g > f:
-                            np.add.at(sums[number], (1 + places[g], places[f]), both)
-        loss[1] += len(d.classes)
+                        both = weight * (np.einsum("ij,ij->i", weighed, values[g]) - mean * means[g])
+                        square = np.bincount(places[f] * size + places[g], both, size * size)
+                        square = square.reshape(size, size)
+                        sums[number, 1:] += square if f == g else square + square.T
+        loss[1] += d.times.sum()
 
 
 def gradients(model_of, decided, batches) -> Iterator[pa.RecordBatch]:
