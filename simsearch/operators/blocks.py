@@ -23,7 +23,13 @@ QUERY_BYTES = 32 * 1024 * 1024
 # Chunks that larger query tables are cut into at most; beyond it chunks grow.
 MOST_CHUNKS = 10_000
 # Numbers a task holds at a time while it compares.
-_CELLS = 4_000_000
+_CELLS = 2_000_000
+# Hits a task passes on at a time.
+_ANSWER_ROWS = 100_000
+# Squared lengths between which single precision neither overflows nor loses what is small.
+_SINGLE = 1e-20, 1e30
+# Share of pairs left open by single precision from which on the pairs are compared in double.
+_OPEN_SHARE = 1 / 16
 
 Batch = tuple[np.ndarray, np.ndarray]
 # (batches of (ids, matrix), query ids, query matrix) -> columns of the answer
@@ -141,19 +147,33 @@ class Best:
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
         self.value = np.zeros((queries, k))
 
-    def merge(self, rows: slice, key: np.ndarray, ids: np.ndarray, value: np.ndarray) -> None:
-        key = np.concatenate([self.key[rows], key], axis=1)
-        ids = np.concatenate([self.ids[rows], ids], axis=1)
-        value = np.concatenate([self.value[rows], value], axis=1)
-        order = np.lexsort((ids, key), axis=1)[:, : self.k]
-        self.key[rows] = np.take_along_axis(key, order, axis=1)
-        self.ids[rows] = np.take_along_axis(ids, order, axis=1)
-        self.value[rows] = np.take_along_axis(value, order, axis=1)
-
-    def columns(self, qids: np.ndarray) -> list[np.ndarray]:
-        found = np.isfinite(self.key)
-        owner = np.broadcast_to(np.asarray(qids)[:, None], found.shape)
-        return [owner[found], self.ids[found], self.key[found], self.value[found]]
+    def add(self, q: np.ndarray, key: np.ndarray, ids: np.ndarray, value: np.ndarray) -> None:
+        """Take in single pairs: the query's number, and the vector's key, id and value."""
+        kth, last = self.key[q, -1], self.ids[q, -1]
+        better = (key < kth) | ((key == kth) & (ids < last))
+        if not better.any():
+            return
+        own, at = np.unique(q[better], return_inverse=True)
+        owner = np.concatenate([np.repeat(np.arange(len(own)), self.k), at])
+        key = np.concatenate([self.key[own].ravel(), key[better]])
+        ids = np.concatenate([self.ids[own].ravel(), ids[better]])
+        value = np.concatenate([self.value[own].ravel(), value[better]])
+        order = np.lexsort((ids, key, owner))
+        owner = owner[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(own)))[owner]
+        order = order[place < self.k]
+        self.key[own] = key[order].reshape(-1, self.k)
+        self.ids[own] = ids[order].reshape(-1, self.k)
+        self.value[own] = value[order].reshape(-1, self.k)
+
+    def answer(self, qids: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """Columns query, id, key and value, for some queries at a time."""
+        step = max(1, _ANSWER_ROWS // self.k)
+        for start in range(0, len(qids), step):
+            some = slice(start, start + step)
+            found = np.isfinite(self.key[some])
+            owner = np.broadcast_to(np.asarray(qids)[some, None], found.shape)
+            yield [owner[found], self.ids[some][found], self.key[some][found], self.value[some][found]]
 
 
 def query_slices(queries: int, per_query: int) -> Iterator[slice]:
@@ -163,24 +183,87 @@ def query_slices(queries: int, per_query: int) -> Iterator[slice]:
         yield slice(start, min(start + step, queries))
 
 
-def candidates(key: np.ndarray, k: int, slack, bound) -> np.ndarray:
-    """Column numbers that hold every one of each row's k smallest keys.
+def kth_smallest(key: np.ndarray, k: int) -> np.ndarray:
+    """Each row's k-th smallest key; infinite for shorter rows."""
+    if key.shape[1] < k:
+        return np.full(len(key), np.inf)
+    return np.partition(key, k - 1, axis=1)[:, k - 1].astype(np.float64)
+
+
+def first_columns(key: np.ndarray, k: int) -> np.ndarray:
+    """Columns enough for a bound of the k-th smallest key that leaves few open."""
+    return key[:, : max(32 * k, 1024)]
+
+
+def marked(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of what is true."""
+    return np.divmod(np.flatnonzero(marks), max(1, marks.shape[1]))
 
-    Each key may be off by its own ``slack / 2``, so the k-th smallest is judged by
-    what the keys can be at most, and a key by what it can be at least; what lies
-    beyond ``bound`` by more than its slack can no longer enter. Rows are padded to
-    equal width with their next larger keys.
+
+class Screen:
+    """Vectors made ready to meet queries: all squared distances come from one matrix product.
+
+    Single precision is tried first. What it leaves open is computed exactly, or in
+    double precision if that is much.
     """
-    width = key.shape[1]
-    kth = np.full((key.shape[0], 1), np.inf)
-    if width > k:
-        kth = np.partition(key + slack / 2, k - 1, axis=1)[:, k - 1 : k]
-    least = key - slack
-    open_ = least <= np.minimum(kth, bound)
-    most = int(open_.sum(axis=1).max())
-    if most >= width:
-        return np.broadcast_to(np.arange(width), key.shape)
-    return np.argpartition(least, most, axis=1)[:, :most]
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
+        self.longest = float(np.einsum("ij,ij->i", vectors, vectors).max(initial=0.0))
+        self._ready: dict[type, np.ndarray] = {}
+
+    def _product(self, queries: np.ndarray, q2: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances, and how far off a query's may be."""
+        width = self.vectors.shape[1]
+        if kind not in self._ready:
+            right = np.empty((width + 2, len(self.vectors)), kind)
+            right[:width] = -2.0 * self.vectors.T
+            right[width] = np.einsum("ij,ij->i", self.vectors, self.vectors)
+            right[width + 1] = 1
+            self._ready[kind] = right
+        left = np.empty((len(queries), width + 2), kind)
+        left[:, :width] = queries
+        left[:, width] = 1
+        left[:, width + 1] = q2
+        known = np.finfo(kind)
+        error = 4 * (width + 8) * (float(known.eps) * (q2 + self.longest) + float(known.tiny))
+        return left @ self._ready[kind], error
+
+    def near(
+        self, queries: np.ndarray, limit: np.ndarray, among: np.ndarray | None = None, k: int | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Query numbers, vector numbers and distances of pairs at most ``limit`` (one per query) apart.
+
+        ``among`` marks the pairs that count. With ``k``, pairs that cannot be among a
+        query's k nearest may be left out where there is no limit.
+        """
+        q2 = np.einsum("ij,ij->i", queries, queries)
+        low, high = _SINGLE
+        fits = low <= self.longest <= high and float(q2.max(initial=0.0)) <= high
+        for kind in (np.float32, np.float64) if fits else (np.float64,):
+            squares, error = self._product(queries, q2, kind)
+            with np.errstate(over="ignore"):
+                bound = limit**2
+                if k is not None and np.isinf(limit).any():
+                    rows = np.flatnonzero(np.isinf(limit))
+                    if among is None:
+                        some = first_columns(squares, k)[rows]
+                    else:
+                        some = np.where(among[rows], squares[rows], kind(np.inf))
+                    bound[rows] = kth_smallest(some, k) + error[rows]
+                bound = np.nextafter((bound + error).astype(kind), kind(np.inf))
+            near = squares <= bound[:, None]
+            if among is not None:
+                near &= among
+            if kind is np.float64 or np.count_nonzero(near) <= _OPEN_SHARE * near.size:
+                break
+        q, v = marked(near)
+        del squares, near
+        for part in query_slices(len(q), self.vectors.shape[1]):
+            distance = lengths(self.vectors[v[part]] - queries[q[part]])
+            kept = distance <= limit[q[part]]
+            if kept.any():
+                yield q[part][kept], v[part][kept], distance[kept]
 
 
 def squared_distances(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,12 +278,3 @@ def squared_distances(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndar
 def lengths(gaps: np.ndarray) -> np.ndarray:
     """Lengths of the rows; the one way distances are computed, so that equal ones compare equal."""
     return np.sqrt(np.einsum("ij,ij->i", gaps, gaps))
-
-
-def exact_distances(vectors: np.ndarray, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Distances of each query to the vectors numbered in its row of ``at``."""
-    result = np.empty(at.shape)
-    for rows in query_slices(at.shape[0], at.shape[1] * vectors.shape[1]):
-        gap = vectors[at[rows]] - queries[rows][:, None, :]
-        result[rows] = lengths(gap.reshape(-1, gap.shape[-1])).reshape(gap.shape[:2])
-    return result

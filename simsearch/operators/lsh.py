@@ -11,9 +11,11 @@ from simsearch.functions.vectors import l2_distance
 from simsearch.operators.blocks import (
     QUERY_BYTES,
     Best,
-    candidates,
     check_width,
-    exact_distances,
+    first_columns,
+    kth_smallest,
+    lengths,
+    marked,
     query_slices,
     run_blocks,
     to_matrix,
@@ -73,7 +75,8 @@ def lsh_signature(
 
 
 def _hamming(signatures: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(queries), len(signatures)))
+    kind = np.uint16 if signatures.shape[1] < 1024 else np.uint32
+    total = np.zeros((len(queries), len(signatures)), kind)
     # Bits of signed numbers would be counted on their absolute value.
     signatures, queries = signatures.view(np.uint64), queries.view(np.uint64)
     for word in range(signatures.shape[1]):
@@ -81,17 +84,28 @@ def _hamming(signatures: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return total
 
 
+def _near_codes(signatures: np.ndarray, queries: np.ndarray, best: Best, rows: slice):
+    """Query numbers, signature numbers and bits of what may still enter ``best``, in parts."""
+    bits = _hamming(signatures, queries[rows])
+    bound = best.key[rows, -1].copy()
+    none = np.flatnonzero(np.isinf(bound))
+    if len(none):
+        bound[none] = kth_smallest(first_columns(bits, best.k)[none], best.k)
+    most = np.minimum(bound, np.iinfo(bits.dtype).max).astype(bits.dtype)
+    q, v = marked(bits <= most[:, None])
+    for part in query_slices(len(q), 64):
+        yield q[part] + rows.start, v[part], bits[q[part], v[part]].astype(np.float64)
+
+
 def _nearest_codes(k: int):
     def kernel(batches, qids, queries):
         best = Best(len(qids), k)
         for ids, signatures in batches:
             check_width(signatures, queries)
             for rows in query_slices(len(qids), len(ids)):
-                bits = _hamming(signatures, queries[rows])
-                at = candidates(bits, k, 0, best.key[rows, -1:])
-                key = np.take_along_axis(bits, at, axis=1)
-                best.merge(rows, key, ids[at], key)
-        yield best.columns(qids)
+                for q, v, bits in _near_codes(signatures, queries, best, rows):
+                    best.add(q, bits, ids[v], bits)
+        yield from best.answer(qids)
 
     return kernel
 
@@ -107,12 +121,11 @@ def _nearest_signed(k: int, nbits: int, seed: int):
             check_width(vectors, queries)
             words = sign_words(vectors, planes)
             for rows in query_slices(len(qids), len(ids)):
-                bits = _hamming(words, query_words[rows])
-                at = candidates(bits, k, 0, best.key[rows, -1:])
-                key = np.take_along_axis(bits, at, axis=1)
-                distance = exact_distances(vectors, queries[rows], at)
-                best.merge(rows, key, ids[at], distance)
-        yield best.columns(qids)
+                for q, v, bits in _near_codes(words, query_words, best, rows):
+                    for part in query_slices(len(q), vectors.shape[1]):
+                        distance = lengths(vectors[v[part]] - queries[q[part]])
+                        best.add(q[part], bits[part], ids[v[part]], distance)
+        yield from best.answer(qids)
 
     return kernel
 

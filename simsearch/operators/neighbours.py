@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 from simsearch.operators.blocks import (
     QUERY_BYTES,
     Best,
-    candidates,
+    Screen,
     check_width,
-    exact_distances,
-    lengths,
     query_slices,
     run_blocks,
-    squared_distances,
 )
 from simsearch.operators import pivots
 from simsearch.operators.search import top_k
@@ -38,15 +35,11 @@ def _nearest(k: int):
         best = Best(len(qids), k)
         for ids, vectors in batches:
             check_width(vectors, queries)
+            screen = Screen(vectors)
             for rows in query_slices(len(qids), len(ids)):
-                squares, error = squared_distances(vectors, queries[rows])
-                bound = best.key[rows, -1:] ** 2
-                at = candidates(squares, k, 2 * error, bound)
-                if not at.shape[1]:
-                    continue
-                distance = exact_distances(vectors, queries[rows], at)
-                best.merge(rows, distance, ids[at], distance)
-        yield best.columns(qids)
+                for q, v, distance in screen.near(queries[rows], best.key[rows, -1], k=k):
+                    best.add(q + rows.start, distance, ids[v], distance)
+        yield from best.answer(qids)
 
     return kernel
 
@@ -59,15 +52,10 @@ def _within(radius: float | None):
         points = queries if radius is not None else queries[:, :-1]
         for ids, vectors in batches:
             check_width(vectors, points)
+            screen = Screen(vectors)
             for rows in query_slices(len(qids), len(ids)):
-                squares, error = squared_distances(vectors, points[rows])
-                near_q, near_v = np.nonzero(squares <= limit[rows, None] ** 2 + 2 * error)
-                for part in query_slices(len(near_q), vectors.shape[1]):
-                    q, v = near_q[part] + rows.start, near_v[part]
-                    distance = lengths(vectors[v] - points[q])
-                    kept = distance <= limit[q]
-                    if kept.any():
-                        yield [qids[q[kept]], ids[v[kept]], distance[kept]]
+                for q, v, distance in screen.near(points[rows], limit[rows]):
+                    yield [qids[q + rows.start], ids[v], distance]
 
     return kernel
 

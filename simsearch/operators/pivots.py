@@ -4,9 +4,10 @@ Pivots are vectors themselves; a vector belongs to the cell of its nearest one.
 a cell holds lies in a ring around its pivot and on its own side of the plane
 between two pivots, so by the triangle inequality a query within a known distance of
 its answers need not see most cells. The k nearest first see the cells closest to
-them, which gives that distance; a range search knows it. Queries then travel to
-the cells they have to see, in groups of bounded size: a cell with many vectors, or
-one that many queries ask for, is several groups. Nothing passes the driver but
+them, which gives that distance; a range search knows it. What has to be seen is counted
+before anything moves. Small cells share a bin, to which a query travels once, with a bit
+for each cell it has to see there. Groups have a bounded size: a cell with many vectors, or
+a bin that many queries ask for, is several groups. Nothing passes the driver but
 the pivots and a few numbers per cell.
 """
 
@@ -23,9 +24,8 @@ from pyspark.sql import functions as F
 
 from simsearch.operators.blocks import (
     Best,
-    candidates,
+    Screen,
     check_width,
-    exact_distances,
     lengths,
     query_slices,
     squared_distances,
@@ -44,6 +44,11 @@ MOST_PIVOTS = 1024
 # Pairs of vector and query that a task compares.
 TASK_PAIRS = 500_000_000
 MOST_TASKS = 20_000
+# Rows a task passes on at a time. Cells of fewer vectors are compared together where so large a share
+# of their pairs is wanted.
+BATCH_ROWS = 8192
+FEW_ROWS = 512
+DENSE = 0.25
 
 _HITS = "qid long, vec_id long, distance double"
 
@@ -58,6 +63,7 @@ class Cells:
     least: np.ndarray
     most: np.ndarray
     longest: float  # greatest squared length of a vector
+    bins: np.ndarray  # of every cell; cells of a bin follow each other
 
     def doubt(self) -> float:
         """How far a vector may be from the right side of a plane, in squared distances."""
@@ -144,7 +150,18 @@ def place(vectors: DataFrame, cell_rows: int) -> tuple[DataFrame, Cells] | None:
         rows[cell], least[cell], most[cell] = n, low, high
         longest = max(longest, square)
     apart = np.stack([lengths(pivots - p) for p in pivots])
-    return placed, Cells(pivots, apart, rows, least, most, longest)
+    return placed, Cells(pivots, apart, rows, least, most, longest, _bins(rows, GROUP_ROWS))
+
+
+def _bins(rows: np.ndarray, most: int) -> np.ndarray:
+    """Numbers of bins of at most so many vectors; a larger cell has its own."""
+    found, held = np.zeros(len(rows), np.int32), 0
+    for cell in range(1, len(rows)):
+        held += int(rows[cell - 1])
+        full = held + int(rows[cell]) > most
+        found[cell] = found[cell - 1] + full
+        held = 0 if full else held
+    return found
 
 
 def _homes(shared, k: int):
@@ -170,73 +187,147 @@ def _homes(shared, k: int):
     return find
 
 
-def _visiting(shared):
-    """A row for each query and cell within its radius, but for its homes, which it has seen."""
+def _first(cells: Cells, matrix: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    """A query first sees its homes."""
+    return _homes_marked(batch.column("homes"), len(matrix), len(cells.pivots))
+
+
+def _rest(cells: Cells, matrix: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    """Then all cells within its radius, but for the homes."""
+    radius = batch.column("radius").to_numpy(zero_copy_only=False)
+    return cells.within(matrix, radius) & ~_homes_marked(batch.column("homes"), len(matrix), len(cells.pivots))
+
+
+def _homes_marked(homes: pa.ListArray, rows: int, count: int) -> np.ndarray:
+    found = np.zeros((rows, count), bool)
+    owner = np.repeat(np.arange(rows), np.asarray(homes.value_lengths()))
+    found[owner, homes.flatten().to_numpy()] = True
+    return found
+
+
+def _wanted(shared, wants, batches: Iterator[pa.RecordBatch]):
+    """Cells, and usable queries in runs of bounded size with the cells they want."""
+    cells = shared.value
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        matrix = to_matrix(batch.column("_q"))
+        check_width(cells.pivots, matrix)
+        at, matrix = usable(np.arange(len(matrix)), matrix)
+        kept = batch.take(pa.array(at))
+        for rows in query_slices(len(at), len(cells.pivots)):
+            some = kept.slice(rows.start, rows.stop - rows.start)
+            yield cells, some, wants(cells, matrix[rows], some)
+
+
+def _counting(shared, wants):
+    """How many queries want each cell, and each bin."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cells, _, wanted in _wanted(shared, wants, batches):
+            starts = np.flatnonzero(np.diff(cells.bins, prepend=-1))
+            bins = np.logical_or.reduceat(wanted, starts, axis=1).sum(axis=0)
+            counts = np.concatenate([wanted.sum(axis=0), bins])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(len(counts)) >= wanted.shape[1]),
+                    pa.array(np.concatenate([np.arange(wanted.shape[1]), np.arange(len(starts))]).astype(np.int32)),
+                    pa.array(counts.astype(np.int64)),
+                ],
+                names=["binned", "at", "n"],
+            )
+
+    return count
+
+
+def _visiting(shared, wants):
+    """A row for each query and bin it has to see, with a bit for each cell of the bin."""
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            matrix = to_matrix(batch.column("_q"))
-            check_width(cells.pivots, matrix)
-            at, matrix = usable(np.arange(len(matrix)), matrix)
-            radius = batch.column("radius").to_numpy(zero_copy_only=False)[at]
-            homes = batch.column("homes").take(pa.array(at))
-            for rows in query_slices(len(at), len(cells.pivots)):
-                wanted = cells.within(matrix[rows], radius[rows])
-                seen = homes.slice(rows.start, len(wanted))
-                owner = np.repeat(np.arange(len(wanted)), np.asarray(seen.value_lengths()))
-                wanted[owner, seen.flatten().to_numpy()] = False
-                q, cell = np.nonzero(wanted)
-                kept = batch.take(pa.array(at[rows][q]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int32)), kept.column("qid"), kept.column("_q"), kept.column("radius")],
-                    names=["cell", "qid", "_q", "radius"],
-                )
+        for cells, some, wanted in _wanted(shared, wants, batches):
+            starts = np.flatnonzero(np.diff(cells.bins, prepend=-1))
+            for number, (start, end) in enumerate(zip(starts, [*starts[1:], len(cells.bins)])):
+                own = wanted[:, start:end]
+                at = np.flatnonzero(own.any(axis=1))
+                for first in range(0, len(at), BATCH_ROWS):
+                    rows = at[first : first + BATCH_ROWS]
+                    bits = np.packbits(own[rows], axis=1)
+                    ends = np.arange(len(rows) + 1, dtype=np.int32) * bits.shape[1]
+                    kept = some.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(rows), number, np.int32)), kept.column("qid"), kept.column("_q"),
+                            kept.column("radius"),
+                            pa.Array.from_buffers(
+                                pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(bits.tobytes())]
+                            ),
+                        ],
+                        names=["bin", "qid", "_q", "radius", "bits"],
+                    )
 
     return visit
 
 
-def visits(queries: DataFrame, shared) -> DataFrame:
-    """Rows ``(cell, qid, _q, radius)`` from ``(qid, _q, radius, homes)``."""
-    kind = queries.schema["_q"].dataType.simpleString()
-    return queries.select("qid", "_q", "radius", "homes").mapInArrow(
-        _visiting(shared), f"cell int, qid long, _q {kind}, radius double"
-    )
+# Query numbers, cells' vectors ready to be compared, their ids, and which of the pairs count.
+Part = tuple[np.ndarray, Screen, np.ndarray, np.ndarray | None]
 
 
 def _nearest(k: int):
-    def compare(ids, vectors, qids, queries, radius):
+    def compare(parts: Iterator[Part], qids, queries, radius):
         best = Best(len(qids), k)
-        check_width(vectors, queries)
-        for rows in query_slices(len(qids), len(ids)):
-            squares, error = squared_distances(vectors, queries[rows])
-            bound = radius[rows, None]
-            at = candidates(squares, k, 2 * error, np.where(np.isfinite(bound), bound**2, np.inf))
-            if at.shape[1]:
-                distance = exact_distances(vectors, queries[rows], at)
-                best.merge(rows, np.where(distance <= bound, distance, np.inf), ids[at], distance)
-        yield best.columns(qids)[:3]
+        for rows, screen, ids, among in parts:
+            limit = np.minimum(best.key[rows, -1], radius[rows])
+            for q, v, distance in screen.near(queries[rows], limit, among, k):
+                best.add(rows[q], distance, ids[v], distance)
+        for columns in best.answer(qids):
+            yield columns[:3]
 
     return compare
 
 
 def _within():
-    def compare(ids, vectors, qids, queries, radius):
-        for rows in query_slices(len(qids), len(ids)):
-            squares, error = squared_distances(vectors, queries[rows])
-            near_q, near_v = np.nonzero(squares <= radius[rows, None] ** 2 + 2 * error)
-            for part in query_slices(len(near_q), vectors.shape[1]):
-                q, v = near_q[part] + rows.start, near_v[part]
-                distance = lengths(vectors[v] - queries[q])
-                kept = distance <= radius[q]
-                if kept.any():
-                    yield [qids[q[kept]], ids[v[kept]], distance[kept]]
+    def compare(parts: Iterator[Part], qids, queries, radius):
+        for rows, screen, ids, among in parts:
+            for q, v, distance in screen.near(queries[rows], radius[rows], among):
+                yield [qids[rows[q]], ids[v], distance]
 
     return compare
 
 
+class _Group:
+    """The vectors of a group, by cell."""
+
+    def __init__(self, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        own, ids, matrix = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(own, kind="stable")
+        self.own, self.ids, self.matrix = own[order], ids[order], matrix[order]
+        self.cells, self.starts = np.unique(self.own, return_index=True)
+        self.ends = np.append(self.starts[1:], len(own))
+        self.screens: dict[int, Screen] = {}
+
+    def _screen(self, cell: int, rows: slice) -> Screen:
+        if cell not in self.screens:
+            self.screens[cell] = Screen(self.matrix[rows])
+        return self.screens[cell]
+
+    def parts(self, wanted: np.ndarray) -> Iterator[Part]:
+        """What has to be compared: cell by cell, or all at once where that is much of it."""
+        wanted = wanted[:, self.cells]
+        pairs = int(wanted.sum(axis=0) @ (self.ends - self.starts))
+        few = len(self.ids) < FEW_ROWS * len(self.cells)
+        if wanted.all() or few and pairs >= DENSE * len(wanted) * len(self.ids):
+            screen = self._screen(-1, slice(None))
+            column = np.repeat(np.arange(len(self.cells)), self.ends - self.starts)
+            for some in query_slices(len(wanted), len(self.ids)):
+                marks = wanted[some]
+                yield np.arange(some.start, some.stop), screen, self.ids, None if marks.all() else marks[:, column]
+            return
+        for cell, (start, end) in enumerate(zip(self.starts, self.ends)):
+            asking = np.flatnonzero(wanted[:, cell])
+            for some in query_slices(len(asking), end - start):
+                yield asking[some], self._screen(cell, slice(start, end)), self.ids[start:end], None
+
+
 def _grouped(compare):
     """Run ``compare`` for every group: its vectors come first, then its queries, in any number of batches."""
 
@@ -247,7 +338,7 @@ def _grouped(compare):
                 continue
             keys = np.stack([
                 batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                for c in ("cell", "part", "share", "asks")
+                for c in ("bin", "part", "share", "asks")
             ])
             new = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             for start, end in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
@@ -257,14 +348,17 @@ def _grouped(compare):
                 if key != group:
                     group, held, ready = key, [], None
                 if not asks:
-                    held.append((ids, matrix))
+                    held.append((some.column("own").to_numpy(), ids, matrix))
                     continue
-                if ready is None:
-                    ready = [np.concatenate(c) for c in zip(*held)] if held else None
+                if ready is None and held:
+                    ready, held = _Group(held), []
                 if ready is None:
                     continue
+                bits = some.column("bits")
+                packed = np.frombuffer(b"".join(bits.to_pylist()), np.uint8).reshape(len(bits), -1)
+                wanted = np.unpackbits(packed, axis=1).astype(bool)
                 radius = some.column("radius").to_numpy(zero_copy_only=False)
-                for columns in compare(*ready, ids, matrix, radius):
+                for columns in compare(ready.parts(wanted), ids, matrix, radius):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c) for c in columns], names=["qid", "vec_id", "distance"]
                     )
@@ -273,21 +367,29 @@ def _grouped(compare):
 
 
 def _join(
-    placed: DataFrame, cells: Cells, asked: DataFrame, compare, most: float = math.inf
+    placed: DataFrame, cells: Cells, shared, queries: DataFrame, wants, compare, most: float = math.inf
 ) -> tuple[DataFrame | None, int]:
-    """Hits of all visits, and the pairs of query and vector compared for them; none if over ``most``."""
+    """Hits of the cells that ``(qid, _q, radius, homes)`` want, and the pairs compared for them; none if over ``most``."""
     spark = placed.sparkSession
-    wanted = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}  # a row per pivot
-    if not wanted:
+    queries = queries.select("qid", "_q", "radius", "homes")
+    counted = queries.mapInArrow(_counting(shared, wants), "binned boolean, at int, n long")
+    counts = counted.groupBy("binned", "at").agg(F.sum("n").alias("n")).where("n > 0").collect()  # rows per pivot
+    pairs = sum(int(cells.rows[r["at"]]) * r["n"] for r in counts if not r["binned"])
+    if not pairs:
         return spark.createDataFrame([], _HITS), 0
-    pairs = sum(int(cells.rows[c]) * n for c, n in wanted.items())
     if pairs > most:
         return None, pairs
-    # Parts a cell's vectors are cut into, and shares its queries are.
+    # Parts a bin's vectors are cut into, and shares its queries are.
+    held = np.bincount(cells.bins, weights=cells.rows)
+    start = np.flatnonzero(np.diff(cells.bins, prepend=-1))
     plan = spark.createDataFrame(
-        [(c, math.ceil(int(cells.rows[c]) / GROUP_ROWS), math.ceil(n / GROUP_QUERIES)) for c, n in wanted.items()],
-        "cell int, parts int, shares int",
+        [
+            (r["at"], int(start[r["at"]]), math.ceil(held[r["at"]] / GROUP_ROWS), math.ceil(r["n"] / GROUP_QUERIES))
+            for r in counts if r["binned"]
+        ],
+        "bin int, start int, parts int, shares int",
     )
+    homes = spark.createDataFrame([(c, int(b)) for c, b in enumerate(cells.bins)], "cell int, bin int")
 
     def spread(key: str, count: str):
         return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
@@ -295,20 +397,26 @@ def _join(
     def every(count: str):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    vectors = placed.join(F.broadcast(plan), "cell").withColumn("share", every("shares")).select(
-        "cell", spread("vec_id", "parts").alias("part"), "share", F.lit(0).alias("asks"),
+    vectors = placed.join(F.broadcast(homes.join(F.broadcast(plan), "bin")), "cell")
+    vectors = vectors.withColumn("share", every("shares")).select(
+        "bin", spread("vec_id", "parts").alias("part"), "share", F.lit(0).alias("asks"),
+        (F.col("cell") - F.col("start")).alias("own"), F.lit(None).cast("binary").alias("bits"),
         F.col("vec_id").alias("id"), F.col("_v").alias("v"), F.lit(0.0).alias("radius"),
     )
-    queries = asked.join(F.broadcast(plan), "cell").withColumn("part", every("parts")).select(
-        "cell", "part", spread("qid", "shares").alias("share"), F.lit(1).alias("asks"),
-        F.col("qid").alias("id"), F.col("_q").alias("v"), "radius",
+    kind = queries.schema["_q"].dataType.simpleString()
+    asked = queries.mapInArrow(
+        _visiting(shared, wants), f"bin int, qid long, _q {kind}, radius double, bits binary"
+    )
+    asked = asked.join(F.broadcast(plan), "bin").withColumn("part", every("parts")).select(
+        "bin", "part", spread("qid", "shares").alias("share"), F.lit(1).alias("asks"),
+        F.lit(0).alias("own"), "bits", F.col("qid").alias("id"), F.col("_q").alias("v"), "radius",
     )
-    if vectors.schema["v"].dataType != queries.schema["v"].dataType:
-        vectors, queries = (x.withColumn("v", F.col("v").cast("array<double>")) for x in (vectors, queries))
+    if vectors.schema["v"].dataType != asked.schema["v"].dataType:
+        vectors, asked = (x.withColumn("v", F.col("v").cast("array<double>")) for x in (vectors, asked))
     session = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(session, min(MOST_TASKS, math.ceil(pairs / TASK_PAIRS)))
-    group = ["cell", "part", "share"]
-    dealt = vectors.unionByName(queries).repartition(tasks, *group).sortWithinPartitions(*group, "asks")
+    group = ["bin", "part", "share"]
+    dealt = vectors.unionByName(asked).repartition(tasks, *group).sortWithinPartitions(*group, "asks")
     return materialize(dealt.mapInArrow(_grouped(compare), _HITS), "hits"), pairs
 
 
@@ -339,8 +447,8 @@ def nearest(
         "homes",
     )
     most = most_share * right.count() * int(cells.rows.sum())
-    first = right.select(F.explode("homes").alias("cell"), "qid", "_q", F.lit(float("inf")).alias("radius"))
-    hits, compared = _join(placed, cells, first, _nearest(k), most)
+    first = right.withColumn("radius", F.lit(float("inf")))
+    hits, compared = _join(placed, cells, shared, first, _first, _nearest(k), most)
     if hits is None:
         return None, compared
     best = materialize(
@@ -348,9 +456,10 @@ def nearest(
     )
     # The k-th best so far bounds the answer; where there are fewer, all vectors were seen.
     bound = best.groupBy("qid").agg(F.count("*").alias("n"), F.max("distance").alias("radius"))
-    bounded = lookup_join(right, bound.where(F.col("n") >= k).drop("n"), ["qid"])
-    asked = materialize(visits(bounded, shared), "visits")
-    rest, more = _join(placed, cells, asked, _nearest(k), most)
+    bounded = materialize(
+        lookup_join(right, bound.where(F.col("n") >= k).drop("n"), ["qid"]), "bounded"
+    )
+    rest, more = _join(placed, cells, shared, bounded, _rest, _nearest(k), most)
     return None if rest is None else best.unionByName(rest), compared + more
 
 
@@ -371,5 +480,5 @@ def within(
         F.col("qid").cast("long").alias("qid"), F.col(query_col).alias("_q"),
         F.col(radius_col).cast("double").alias("radius"), F.array().cast("array<int>").alias("homes"),
     ).where("_q is not null and radius is not null")
-    asked = materialize(visits(right, spark.sparkContext.broadcast(cells)), "visits")
-    return _join(placed, cells, asked, _within(), most_share * right.count() * int(cells.rows.sum()))
+    most = most_share * right.count() * int(cells.rows.sum())
+    return _join(placed, cells, spark.sparkContext.broadcast(cells), right, _rest, _within(), most)

@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import tuples
 from simsearch.operators import neighbours, pivots
+from simsearch.operators.blocks import Best, Screen, lengths
 
 
 def frames(spark, matrix, queries, bad=()):
@@ -76,3 +78,49 @@ def test_width_mismatch_is_an_error(spark):
     asked = spark.createDataFrame([(1, [0.0, 1.0])], "qid long, q array<float>")
     with pytest.raises(Exception, match="different length"):
         neighbours.knn(vectors, asked, 3, query_bytes=0).count()
+
+
+def test_a_query_travels_once_to_a_bin_in_small_batches():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(1024, 64))
+    rows = np.full(1024, 100)
+    bins = pivots._bins(rows, pivots.GROUP_ROWS)
+    assert max(np.bincount(bins, weights=rows)) <= pivots.GROUP_ROWS and len(set(bins)) == 7
+    # Uniform vectors: every cell has to be seen.
+    cells = pivots.Cells(points, np.ones((1024, 1024)), rows, np.zeros(1024), np.full(1024, 9.0), 100.0, bins)
+
+    class Shared:
+        value = cells
+
+    queries = rng.normal(size=(10_000, 64))
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.arange(10_000)), pa.array(list(queries)), pa.array(np.full(10_000, 99.0)),
+            pa.array([[0, 1]] * 10_000, pa.list_(pa.int32())),
+        ],
+        names=["qid", "_q", "radius", "homes"],
+    )
+    found = list(pivots._visiting(Shared, pivots._rest)(iter([batch])))
+    assert sum(b.num_rows for b in found) == 7 * 10_000
+    assert max(b.get_total_buffer_size() for b in found) < 16_000_000
+    seen = sum(int(np.unpackbits(np.frombuffer(x, np.uint8)).sum()) for b in found for x in b["bits"].to_pylist())
+    assert seen == 1022 * 10_000
+
+
+@pytest.mark.parametrize("shift, scale", [(0, 1), (1e4, 1), (0, 1e18), (0, 1e-18), (0, 1e60)])
+def test_single_precision_leaves_nothing_out(shift, scale):
+    rng = np.random.default_rng(6)
+    vectors = (rng.normal(size=(3000, 8)) + shift) * scale
+    queries = vectors[:40] + rng.normal(size=(40, 8)) * scale * 0.01
+    exact = np.stack([lengths(vectors - q) for q in queries])
+    limit = np.sort(exact, axis=1)[:, 7]
+    among = rng.random(exact.shape) < 0.5
+    for mask in (None, among):
+        got = {(a, b, d) for q, v, x in Screen(vectors).near(queries, limit, mask) for a, b, d in zip(q, v, x)}
+        rows, columns = np.nonzero((exact <= limit[:, None]) & (True if mask is None else mask))
+        assert got == {(a, b, exact[a, b]) for a, b in zip(rows, columns)}
+        best = Best(40, 5)
+        for q, v, x in Screen(vectors).near(queries, best.key[:, -1], mask, 5):
+            best.add(q, x, v, x)
+        nearest = np.sort(exact if mask is None else np.where(mask, exact, np.inf), axis=1)[:, :5]
+        assert (best.key == nearest).all()
