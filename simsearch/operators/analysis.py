@@ -17,7 +17,7 @@ from simsearch.functions.text import (
     word_tokens,
 )
 from simsearch.plans.joins import lookup_join
-from simsearch.plans.storage import balanced, materialize
+from simsearch.plans.storage import balanced, dealt, materialize
 
 
 def document_tokens(
@@ -25,13 +25,18 @@ def document_tokens(
     id_col: str = "doc_id",
     text_cols: Iterable[str] = ("text",),
     lang_col: str | None = "lang",
+    by_id: bool = False,
 ) -> DataFrame:
-    """Rows ``(doc_id, lang, token)``, one per occurrence, before stopwords."""
+    """Rows ``(doc_id, lang, token)``, one per occurrence, before stopwords.
+
+    With ``by_id`` the texts are dealt to tasks by document first: their words take more
+    than they do, and can then be counted by document without a shuffle.
+    """
     language = resolve_language(F.col(lang_col) if lang_col else F.lit(None).cast("string"))
     docs = concat_text(df, list(text_cols), "_text").select(
         F.col(id_col).cast("long").alias("doc_id"), language.alias("lang"), "_text"
     )
-    return balanced(docs, "doc_id").select(
+    return (dealt if by_id else balanced)(docs, "doc_id").select(
         "doc_id", "lang", F.explode(word_tokens(F.col("_text"))).alias("token")
     )
 
@@ -72,10 +77,11 @@ def analyze_documents(
     lang_col: str | None = "lang",
     stem: bool = True,
     stopword_lists: dict[str, Iterable[str]] | None = None,
+    by_id: bool = False,
 ) -> DataFrame:
-    """Rows ``(doc_id, term)``, one per occurrence of a term in a document."""
+    """Rows ``(doc_id, term)``, one per occurrence of a term in a document; see ``document_tokens``."""
     tokens = remove_stopwords(
-        document_tokens(df, id_col, text_cols, lang_col), stopword_lists
+        document_tokens(df, id_col, text_cols, lang_col, by_id), stopword_lists
     )
     if not stem:
         return tokens.select("doc_id", F.col("token").alias("term"))

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Tasks for a split of texts whose words are counted, and the most tasks.
+SPLIT_PARTS, MOST_PARTS = 8, 20_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,10 +29,19 @@ def new_table_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a scan of what was written."""
+    """Write ``df`` once and return a scan of what was written; such a scan comes back as it is."""
+    if is_stored(df):
+        return df
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored = True
+    return found
+
+
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` is what ``materialize`` returned, and nothing made from it."""
+    return getattr(df, "_stored", False) is True
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -71,3 +82,15 @@ def balanced(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(key) if df.rdd.getNumPartitions() < cores else df
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """All rows of a key in one task, in tasks of a part of a split each.
+
+    What is counted by the key afterwards, however much more that is, need not be shuffled.
+    """
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    splits = df.rdd.getNumPartitions()
+    # A split is at most 128 MB; a part of it leaves the counts in memory.
+    few = splits < df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(session if few else max(session, min(MOST_PARTS, splits * SPLIT_PARTS)), key)

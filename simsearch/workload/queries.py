@@ -169,7 +169,7 @@ def lang_resolve(spark, sf_dir):
 
 
 def tokens(spark, sf_dir):
-    rows = analysis.document_tokens(documents(spark, sf_dir))
+    rows = analysis.document_tokens(documents(spark, sf_dir), by_id=True)
     return rows.groupBy("doc_id").agg(
         F.count("*").alias("tokens"), F.countDistinct("token").alias("words")
     )
@@ -211,7 +211,7 @@ def query_terms(spark, sf_dir):
 
 
 def term_freq(spark, sf_dir):
-    rows = analysis.analyze_documents(documents(spark, sf_dir), stem=False)
+    rows = analysis.analyze_documents(documents(spark, sf_dir), stem=False, by_id=True)
     return index.term_frequencies(rows)
 
 

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import tuples
 from simsearch.operators import index
+from simsearch.operators.analysis import analyze_documents
+from simsearch.plans.storage import materialize
 from simsearch.sources.index_store import read_index, write_index
 
 LINES = [
@@ -140,3 +142,21 @@ def test_sorted_by_code_point(spark):
     )
     got = [(r.term, r.doc_id) for r in index.sorted_index(rows).collect()]
     assert got == [("Z", 9), ("a", 1), ("b", 1), ("b", 2), ("é", 1)]
+
+
+def test_counts_by_document_are_not_shuffled_again(spark):
+    rows = [(i % 50 if i % 7 else None, f"a b{i % 3} a c{i}", "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for by_id in (False, True):
+        found = index.term_frequencies(analyze_documents(docs, stem=False, by_id=by_id))
+        shuffles = found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        held = sorted(map(str, found.collect()))
+        if by_id:
+            assert shuffles == 1 and held == before
+        before = held
+
+
+def test_a_written_table_is_not_written_again(spark):
+    written = materialize(spark.range(3), "ids")
+    assert materialize(written, "ids") is written
+    assert materialize(written.where("id > 0"), "ids") is not written
