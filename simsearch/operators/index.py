@@ -15,7 +15,7 @@ from simsearch.operators.analysis import (
     remove_stopwords,
     stem_vocabulary,
 )
-from simsearch.plans.joins import lookup_join
+from simsearch.plans.joins import fits_broadcast, lookup_join
 from simsearch.plans.storage import materialize
 
 # Width in ids of one stretch of a posting list. A list is split by document id,
@@ -119,11 +119,12 @@ def build_index(
     """Index of a table of documents, N being all its rows.
 
     With ``vocabulary`` (a column ``term``) only those terms are indexed: enough
-    to answer the queries they come from, and far less to shuffle. Such postings
-    are written once, as the statistics and the scores both read them.
+    to answer the queries they come from, and far less to shuffle. Postings
+    are written once, as the statistics and whatever else read them.
     """
+    by_id = vocabulary is None and not stem
     tokens = remove_stopwords(
-        document_tokens(df, id_col, text_cols, lang_col), stopword_lists
+        document_tokens(df, id_col, text_cols, lang_col, by_id), stopword_lists
     )
     if vocabulary is not None:
         return _partial_index(tokens, vocabulary, stem, df.count())
@@ -135,7 +136,8 @@ def build_index(
         stemmed = apply_stems(counted, stem_vocabulary(counted))
         postings = stemmed.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
     else:
-        postings = term_frequencies(tokens.select("doc_id", F.col("token").alias("term")))
+        counted = term_frequencies(tokens.select("doc_id", F.col("token").alias("term")))
+        postings = materialize(counted, "postings")
     return Index(postings, term_statistics(postings), df.count())
 
 
@@ -174,9 +176,11 @@ def format_postings(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
         lambda p: F.concat(F.lit("("), p["doc_id"], F.lit(", "), p["tf"], F.lit(")")),
     )
     listed = lists.select("term", "block", F.concat_ws(", ", pairs).alias("pairs"))
-    whole = lookup_join(
-        listed, materialize(document_frequencies(postings), "frequencies"), ["term"], salt_by=["block"]
-    )
+    frequencies = materialize(document_frequencies(postings), "frequencies")
+    small = fits_broadcast(frequencies)
+    # A shuffled join reads its larger side twice.
+    listed = listed if small else materialize(listed, "listed")
+    whole = lookup_join(listed, frequencies, ["term"], salt_by=["block"], broadcast=small)
     return whole.select(
         "term", "block",
         F.concat("term", F.lit(" (DF: "), "df", F.lit("): "), "pairs").alias("line"),

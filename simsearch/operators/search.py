@@ -96,7 +96,7 @@ def query_weights(
 
 def doc_weights(index: Index) -> DataFrame:
     """Rows ``(term, doc_id, wd)`` for every posting."""
-    terms = idf(index.terms, index.n_docs).select("term", "idf")
+    terms = materialize(idf(index.terms, index.n_docs).select("term", "idf"), "idf")
     joined = lookup_join(index.postings, terms, ["term"], salt_by=["doc_id"])
     return joined.select(
         "term", "doc_id", (tf_weight(F.col("tf")) * F.col("idf")).alias("wd")

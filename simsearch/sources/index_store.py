@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simsearch.operators.index import MAXIMA_SPAN, Index, block_maxima, term_statistics
-from simsearch.plans.storage import discard, new_table_path
+from simsearch.plans.storage import discard, is_stored, new_table_path
 
 POSTINGS = T.StructType(
     [
@@ -48,12 +48,14 @@ def write_index(
     The ranges run over term and document: a very frequent term is split over as
     many files as it needs. Finding the ranges and sorting both read the postings,
     and the statistics read the sorted ones, so they are written as they come
-    first and the documents are analysed once.
+    first, unless they were, and the documents are analysed once.
     """
     spark = index.postings.sparkSession
-    unsorted = new_table_path(spark, "unsorted")
-    index.postings.select("term", "doc_id", "tf").write.parquet(unsorted)
-    postings = spark.read.schema(POSTINGS).parquet(unsorted)
+    unsorted = None if is_stored(index.postings) else new_table_path(spark, "unsorted")
+    postings = index.postings.select("term", "doc_id", "tf")
+    if unsorted:
+        postings.write.parquet(unsorted)
+        postings = spark.read.schema(POSTINGS).parquet(unsorted)
     keys = ["term", "doc_id"]
     ranged = (
         postings.repartitionByRange(partitions, *keys)
@@ -72,7 +74,8 @@ def write_index(
             table.repartitionByRange(*order).sortWithinPartitions(*order)
             .write.mode(mode).option("maxRecordsPerFile", block_rows).parquet(f"{path}/{name}")
         )
-    discard(spark, unsorted)
+    if unsorted:
+        discard(spark, unsorted)
     # Last: an index without its count of documents is not one, and is not read.
     meta = spark.range(1).select(
         F.lit(index.n_docs).cast("long").alias("n_docs"), F.lit(span).cast("long").alias("span")
