@@ -20,6 +20,7 @@ are looked up by a join.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,20 +45,21 @@ ROUNDS, STEP, PRIOR = 16, 1.0, 8.0
 TASKS = 4
 END = np.uint64(0x656E64)
 _HELD = 2_000_000
+PIECE = 1 << 19  # bytes of text worked on at once: their words fit the cache of a core
+
+
+_BYTES = np.arange(256)
+_IS_MARK = (_BYTES < 128) & ~((_BYTES >= 97) & (_BYTES <= 122)) & ~((_BYTES >= 48) & (_BYTES <= 57))
 
 
 def _endings(words: Words) -> np.ndarray:
     """Last two bytes of each word and the punctuation behind them, as one number."""
     raw, last = words.raw, words.ends - 1
-    mark = raw[last].astype(np.int64)
-    is_mark = (mark < 128) & ~((mark >= 97) & (mark <= 122)) & ~((mark >= 48) & (mark <= 57))
-    while True:  # step over the marks at the end of each word
-        byte = raw[last]
-        more = (byte < 128) & ~((byte >= 97) & (byte <= 122)) & ~((byte >= 48) & (byte <= 57))
-        more &= last > words.starts
-        if not more.any():
-            break
-        last = last - more
+    mark, is_mark = raw[last].astype(np.int64), _IS_MARK[raw[last]]
+    some = np.flatnonzero(is_mark & (last > words.starts))
+    while len(some):  # step over the marks at the end of each word
+        last[some] -= 1
+        some = some[_IS_MARK[raw[last[some]]] & (last[some] > words.starts[some])]
     before = np.where(last > words.starts, raw[np.maximum(last - 1, 0)], 0).astype(np.int64)
     return np.where(is_mark, mark, 0) << 16 | before << 8 | raw[last]
 
@@ -88,7 +90,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "c": pa.array(counts),
         })
 
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=PIECE):
         words = Words(batch.column("text"), lower=True)
         rows += batch.num_rows
         unique, first, counts = np.unique(words.hashes(), return_index=True, return_counts=True)
@@ -110,20 +112,26 @@ class Classes:
     def __init__(self, words: list[int], endings: list[int]):
         self.words = np.array(words, np.int64).view(np.uint64)
         self.endings = np.array(endings, np.int64)
-        self.word_order, self.ending_order = np.argsort(self.words), np.argsort(self.endings)
+        # Classes by ending, and whether a word may be one of the commonest by its upper bits.
+        self.by_ending = np.full(1 << 23, OTHER_CLASS, np.uint8)
+        self.by_ending[self.endings] = WORDS + 1 + np.arange(len(self.endings))
+        self.order = np.argsort(self.words)
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.words >> np.uint64(48)] = True
 
-    @staticmethod
-    def _find(keys, order, asked):
-        if not len(keys):
-            return np.full(len(asked), -1)
-        at = order[np.minimum(np.searchsorted(keys, asked, sorter=order), len(keys) - 1)]
-        return np.where(keys[at] == asked, at, -1)
+    def __reduce__(self):
+        return Classes, (self.words.view(np.int64).tolist(), self.endings.tolist())
 
     def __call__(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        word = self._find(self.words, self.word_order, hashes)
-        ending = self._find(self.endings, self.ending_order, endings)
-        ending = np.where(ending >= 0, ending + WORDS + 1, OTHER_CLASS)
-        return np.where(word >= 0, word, ending)
+        found = self.by_ending[endings].astype(np.int64)
+        if len(self.words):
+            some = np.flatnonzero(self.maybe[hashes >> np.uint64(48)])
+            asked = hashes[some]
+            at = np.searchsorted(self.words, asked, sorter=self.order)
+            at = self.order[np.minimum(at, len(self.words) - 1)]
+            same = self.words[at] == asked
+            found[some[same]] = at[same]
+        return found
 
 
 def _histories(words: Words, classes: np.ndarray):
@@ -138,26 +146,6 @@ def _histories(words: Words, classes: np.ndarray):
     return tokens, one * CLASSES + two, inside, first
 
 
-def _count_histories(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = sent.value
-        tally = np.zeros(CLASSES**3, np.int32)
-        for batch in pieces(batches):
-            words = Words(batch.column("text"), lower=True)
-            tokens, history, _, _ = _histories(words, classes(words.hashes(), _endings(words)))
-            np.add.at(tally, history * CLASSES + tokens, 1)
-        some = np.flatnonzero(tally)
-        for start in range(0, len(some), 1 << 18):
-            part = some[start:start + (1 << 18)]
-            yield pa.RecordBatch.from_pydict({
-                "history": pa.array((part // CLASSES).astype(np.int32)),
-                "cls": pa.array((part % CLASSES).astype(np.int32)),
-                "c": pa.array(tally[part].astype(np.int64)),
-            })
-
-    return run
-
-
 class Weights:
     """Weights of the features of a history: bias, class before, skipped class, both hashed."""
 
@@ -175,6 +163,14 @@ class Weights:
             1 + 2 * CLASSES + pair.astype(np.int64),
         ])
 
+    @functools.cached_property
+    def base(self) -> tuple[np.ndarray, np.ndarray]:
+        """``with_odds`` of all histories (16 MB), made in the tasks that ask for it."""
+        every = np.arange(CLASSES**2)
+        return lm_words.with_odds(np.concatenate([
+            self.log_probabilities(every[i:i + 1024]).astype(np.float32) for i in range(0, len(every), 1024)
+        ]))
+
     def log_probabilities(self, history: np.ndarray) -> np.ndarray:
         """Natural logarithms, a row per history and a column per class."""
         score = self.table[self.rows(history)].sum(axis=0)
@@ -270,21 +266,14 @@ class Tokens:
         self.hashes[self.inside] = self.words
 
     def decisions(self, bits) -> lm_words.Decisions:
-        return lm_words.Decisions(self.classes, self.hashes, self.first, END_CLASS + 1, END, bits)
-
-    def class_logs(self, weights: Weights, some: np.ndarray):
-        """A function that gives the class model's logarithms for a slice of ``some`` tokens."""
-        used, number = np.unique(self.history[some], return_inverse=True)
-        logs = np.concatenate([
-            weights.log_probabilities(used[i:i + 1024]).astype(np.float32)
-            for i in range(0, max(len(used), 1), 1024)
-        ])
-        return lambda part: logs[number[part]]
+        return lm_words.Decisions(
+            self.classes, self.history, self.hashes, self.first, END_CLASS + 1, END, bits
+        )
 
 
 def _count_features(sent, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (Tokens(b.column("text"), sent.value).decisions(bits) for b in pieces(batches))
+        found = (Tokens(b.column("text"), sent.value).decisions(bits) for b in pieces(batches, limit=PIECE))
         yield from lm_words.count(found, CLASSES, bits)
 
     return run
@@ -296,26 +285,22 @@ def _gradients(sent):
         tables.alpha = alpha
 
         def decided(batches):
-            for batch in pieces(batches):
-                tokens = Tokens(batch.column("text"), classes)
-                found = tokens.decisions(tables.bits)
-                yield found, tokens.class_logs(weights, found.some)
+            for batch in pieces(batches, limit=PIECE):
+                yield Tokens(batch.column("text"), classes).decisions(tables.bits)
 
-        yield from lm_words.gradients(tables, decided, batches)
+        yield from lm_words.gradients(tables, weights.base, decided, batches)
 
     return run
 
 
-def train_words(texts: DataFrame, classes, weights: Weights, inside: np.ndarray, total: int):
-    """The word features counted over all of ``texts`` and their weights; also each step's loss.
+def train_words(texts: DataFrame, classes, weights: Weights, slices: DataFrame, inside: np.ndarray, bits):
+    """The word features, counted in ``slices``, with their weights; also each step's loss.
 
     A loss is the mean log10 probability of a token's decisions in the texts of a step, before
     the step and without what the texts themselves have added to the counts.
     """
     spark = texts.sparkSession
-    bits = lm_words.table_bits(total)
-    counted = texts.mapInArrow(_count_features(classes, bits), lm_words.COUNTS)
-    model = lm_words.WordModel(lm_words.merged(counted, CLASSES, bits), inside, END_CLASS + 1, bits)
+    model = lm_words.WordModel(lm_words.tables_of(slices, CLASSES, bits), inside, END_CLASS + 1, bits)
     sent_weights, sent_model = spark.sparkContext.broadcast(weights), spark.sparkContext.broadcast(model)
     n = lm_words.FEATURES * lm_words.BINS
     curvature, losses = np.zeros((3, n, n)), []
@@ -349,13 +334,12 @@ def _score(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sent.value
         logs = np.log10(s.counts + ALPHA)
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             piece = Tokens(batch.column("text"), s.classes)
             hashes, tokens, inside, first = piece.words, piece.classes, piece.inside, piece.first
             decided = piece.decisions(s.model.bits)
-            likely = s.model.score(decided, piece.class_logs(s.weights, decided.some)) / np.log(10)
+            likely = s.model.score(decided, s.weights.base) / np.log(10)
             likely[decided.at] -= s.inside[decided.shared - END_CLASS - 1, decided.one, decided.two]
-            likely = likely[decided.number]
 
             unique, number = np.unique(hashes, return_inverse=True)
             unique = np.append(unique, END)
@@ -449,13 +433,11 @@ def score_texts(docs: DataFrame, held_out, losses: list | None = None) -> DataFr
     classes = Classes(top, [r["ending"] for r in chosen])
 
     sent = spark.sparkContext.broadcast(classes)
-    histories = materialize(
-        train_texts.mapInArrow(_count_histories(sent), "history int, cls int, c long")
-        .groupBy("history", "cls").agg(F.sum("c").alias("c")),
-        "histories",
-    )
+    bits = lm_words.table_bits(total)
+    counted = train_texts.mapInArrow(_count_features(sent, bits), lm_words.COUNTS)
+    slices, histories = lm_words.merged(counted, CLASSES)
     weights = train(histories, sizes[:, 0])
-    model, found = train_words(train_texts, sent, weights, inside, total)
+    model, found = train_words(train_texts, sent, weights, slices, inside, bits)
     if losses is not None:
         losses.extend(found)
 

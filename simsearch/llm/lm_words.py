@@ -15,6 +15,7 @@ is that on texts the weights have not seen.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,8 @@ PRIOR = 4.0
 # 2**16 rows of 128 classes and 2**20 rows of 16 digits, 48 MB in all.
 CLASS_BITS, DIGIT_BITS = (10, 16), (13, 20)
 SLICE = 1 << 18
-BLOCK = 2048  # decisions worked on at once
+BLOCK = 1 << 15  # logarithms worked on at once: some arrays of them fit the cache of a core
+HISTORIES = 2  # number of the table of classes by the two classes before, beside those of words
 _ODD, _EVEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x3C6EF372FE94F82A)
 
 
@@ -66,45 +68,37 @@ def digits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Decisions:
-    """What is decided about the tokens of a piece, and the rows of the tables that speak for it.
+    """What is decided about the tokens of a piece, and the rows of the tables that speak for it."""
 
-    Tokens that agree in their word and the two before are decided once: ``some`` are the first
-    of each kind, ``times`` their numbers, and ``number`` tells which of them a token is.
-    """
-
-    def __init__(self, tokens, hashes, first, own_classes: int, end, bits: tuple[int, int]):
-        """``tokens`` are classes, those from ``own_classes`` on shared; ``hashes`` the words'."""
+    def __init__(self, tokens, history, hashes, first, own_classes: int, end, bits: tuple[int, int]):
+        """``tokens`` are classes, those from ``own_classes`` on shared, after ``history``; ``hashes`` the words'."""
         one, two = before(hashes, first, end)
-        kinds = mix(mix(one * _ODD + mix(two)) * _EVEN + hashes)
-        _, self.some, self.number, self.times = np.unique(
-            kinds, return_index=True, return_inverse=True, return_counts=True
-        )
-        tokens, hashes, one, two = (x[self.some] for x in (tokens, hashes, one, two))
         keys = [mix(one + _ODD), mix(two + _EVEN), mix(one * _ODD + mix(two))]
-        self.classes = tokens
-        self.class_rows = np.stack([(k >> np.uint64(64 - bits[0])).astype(np.int64) for k in keys])
+        self.classes, self.history = tokens, history
+        self.class_rows = [(k >> np.uint64(64 - bits[0])).astype(np.int64) for k in keys]
         self.at = np.flatnonzero(tokens >= own_classes)
         self.shared = tokens[self.at]
         self.one, self.two = digits(hashes[self.at])
         context = self.shared * (DIGIT + 1)
+        keys = [k[self.at] for k in keys]
         self.digit_rows = [
-            np.stack([
-                (mix(k[self.at] + _ODD * c.astype(np.uint64)) >> np.uint64(64 - bits[1])).astype(np.int64)
-                for k in keys
-            ])
-            for c in (context, context + 1 + self.one)
+            [(mix(k + c) >> np.uint64(64 - bits[1])).astype(np.int64) for k in keys]
+            for c in (_ODD * x.astype(np.uint64) for x in (context, context + 1 + self.one))
         ]
 
 
 def count(decisions: Iterator[Decisions], classes: int, bits: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """A task's counts of (row, outcome), slice by slice, cells without a count left out."""
-    tables = [np.zeros(classes << bits[0], np.int32), np.zeros(DIGIT << bits[1], np.int32)]
+    """A task's counts of (row, outcome) and of (history, class), slice by slice, cells without a count left out."""
+    tables = [np.zeros(n, np.int32) for n in (classes << bits[0], DIGIT << bits[1], classes**3)]
     for d in decisions:
+        # As many ones of the tables' type are added much faster than a single number.
+        once = np.ones(len(d.classes), np.int32)
         for rows in d.class_rows:
-            np.add.at(tables[0], rows * classes + d.classes, d.times.astype(np.int32))
+            np.add.at(tables[0], rows * classes + d.classes, once)
         for outcome, some in zip((d.one, d.two), d.digit_rows):
             for rows in some:
-                np.add.at(tables[1], rows * DIGIT + outcome, d.times[d.at].astype(np.int32))
+                np.add.at(tables[1], rows * DIGIT + outcome, once[:len(outcome)])
+        np.add.at(tables[HISTORIES], d.history * classes + d.classes, once)
     for number, table in enumerate(tables):
         for start in range(0, len(table), SLICE):
             part = table[start:start + SLICE]
@@ -124,9 +118,14 @@ COUNTS = "number int, slice int, cells binary, counts binary"
 
 
 def _merge(classes: int):
-    """Add up the slices, which come one after the other; rows too large are scaled down as a whole."""
+    """Add up the slices, which come one after the other; rows of words too large are scaled down as a whole."""
 
     def finish(key, sums):
+        if key[0] == HISTORIES:
+            return pa.RecordBatch.from_pydict({
+                "number": pa.array([key[0]], pa.int32()), "slice": pa.array([key[1]], pa.int32()),
+                "cells": pa.array([sums.tobytes()], pa.binary()),
+            })
         rows = sums.reshape(-1, classes if key[0] == 0 else DIGIT)
         over = np.maximum(np.ceil(np.log2(np.maximum(rows.max(axis=1), 1) / 65535)), 0).astype(np.int64)
         return pa.RecordBatch.from_pydict({
@@ -151,20 +150,109 @@ def _merge(classes: int):
     return run
 
 
-def merged(counted: DataFrame, classes: int, bits: tuple[int, int]) -> list[np.ndarray]:
-    """Both tables, of the size that ``bits`` allow whatever the input (48 MB at most)."""
-    sizes = [classes << bits[0], DIGIT << bits[1]]
-    tables = [np.zeros(-(-n // SLICE) * SLICE, np.uint16) for n in sizes]
+def _of_histories(classes: int):
+    """Rows (history, cls, c) of the slices of their table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, cells in zip(batch.column("slice").to_pylist(), batch.column("cells").to_pylist()):
+                counts = np.frombuffer(cells, np.int64)
+                some = np.flatnonzero(counts)
+                places = some + part * SLICE
+                yield pa.RecordBatch.from_pydict({
+                    "history": pa.array((places // classes).astype(np.int32)),
+                    "cls": pa.array((places % classes).astype(np.int32)), "c": pa.array(counts[some]),
+                })
+
+    return run
+
+
+def merged(counted: DataFrame, classes: int) -> tuple[DataFrame, DataFrame]:
+    """All slices of the two tables of words, added up, and (history, cls, c)."""
     slices = (
         counted.repartition("number", "slice").sortWithinPartitions("number", "slice")
         .mapInArrow(_merge(classes), "number int, slice int, cells binary")
     )
-    for r in materialize(slices, "features").toLocalIterator():
+    slices = materialize(slices, "features")
+    of_histories = slices.where(F.col("number") == HISTORIES)
+    return (
+        slices.where(F.col("number") != HISTORIES),
+        of_histories.mapInArrow(_of_histories(classes), "history int, cls int, c long"),
+    )
+
+
+def tables_of(slices: DataFrame, classes: int, bits: tuple[int, int]) -> list[np.ndarray]:
+    """Both tables of words, of the size that ``bits`` allow whatever the input (48 MB at most)."""
+    sizes = [classes << bits[0], DIGIT << bits[1]]
+    tables = [np.zeros(-(-n // SLICE) * SLICE, np.uint16) for n in sizes]
+    for r in slices.toLocalIterator():
         start = r["slice"] * SLICE
         tables[r["number"]][start:start + SLICE] = np.frombuffer(r["cells"], np.uint16)
     return [t[:n].reshape(-1, s) for t, n, s in zip(tables, sizes, (classes, DIGIT))]
 
 
+class _Decision:
+    """One of the decisions about some tokens, those whose rows weigh alike one after the other."""
+
+    def __init__(self, alpha, table, totals, base, place, rows, outcome, own: bool):
+        """``base`` holds distributions, ``place`` the one of each token; ``own`` outcomes are taken out once."""
+        self.table, self.own, self.base, self.odds = table, own, *base
+        self.alpha = alpha.astype(np.float32)
+        self.bins = [_BIN[np.clip(totals[some] - own, 0, len(_BIN) - 1)] for some in rows]
+        kinds = (self.bins[0] * BINS + self.bins[1]) * BINS + self.bins[2]
+        self.order = order = np.argsort(kinds, kind="stable")
+        self.place, self.outcome = place[order], outcome[order]
+        self.rows, self.bins = [r[order] for r in rows], [b[order] for b in self.bins]
+
+    def blocks(self):
+        """(slice, base, logarithms of each feature, odds, their sums) of some tokens at a time.
+
+        A feature's logarithm is that of count + TAU * base. What a row divides its counts by is
+        the same for all outcomes, so it is left out; odds are probabilities but for their sum.
+        """
+        width = self.table.shape[1]
+        step = max(1, BLOCK // width)
+        room = np.empty((3 + FEATURES) * step * width, np.float32)
+        counts, ones = np.empty((step, width), self.table.dtype), np.ones(width, np.float32)
+        for start in range(0, len(self.outcome), step):
+            s = slice(start, min(start + step, len(self.outcome)))
+            size = s.stop - start
+            odds, score, base, *logs = room[:(3 + FEATURES) * size * width].reshape(-1, size, width)
+            np.take(self.base, self.place[s], axis=0, out=base, mode="clip")
+            np.take(self.odds, self.place[s], axis=0, out=odds, mode="clip")
+            own = np.arange(size) * width + self.outcome[s]
+            for f, log in enumerate(logs):
+                np.take(self.table, self.rows[f][s], axis=0, out=counts[:size], mode="clip")
+                np.copyto(log, counts[:size], casting="unsafe")
+                if self.own:
+                    flat = log.reshape(-1)
+                    flat[own] = np.maximum(flat[own] - 1, 0)
+                log += odds
+                np.log(log, out=log)
+            first, last = ([b[at] for b in self.bins] for at in (start, s.stop - 1))
+            if first == last:
+                alpha = np.array([a[b] for a, b in zip(self.alpha, first)], np.float32)
+                parts = room[2 * size * width:(3 + FEATURES) * size * width].reshape(1 + FEATURES, -1)
+                np.matmul(np.append(1 - alpha.sum(), alpha), parts, out=score.reshape(-1))
+            else:
+                alpha = [a[b[s], None] for a, b in zip(self.alpha, self.bins)]
+                np.multiply(base, 1 - sum(alpha), out=score)
+                for log, factor in zip(logs, alpha):
+                    score += np.multiply(log, factor, out=odds)
+            with np.errstate(over="ignore"):
+                np.exp(score, out=odds)
+                sums = odds @ ones
+                if not (sums.min() > 1e-30 and sums.max() < 1e30):
+                    score -= score.max(axis=1, keepdims=True)
+                    np.exp(score, out=odds)
+                    sums = odds @ ones
+            yield s, own, base, logs, score, odds, sums
+
+
+# Bin of a row by its total.
+_BIN = np.minimum(np.frexp(np.arange(1 << BINS, dtype=float))[1], BINS - 1).astype(np.uint16)
+
+
 class WordModel:
     """Tables, weights and base distributions of the three decisions."""
 
@@ -173,88 +261,79 @@ class WordModel:
         self.tables, self.bits, self.own_classes = tables, bits, own_classes
         both = inside.sum(axis=2)
         self.first = np.log(both / both.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.second = np.log(inside / both[:, :, None]).astype(np.float32)
+        self.second = np.log(inside / both[:, :, None]).astype(np.float32).reshape(-1, DIGIT)
         self.alpha = np.zeros((3, FEATURES, BINS))
 
-    def decisions(self, d: Decisions, class_logs):
-        """For each decision: number, table, base of a slice of it, rows, outcomes, times.
+    def __setstate__(self, state):
+        # Copies of large arrays lie on large pages, where rows are found faster.
+        self.__dict__.update(state, tables=[t.copy() for t in state["tables"]])
 
-        ``class_logs`` gives the class model's logarithms for a slice of ``d.some``.
-        """
+    @functools.cached_property
+    def totals(self) -> list[np.ndarray]:
+        return [t.sum(axis=1, dtype=np.int32) for t in self.tables]
+
+    def decisions(self, d: Decisions, class_base, own: bool = False):
+        """Each decision with its number; ``class_base`` is ``with_odds`` of the class model's logarithms."""
         shared = d.shared - self.own_classes
-        yield 0, self.tables[0], class_logs, d.class_rows, d.classes, d.times
-        times = d.times[d.at]
-        yield 1, self.tables[1], lambda s: self.first[shared[s]], d.digit_rows[0], d.one, times
-        yield 2, self.tables[1], lambda s: self.second[shared[s], d.one[s]], d.digit_rows[1], d.two, times
-
-    def values(self, table, base, rows, own=None):
-        """Features (feature, token, outcome) and the bin of each row; ``own`` outcomes are taken out once."""
-        inverse, line = np.exp(-base), np.arange(len(base))
-        values, bins = [], []
-        for some in rows:
-            counts = table[some].astype(np.float32)
-            if own is not None:
-                counts[line, own] = np.maximum(counts[line, own] - 1, 0)
-            total = counts.sum(axis=1)
-            counts *= inverse
-            counts += TAU
-            np.log(counts, out=counts)
-            counts -= np.log(total + TAU)[:, None]
-            values.append(counts)
-            bins.append(np.minimum(np.frexp(total)[1], BINS - 1))
-        return values, bins
-
-    def logs(self, number, base, values, bins):
-        """Natural logarithms of the decision's probabilities."""
-        score = base.astype(np.float32, copy=True)
-        for feature, (value, place) in enumerate(zip(values, bins)):
-            score += self.alpha[number, feature][place].astype(np.float32)[:, None] * value
-        score -= score.max(axis=1, keepdims=True)
-        return score - np.log(np.exp(score).sum(axis=1, keepdims=True))
-
-    def score(self, d: Decisions, class_logs) -> np.ndarray:
-        """Natural logarithm of all decisions about each kind of token."""
+        first, second = with_odds(self.first), with_odds(self.second)
+        for number, base, place, rows, outcome in (
+            (0, class_base, d.history, d.class_rows, d.classes),
+            (1, first, shared, d.digit_rows[0], d.one),
+            (2, second, shared * DIGIT + d.one, d.digit_rows[1], d.two),
+        ):
+            table = min(number, 1)
+            yield number, _Decision(
+                self.alpha[number], self.tables[table], self.totals[table], base, place, rows, outcome, own
+            )
+
+    def score(self, d: Decisions, class_base) -> np.ndarray:
+        """Natural logarithm of all decisions about each token."""
         found = np.zeros(len(d.classes))
-        for number, table, base_of, rows, outcome, _ in self.decisions(d, class_logs):
-            for start in range(0, len(outcome), BLOCK):
-                s = slice(start, start + BLOCK)
-                base = base_of(s)
-                values, bins = self.values(table, base, rows[:, s])
-                logs = self.logs(number, base, values, bins)[np.arange(len(base)), outcome[s]]
-                found[s if number == 0 else d.at[s]] += logs
+        for number, decision in self.decisions(d, class_base):
+            logs = np.empty(len(decision.outcome), np.float32)
+            for s, own, _, _, score, _, sums in decision.blocks():
+                logs[s] = score.reshape(-1)[own] - np.log(sums)
+            found[decision.order if number == 0 else d.at[decision.order]] += logs
         return found
 
-    def gradient(self, d: Decisions, class_logs, sums: np.ndarray, loss: np.ndarray) -> None:
+    def gradient(self, d: Decisions, class_base, sums: np.ndarray, loss: np.ndarray) -> None:
         """Add to ``sums`` (decision, gradient and curvature by weight) and ``loss`` (sum, tokens)."""
         size = FEATURES * BINS
-        for number, table, base_of, rows, outcome, times in self.decisions(d, class_logs):
-            for start in range(0, len(outcome), BLOCK):
-                s = slice(start, start + BLOCK)
-                base, own, weight = base_of(s), outcome[s], times[s]
-                line = np.arange(len(base))
-                values, bins = self.values(table, base, rows[:, s], own)
-                logs = self.logs(number, base, values, bins)
-                loss[0] += weight @ logs[line, own]
-                p = np.exp(logs)
-                means = [np.einsum("ij,ij->i", p, v) for v in values]
-                places = [f * BINS + b for f, b in enumerate(bins)]
+        for number, decision in self.decisions(d, class_base, own=True):
+            places = [f * BINS + b.astype(np.int64) for f, b in enumerate(decision.bins)]
+            slopes = np.empty((FEATURES, len(decision.outcome)))
+            squares = np.empty((FEATURES, FEATURES, len(decision.outcome)))
+            for s, own, base, values, score, odds, total in decision.blocks():
+                loss[0] += (score.reshape(-1)[own] - np.log(total)).sum(dtype=float)
+                means = []
+                for value in values:
+                    value -= base
+                    means.append(np.vecdot(odds, value) / total)
                 for f, (value, mean) in enumerate(zip(values, means)):
-                    sums[number, 0] += np.bincount(places[f], weight * (value[line, own] - mean), size)
-                    weighed = p * value
+                    slopes[f, s] = value.reshape(-1)[own] - mean
+                    weighed = np.multiply(odds, value, out=score)
                     for g in range(f, FEATURES):
-                        both = weight * (np.einsum("ij,ij->i", weighed, values[g]) - mean * means[g])
-                        square = np.bincount(places[f] * size + places[g], both, size * size)
-                        square = square.reshape(size, size)
-                        sums[number, 1:] += square if f == g else square + square.T
-        loss[1] += d.times.sum()
+                        squares[f, g, s] = np.vecdot(weighed, values[g]) / total - mean * means[g]
+            for f in range(FEATURES):
+                sums[number, 0] += np.bincount(places[f], slopes[f], size)
+                for g in range(f, FEATURES):
+                    square = np.bincount(places[f] * size + places[g], squares[f, g], size * size)
+                    square = square.reshape(size, size)
+                    sums[number, 1:] += square if f == g else square + square.T
+        loss[1] += len(d.classes)
 
 
-def gradients(model_of, decided, batches) -> Iterator[pa.RecordBatch]:
+def with_odds(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of base distributions, and the counts that stand for them in every row."""
+    return logs, np.exp(logs) * np.float32(TAU)
+
+
+def gradients(model: WordModel, class_base, decided, batches) -> Iterator[pa.RecordBatch]:
     """A task's share of gradient, curvature and loss as (place, value), zeros left out."""
-    model, n = model_of, FEATURES * BINS
+    n = FEATURES * BINS
     sums, loss = np.zeros((3, 1 + n, n)), np.zeros(2)
-    for d, class_logs in decided(batches):
-        model.gradient(d, class_logs, sums, loss)
+    for d in decided(batches):
+        model.gradient(d, class_base, sums, loss)
     every = np.concatenate([sums.ravel(), loss])
     some = np.flatnonzero(every)
     yield pa.RecordBatch.from_pydict({"place": pa.array(some, pa.int32()), "value": pa.array(every[some])})

@@ -223,6 +223,48 @@ def test_rows_of_word_counts_keep_their_shape_when_scaled():
     assert cells[3] == 2 * cells[4] > 2**14 and cells[700] == 16
 
 
+@pytest.mark.parametrize("most, alpha", [(4, 1), (400, 1), (400, 60)])
+def test_blocks_of_decisions_equal_a_plain_softmax(monkeypatch, most, alpha):
+    """Rows of few and many counts, blocks of both, and weights whose odds leave single precision."""
+    monkeypatch.setattr(lm_words, "BLOCK", 16 * 20)
+    rng, n = np.random.default_rng(most), 100
+    table = rng.integers(0, most, (50, 16)).astype(np.uint16)
+    base = np.log(rng.dirichlet(np.ones(16), 7)).astype(np.float32)
+    weights = alpha * rng.uniform(-0.2, 0.5, (lm_words.FEATURES, lm_words.BINS))
+    rows, place, outcome = rng.integers(0, 50, (3, n)), rng.integers(0, 7, n), rng.integers(0, 16, n)
+    table[rows, outcome] += 1
+    for own in (False, True):
+        decision = lm_words._Decision(
+            weights, table, table.sum(axis=1, dtype=np.int32), lm_words.with_odds(base), place, rows, outcome, own
+        )
+        got = np.empty(n)
+        for s, at, _, _, score, odds, sums in decision.blocks():
+            got[decision.order[s]] = score.reshape(-1)[at] - np.log(sums)
+            assert len(score) <= 20 and np.allclose(odds.sum(axis=1), sums, rtol=1e-5)
+        for i in range(n):
+            score = base[place[i]].astype(float)
+            for f in range(lm_words.FEATURES):
+                counts = table[rows[f, i]].astype(float)
+                counts[outcome[i]] -= own
+                weight = weights[f, min(int(counts.sum()).bit_length(), lm_words.BINS - 1)]
+                score += weight * np.log((counts / np.exp(base[place[i]]) + lm_words.TAU) / (counts.sum() + lm_words.TAU))
+            want = score[outcome[i]] - score.max() - np.log(np.exp(score - score.max()).sum())
+            assert got[i] == pytest.approx(want, abs=1e-3, rel=1e-4)
+
+
+def test_histories_are_counted_with_the_word_features():
+    """One pass over the texts counts both."""
+    tokens, hashes = np.array([3, 70, 63]), np.array([5, 6, 7], np.uint64)
+    history = np.array([63 * 128 + 63, 3 * 128 + 63, 70 * 128 + 3])
+    bits = lm_words.table_bits(3)
+    d = lm_words.Decisions(tokens, history, hashes, np.array([0, 3]), 64, np.uint64(7), bits)
+    merged = lm_words._merge(128)(lm_words.count(iter([d, d]), 128, bits))
+    found = [b for b in merged if b.column("number")[0].as_py() == lm_words.HISTORIES]
+    rows = [r for b in lm_words._of_histories(128)(iter(found)) for r in b.to_pylist()]
+    want = [(int(h), int(k), 2) for h, k in zip(history, tokens)]
+    assert sorted((r["history"], r["cls"], r["c"]) for r in rows) == sorted(want)
+
+
 def test_scores_without_training(spark, nothing):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = sorted(lm_scoring.score_texts(docs, F.lit(True)).collect())
