@@ -69,9 +69,9 @@ def block_of(span: int) -> Column:
 
 def block_maxima(postings: DataFrame, span: int = MAXIMA_SPAN) -> DataFrame:
     """Rows ``(term, block, n, max_tf)``: what bounds the scores of a block before it is read."""
-    return postings.groupBy("term", block_of(span).alias("block")).agg(
-        F.count("*").alias("n"), F.max("tf").alias("max_tf")
-    )
+    # Ranges of term and block come in the order in which they are written, and shuffled once.
+    ranged = postings.select("term", block_of(span).alias("block"), "tf").repartitionByRange("term", "block")
+    return ranged.groupBy("term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("max_tf"))
 
 
 def posting_lists(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:

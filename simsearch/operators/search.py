@@ -30,6 +30,8 @@ MOST_TASKS = 20_000
 # Pairs from which on block maxima are asked first, and blocks scored at once to bound the k-th.
 BLOCK_PAIRS = 50_000_000
 PROBED = 2
+# Queries up to which each block lists those that want it; a listed query is looked for one by one.
+LISTED_QUERIES = 1000
 # What adding up in another order may change in a similarity, and what counts as tied.
 _SLACK = 2e-12
 
@@ -158,6 +160,29 @@ def score(
     return dots.select("qid", "doc_id", "dot", similarity.alias("similarity"))
 
 
+def score_blocks(index: Index, weights: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``score`` within the blocks ``wanted (qid, block)`` only, for few queries whose weights are sent to every task.
+
+    The postings asked for are dealt by block to the queries that want the block, where their
+    scores are added up: a posting travels once, and pairs of query and document never do.
+    """
+    asked = weights.select("term").distinct()
+    postings = lookup_join(index.postings, asked, ["term"], "left_semi", broadcast=True)
+    queries = wanted.groupBy("block").agg(F.collect_set("qid").alias("qids"))
+    tasks = _tasks(weights)
+    dealt = postings.withColumn("block", block_of(index.span)).repartition(tasks, "block")
+    met = dealt.join(queries.repartition(tasks, "block").hint("shuffle_hash"), "block")
+    matches = lookup_join(met, weights.drop("df"), ["term"], broadcast=True)
+    matches = matches.where(F.array_contains("qids", F.col("qid")))
+    wd = tf_weight(F.col("tf")) * F.col("idf")
+    # What is dealt by block is so by block, query and document, too.
+    dots = matches.groupBy("block", "qid", "doc_id").agg(
+        F.sum(F.col("wq") * wd).alias("dot"), F.max("norm").alias("norm")
+    )
+    similarity = F.when(F.col("norm") != 0, F.col("dot") / F.col("norm")).otherwise(F.lit(0.0))
+    return dots.select("qid", "doc_id", "dot", similarity.alias("similarity"))
+
+
 def best_first() -> list[Column]:
     return [F.round("similarity", 12).desc(), F.col("doc_id").asc()]
 
@@ -188,13 +213,13 @@ def _kth(rows: DataFrame, column: str, k: int) -> DataFrame:
     return full.where(F.col("n") >= k).select("qid", "least")
 
 
-def block_bounds(index: Index, weights: DataFrame) -> DataFrame:
+def block_bounds(index: Index, weights: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Weights by block of ids: those of ``weights`` and ``block``, ``df`` within it and ``most``.
 
     ``most`` is what the term adds at most to a similarity in that block, and does
     add for one of its documents.
     """
-    on = lookup_join(index.blocks, weights.drop("df"), ["term"], salt_by=["block"])
+    on = lookup_join(index.blocks, weights.drop("df"), ["term"], salt_by=["block"], broadcast=broadcast)
     most = F.col("wq") * F.col("idf") * tf_weight(F.col("max_tf"))
     return on.select(
         "qid", "term", "block", F.col("n").alias("df"), "idf", "wq", "norm",
@@ -211,12 +236,23 @@ def needed_blocks(index: Index, weights: DataFrame, k: int, probed: int = PROBED
     terms together stay below is not needed.
     """
     bounds = materialize(block_bounds(index, weights), "bounds")
+    return lookup_join(bounds, _judged(index, weights, bounds, k, probed, False), ["qid", "block"])
+
+
+def _judged(
+    index: Index, weights: DataFrame, bounds: DataFrame, k: int, probed: int, small: bool
+) -> DataFrame:
+    """Rows ``(qid, block, needed)``; ``small`` says that ``score_blocks`` may score the probed ones."""
     cells = bounds.groupBy("qid", "block").agg(F.sum("most").alias("bound"), F.max("most").alias("sure"))
     cells = materialize(cells, "cells")
     first = top_k(cells, probed, order=[F.col("bound").desc(), F.col("block").asc()])
     first = materialize(first.select("qid", "block"), "probed")
-    probes = lookup_join(bounds, first, ["qid", "block"], "left_semi").drop("most")
-    scores = score(index, materialize(probes, "probes")).select("qid", F.col("similarity").alias("sure"))
+    if small:
+        scores = score_blocks(index, weights, first)
+    else:
+        probes = lookup_join(bounds, first, ["qid", "block"], "left_semi").drop("most")
+        scores = score(index, materialize(probes, "probes"))
+    scores = scores.select("qid", F.col("similarity").alias("sure"))
     # A probed block's documents are known: its share counts no second time.
     others = lookup_join(cells, first, ["qid", "block"], "left_anti").select("qid", "sure")
     least = materialize(_kth(scores.unionByName(others), "sure", k), "least")
@@ -224,7 +260,7 @@ def needed_blocks(index: Index, weights: DataFrame, k: int, probed: int = PROBED
         "qid", "block",
         (F.col("least").isNull() | (F.col("bound") * (1 + 1e-9) + _SLACK >= F.col("least"))).alias("needed"),
     )
-    return lookup_join(bounds, materialize(judged, "judged"), ["qid", "block"])
+    return materialize(judged, "judged")
 
 
 def search_top_k(
@@ -252,7 +288,15 @@ def search_top_k(
     weights = materialize(query_weights(index, query_terms, broadcast=small), "weights")
     if by_blocks is None:
         by_blocks = index.blocks is not None and _pairs(weights) >= BLOCK_PAIRS
-    if by_blocks:
+    if by_blocks and small and query_terms.agg(F.countDistinct("qid")).first()[0] <= LISTED_QUERIES:
+        # By block first: so the bounds of a query's terms are added up where they are made.
+        asked = lookup_join(
+            index.blocks, weights.select("term").distinct(), ["term"], "left_semi", broadcast=True
+        )
+        dealt = replace(index, blocks=asked.repartition(_tasks(weights), "block"))
+        judged = _judged(index, weights, block_bounds(dealt, weights, True), k, PROBED, True)
+        scores = score_blocks(index, weights, judged.where("needed"))
+    elif by_blocks:
         needed = needed_blocks(index, weights, k).where("needed").drop("needed", "most")
         scores = score(index, materialize(needed, "needed"))
     elif small:

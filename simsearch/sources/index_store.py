@@ -67,11 +67,11 @@ def write_index(
     )
     written = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
     for name, table, order in (
-        ("terms", term_statistics(written), ["term"]),
+        ("terms", term_statistics(written).repartitionByRange("term"), ["term"]),
         ("blocks", block_maxima(written, span), ["term", "block"]),
     ):
         (
-            table.repartitionByRange(*order).sortWithinPartitions(*order)
+            table.sortWithinPartitions(*order)
             .write.mode(mode).option("maxRecordsPerFile", block_rows).parquet(f"{path}/{name}")
         )
     if unsorted:

@@ -7,6 +7,7 @@ from conftest import tuples
 from simsearch.operators import index, search
 from simsearch.operators.analysis import analyze_queries
 from simsearch.plans.joins import lookup_join
+from simsearch.plans.storage import materialize
 
 QUERY = "love night night zebra"
 GOLDEN = [
@@ -188,6 +189,34 @@ def skewed(spark, tmp_path_factory):
     return read_index(spark, path)
 
 
+def test_blocks_are_scored_where_they_were_dealt(spark, skewed):
+    """The scores of the wanted blocks, without a shuffle of pairs or of whole lists of block maxima."""
+    queries = spark.createDataFrame([(1, "w1 w2 w3"), (2, "w3 w5")], "qid long, text string")
+    terms = analyze_queries(queries, stem=False)
+    weights = materialize(search.query_weights(skewed, terms), "weights")
+    wanted = search.block_bounds(skewed, weights).where("(block + qid) % 2 = 0").select("qid", "block").distinct()
+    wanted = materialize(wanted, "wanted")
+    found = search.score_blocks(skewed, weights, wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" in plan and "hashpartitioning(qid" not in plan
+    blocks = {tuple(r) for r in wanted.collect()}
+    want = [
+        (r.qid, r.doc_id, round(r.similarity, 9)) for r in search.score(skewed, weights).collect()
+        if (r.qid, r.doc_id // skewed.span) in blocks
+    ]
+    assert want and sorted((r.qid, r.doc_id, round(r.similarity, 9)) for r in found.collect()) == sorted(want)
+    maxima = index.block_maxima(skewed.postings, skewed.span)
+    assert maxima._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_many_queries_are_not_listed_by_block(spark, skewed, monkeypatch, listed):
+    monkeypatch.setattr(search, "LISTED_QUERIES", listed)
+    queries = spark.createDataFrame([(1, "w1 w2 w3"), (2, "w3 w5"), (3, "absent")], "qid long, text string")
+    plain = tuples(search.search_top_k(skewed, queries, 3, stem=False, by_blocks=False))
+    assert plain and tuples(search.search_top_k(skewed, queries, 3, stem=False, by_blocks=True)) == plain
+
+
 @pytest.mark.parametrize("k", [1, 3, 10, 700])
 def test_block_maxima_change_no_answer(spark, skewed, k):
     queries = ask(spark, "rare all", "w1 w2 w3 all", "w7 rare rare w50", "all", "absent", "w399 w1")
