@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -16,13 +17,15 @@ from simsearch.operators.analysis import (
     stem_vocabulary,
 )
 from simsearch.plans.joins import fits_broadcast, lookup_join
-from simsearch.plans.storage import materialize
+from simsearch.plans.storage import MOST_PARTS, materialize
 
 # Width in ids of one stretch of a posting list. A list is split by document id,
 # so a term found in every document still comes in pieces of at most this many.
 BLOCK_SPAN = 4096
 # Width in ids of the blocks whose greatest term frequencies are kept with a stored index.
 MAXIMA_SPAN = 256
+# Postings of which a task takes the block maxima.
+MAXIMA_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -70,7 +73,10 @@ def block_of(span: int) -> Column:
 def block_maxima(postings: DataFrame, span: int = MAXIMA_SPAN) -> DataFrame:
     """Rows ``(term, block, n, max_tf)``: what bounds the scores of a block before it is read."""
     # Ranges of term and block come in the order in which they are written, and shuffled once.
-    ranged = postings.select("term", block_of(span).alias("block"), "tf").repartitionByRange("term", "block")
+    # Their rows, not their bytes, fill the memory of a task: these are few by row.
+    tasks = max(1, min(MOST_PARTS, math.ceil(postings.count() / MAXIMA_ROWS)))
+    ranged = postings.select("term", block_of(span).alias("block"), "tf")
+    ranged = ranged.repartitionByRange(tasks, "term", "block")
     return ranged.groupBy("term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("max_tf"))
 
 

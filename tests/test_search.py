@@ -189,7 +189,7 @@ def skewed(spark, tmp_path_factory):
     return read_index(spark, path)
 
 
-def test_blocks_are_scored_where_they_were_dealt(spark, skewed):
+def test_blocks_are_scored_where_they_were_dealt(spark, skewed, monkeypatch):
     """The scores of the wanted blocks, without a shuffle of pairs or of whole lists of block maxima."""
     queries = spark.createDataFrame([(1, "w1 w2 w3"), (2, "w3 w5")], "qid long, text string")
     terms = analyze_queries(queries, stem=False)
@@ -205,8 +205,11 @@ def test_blocks_are_scored_where_they_were_dealt(spark, skewed):
         if (r.qid, r.doc_id // skewed.span) in blocks
     ]
     assert want and sorted((r.qid, r.doc_id, round(r.similarity, 9)) for r in found.collect()) == sorted(want)
+    monkeypatch.setattr(index, "MAXIMA_ROWS", 500)
     maxima = index.block_maxima(skewed.postings, skewed.span)
-    assert maxima._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert maxima.rdd.getNumPartitions() == math.ceil(skewed.postings.count() / 500) > 4
+    assert sorted(maxima.collect()) == sorted(skewed.blocks.select(*maxima.columns).collect())
+    assert "hashpartitioning" not in maxima._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("listed", [0, 1000])
