@@ -93,8 +93,12 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, limit=PIECE):
         words = Words(batch.column("text"), lower=True)
         rows += batch.num_rows
-        unique, first, counts = np.unique(words.hashes(), return_index=True, return_counts=True)
-        tally.add(unique, _endings(words)[first], counts)
+        hashes = words.hashes()
+        # Any occurrence of a word tells its ending, so their order may be lost.
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[:len(hashes)])
+        tally.add(hashes[first], _endings(words)[order[first]], np.diff(first, append=len(hashes)))
         if tally.size > limit:
             found = tally.take()
             if len(found[0]) > _HELD // 2:
@@ -164,8 +168,8 @@ class Weights:
         ])
 
     @functools.cached_property
-    def base(self) -> tuple[np.ndarray, np.ndarray]:
-        """``with_odds`` of all histories (16 MB), made in the tasks that ask for it."""
+    def base(self) -> np.ndarray:
+        """``with_odds`` of all histories (8 MB), made in the tasks that ask for it."""
         every = np.arange(CLASSES**2)
         return lm_words.with_odds(np.concatenate([
             self.log_probabilities(every[i:i + 1024]).astype(np.float32) for i in range(0, len(every), 1024)

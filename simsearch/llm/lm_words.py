@@ -16,6 +16,7 @@ is that on texts the weights have not seen.
 from __future__ import annotations
 
 import functools
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,49 +197,67 @@ class _Decision:
 
     def __init__(self, alpha, table, totals, base, place, rows, outcome, own: bool):
         """``base`` holds distributions, ``place`` the one of each token; ``own`` outcomes are taken out once."""
-        self.table, self.own, self.base, self.odds = table, own, *base
-        self.alpha = alpha.astype(np.float32)
-        self.bins = [_BIN[np.clip(totals[some] - own, 0, len(_BIN) - 1)] for some in rows]
-        kinds = (self.bins[0] * BINS + self.bins[1]) * BINS + self.bins[2]
-        self.order = order = np.argsort(kinds, kind="stable")
+        self.table, self.own, self.base = table, own, base
+        bins = []
+        for some in rows:
+            total = totals[some]
+            bins.append(_BIN[np.minimum(np.maximum(total, 1) - 1 if own else total, len(_BIN) - 1)])
+        kinds = (bins[0] * BINS + bins[1]) * BINS + bins[2]
+        # Equal base distributions lie together too, so that they are still in the cache.
+        self.order = order = np.argsort(kinds * np.uint32(len(self.base)) + place.astype(np.uint32))
         self.place, self.outcome = place[order], outcome[order]
-        self.rows, self.bins = [r[order] for r in rows], [b[order] for b in self.bins]
+        self.rows = np.stack([r[order] for r in rows])
+        # Runs of tokens of one kind: where each ends, the bins of its rows, weights of base and features.
+        sizes = np.bincount(kinds)
+        found = np.flatnonzero(sizes)
+        self.ends = np.cumsum(sizes[found]).tolist()
+        self.bins = np.stack([found // BINS**2, found // BINS % BINS, found % BINS], axis=1)
+        alpha = alpha[np.arange(FEATURES), self.bins]
+        self.factors = (np.column_stack([1 - alpha.sum(axis=1), alpha]) * np.log(2)).astype(np.float32)
+
+    def runs(self, s: slice) -> Iterator[tuple[int, int, int]]:
+        """(begin, end, number) of the runs among the tokens of a slice, counted from its start."""
+        at, number = s.start, bisect_right(self.ends, s.start)
+        while at < s.stop:
+            end = min(self.ends[number], s.stop)
+            yield at - s.start, end - s.start, number
+            at, number = end, number + 1
+
+    def in_all(self, own: np.ndarray, size: int) -> np.ndarray:
+        """Places of the outcomes in the values of each feature, one behind the other."""
+        return own + np.arange(FEATURES)[:, None] * (size * self.table.shape[1])
 
     def blocks(self):
-        """(slice, base, logarithms of each feature, odds, their sums) of some tokens at a time.
+        """(slice, places of the outcomes, base, features, score, odds, their sums) of some tokens at a time.
 
-        A feature's logarithm is that of count + TAU * base. What a row divides its counts by is
+        A feature is the logarithm of count + TAU * base, and the base that of TAU * base: to base 2,
+        as that takes less time, while scores are natural. What a row divides its counts by is
         the same for all outcomes, so it is left out; odds are probabilities but for their sum.
         """
         width = self.table.shape[1]
         step = max(1, BLOCK // width)
         room = np.empty((3 + FEATURES) * step * width, np.float32)
-        counts, ones = np.empty((step, width), self.table.dtype), np.ones(width, np.float32)
+        counts, ones = np.empty(FEATURES * step * width, self.table.dtype), np.ones(width, np.float32)
+        places = np.arange(len(self.outcome)) % step * width + self.outcome
         for start in range(0, len(self.outcome), step):
             s = slice(start, min(start + step, len(self.outcome)))
-            size = s.stop - start
-            odds, score, base, *logs = room[:(3 + FEATURES) * size * width].reshape(-1, size, width)
+            size, own = s.stop - start, places[s]
+            every = room[:(3 + FEATURES) * size * width].reshape(-1, size, width)
+            odds, score, base, logs = *every[:3], every[3:]
             np.take(self.base, self.place[s], axis=0, out=base, mode="clip")
-            np.take(self.odds, self.place[s], axis=0, out=odds, mode="clip")
-            own = np.arange(size) * width + self.outcome[s]
-            for f, log in enumerate(logs):
-                np.take(self.table, self.rows[f][s], axis=0, out=counts[:size], mode="clip")
-                np.copyto(log, counts[:size], casting="unsafe")
-                if self.own:
-                    flat = log.reshape(-1)
-                    flat[own] = np.maximum(flat[own] - 1, 0)
-                log += odds
-                np.log(log, out=log)
-            first, last = ([b[at] for b in self.bins] for at in (start, s.stop - 1))
-            if first == last:
-                alpha = np.array([a[b] for a, b in zip(self.alpha, first)], np.float32)
-                parts = room[2 * size * width:(3 + FEATURES) * size * width].reshape(1 + FEATURES, -1)
-                np.matmul(np.append(1 - alpha.sum(), alpha), parts, out=score.reshape(-1))
-            else:
-                alpha = [a[b[s], None] for a, b in zip(self.alpha, self.bins)]
-                np.multiply(base, 1 - sum(alpha), out=score)
-                for log, factor in zip(logs, alpha):
-                    score += np.multiply(log, factor, out=odds)
+            found = counts[:FEATURES * size * width].reshape(-1, size, width)
+            np.take(self.table, self.rows[:, s], axis=0, out=found, mode="clip")
+            np.copyto(logs, found, casting="unsafe")
+            if self.own:
+                flat, some = logs.reshape(-1), self.in_all(own, size)
+                less = flat.take(some) - 1
+                np.put(flat, some, np.maximum(less, 0, out=less), mode="clip")
+            logs += base
+            np.log2(every[2:], out=every[2:])
+            parts, flat = every[2:].reshape(1 + FEATURES, -1), score.reshape(-1)
+            for begin, end, number in self.runs(s):
+                part = slice(begin * width, end * width)
+                np.matmul(self.factors[number], parts[:, part], out=flat[part])
             with np.errstate(over="ignore"):
                 np.exp(score, out=odds)
                 sums = odds @ ones
@@ -250,7 +269,7 @@ class _Decision:
 
 
 # Bin of a row by its total.
-_BIN = np.minimum(np.frexp(np.arange(1 << BINS, dtype=float))[1], BINS - 1).astype(np.uint16)
+_BIN = np.minimum(np.frexp(np.arange(1 << BINS, dtype=float))[1], BINS - 1).astype(np.uint32)
 
 
 class WordModel:
@@ -260,8 +279,8 @@ class WordModel:
         """``inside`` has a weight for each shared class, first and second digit."""
         self.tables, self.bits, self.own_classes = tables, bits, own_classes
         both = inside.sum(axis=2)
-        self.first = np.log(both / both.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.second = np.log(inside / both[:, :, None]).astype(np.float32).reshape(-1, DIGIT)
+        self.first = with_odds(np.log(both / both.sum(axis=1, keepdims=True)).astype(np.float32))
+        self.second = with_odds(np.log(inside / both[:, :, None]).astype(np.float32).reshape(-1, DIGIT))
         self.alpha = np.zeros((3, FEATURES, BINS))
 
     def __setstate__(self, state):
@@ -270,16 +289,16 @@ class WordModel:
 
     @functools.cached_property
     def totals(self) -> list[np.ndarray]:
-        return [t.sum(axis=1, dtype=np.int32) for t in self.tables]
+        """Occurrences in each row, as far as they tell its bin."""
+        return [np.minimum(t.sum(axis=1, dtype=np.int32), len(_BIN)).astype(np.uint16) for t in self.tables]
 
     def decisions(self, d: Decisions, class_base, own: bool = False):
         """Each decision with its number; ``class_base`` is ``with_odds`` of the class model's logarithms."""
         shared = d.shared - self.own_classes
-        first, second = with_odds(self.first), with_odds(self.second)
         for number, base, place, rows, outcome in (
             (0, class_base, d.history, d.class_rows, d.classes),
-            (1, first, shared, d.digit_rows[0], d.one),
-            (2, second, shared * DIGIT + d.one, d.digit_rows[1], d.two),
+            (1, self.first, shared, d.digit_rows[0], d.one),
+            (2, self.second, shared * DIGIT + d.one, d.digit_rows[1], d.two),
         ):
             table = min(number, 1)
             yield number, _Decision(
@@ -292,40 +311,46 @@ class WordModel:
         for number, decision in self.decisions(d, class_base):
             logs = np.empty(len(decision.outcome), np.float32)
             for s, own, _, _, score, _, sums in decision.blocks():
-                logs[s] = score.reshape(-1)[own] - np.log(sums)
+                logs[s] = score.reshape(-1).take(own) - np.log(sums)
             found[decision.order if number == 0 else d.at[decision.order]] += logs
         return found
 
     def gradient(self, d: Decisions, class_base, sums: np.ndarray, loss: np.ndarray) -> None:
         """Add to ``sums`` (decision, gradient and curvature by weight) and ``loss`` (sum, tokens)."""
-        size = FEATURES * BINS
         for number, decision in self.decisions(d, class_base, own=True):
-            places = [f * BINS + b.astype(np.int64) for f, b in enumerate(decision.bins)]
-            slopes = np.empty((FEATURES, len(decision.outcome)))
-            squares = np.empty((FEATURES, FEATURES, len(decision.outcome)))
+            width = decision.table.shape[1]
+            ones, places = np.ones(width, np.float32), decision.bins + np.arange(FEATURES) * BINS
+            # By run: gradient of its weights, and curvature of each two.
+            slopes = np.zeros((len(places), FEATURES))
+            squares = np.zeros((len(places), FEATURES, FEATURES))
             for s, own, base, values, score, odds, total in decision.blocks():
-                loss[0] += (score.reshape(-1)[own] - np.log(total)).sum(dtype=float)
-                means = []
-                for value in values:
-                    value -= base
-                    means.append(np.vecdot(odds, value) / total)
-                for f, (value, mean) in enumerate(zip(values, means)):
-                    slopes[f, s] = value.reshape(-1)[own] - mean
-                    weighed = np.multiply(odds, value, out=score)
-                    for g in range(f, FEATURES):
-                        squares[f, g, s] = np.vecdot(weighed, values[g]) / total - mean * means[g]
-            for f in range(FEATURES):
-                sums[number, 0] += np.bincount(places[f], slopes[f], size)
-                for g in range(f, FEATURES):
-                    square = np.bincount(places[f] * size + places[g], squares[f, g], size * size)
-                    square = square.reshape(size, size)
-                    sums[number, 1:] += square if f == g else square + square.T
+                loss[0] += (score.reshape(-1).take(own) - np.log(total)).sum(dtype=float)
+                values -= base
+                odds *= (1 / total)[:, None]
+                # Probability times value, in the place of what is no longer wanted.
+                weighed = odds, score, base
+                for some, value in zip(weighed[::-1], values[::-1]):
+                    np.multiply(odds, value, out=some)
+                means = np.stack([some @ ones for some in weighed])
+                ahead = values.reshape(-1).take(decision.in_all(own, len(own))) - means
+                flat = values.reshape(FEATURES, -1)
+                # Within a run only the sums over its tokens are wanted.
+                for begin, end, run in decision.runs(s):
+                    part, mean = slice(begin * width, end * width), means[:, begin:end]
+                    slopes[run] += ahead[:, begin:end].sum(axis=1, dtype=float)
+                    squares[run] -= mean @ mean.T
+                    for f, some in enumerate(weighed):
+                        squares[run, f, f:] += np.vecdot(some.reshape(-1)[part], flat[f:, part])
+            slopes *= np.log(2)
+            squares = (np.triu(squares) + np.triu(squares, 1).transpose(0, 2, 1)) * np.log(2) ** 2
+            np.add.at(sums[number, 0], places, slopes)
+            np.add.at(sums[number, 1:], (places[:, :, None], places[:, None, :]), squares)
         loss[1] += len(d.classes)
 
 
-def with_odds(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithms of base distributions, and the counts that stand for them in every row."""
-    return logs, np.exp(logs) * np.float32(TAU)
+def with_odds(logs: np.ndarray) -> np.ndarray:
+    """The counts that stand for base distributions in every row, from their natural logarithms."""
+    return np.maximum(np.exp(logs) * np.float32(TAU), np.finfo(np.float32).tiny)
 
 
 def gradients(model: WordModel, class_base, decided, batches) -> Iterator[pa.RecordBatch]:

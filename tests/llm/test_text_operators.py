@@ -252,6 +252,54 @@ def test_blocks_of_decisions_equal_a_plain_softmax(monkeypatch, most, alpha):
             assert got[i] == pytest.approx(want, abs=1e-3, rel=1e-4)
 
 
+def test_gradients_by_run_equal_plain_sums(monkeypatch):
+    """Sums over runs of tokens that weigh alike, in blocks that end within a run, equal those token by token."""
+    monkeypatch.setattr(lm_words, "BLOCK", 16 * 7)
+    rng, n = np.random.default_rng(3), 60
+    tables = [rng.integers(0, 5, (16, 16)).astype(np.uint16) for _ in range(2)]
+    tables[0][:4] *= 60
+    class_base = np.log(rng.dirichlet(np.ones(16), 4)).astype(np.float32)
+    model = lm_words.WordModel(tables, np.ones((1, 16, 16)), 16, (4, 4))
+    model.alpha = rng.uniform(-0.2, 0.5, model.alpha.shape)
+    d = lm_words.Decisions(
+        rng.integers(0, 16, n), rng.integers(0, 4, n), rng.integers(0, 2**62, n).astype(np.uint64),
+        np.array([0, 25, n]), 16, np.uint64(7), (4, 4),
+    )
+    for rows in d.class_rows:
+        np.add.at(tables[0], (rows, d.classes), 1)
+    base = lm_words.with_odds(class_base)
+    _, decision = next(model.decisions(d, base, own=True))
+    weighs = decision.bins[np.searchsorted(decision.ends, np.arange(n), "right")]
+    for f, rows in enumerate(decision.rows):
+        totals = tables[0][rows].sum(axis=1, dtype=int) - 1
+        assert weighs[:, f].tolist() == [min(int(x).bit_length(), lm_words.BINS - 1) for x in totals]
+    for s, *_ in decision.blocks():
+        covered = [(a, b) for a, b, _ in decision.runs(s)]
+        assert covered[0][0] == 0 and covered[-1][1] == s.stop - s.start <= 7
+        assert all(x[1] == y[0] for x, y in zip(covered, covered[1:]))
+
+    size = lm_words.FEATURES * lm_words.BINS
+    sums, loss = np.zeros((3, 1 + size, size)), np.zeros(2)
+    model.gradient(d, base, sums, loss)
+    want, lost = np.zeros((1 + size, size)), 0.0
+    for i in range(n):
+        score, values, places = class_base[d.history[i]].astype(float), [], []
+        for f in range(lm_words.FEATURES):
+            counts = tables[0][d.class_rows[f][i]].astype(float)
+            counts[d.classes[i]] -= 1
+            values.append(np.log(counts / np.exp(class_base[d.history[i]]) + lm_words.TAU))
+            places.append(f * lm_words.BINS + min(int(counts.sum()).bit_length(), lm_words.BINS - 1))
+            score += model.alpha[0].reshape(-1)[places[-1]] * values[-1]
+        likely = np.exp(score - score.max()) / np.exp(score - score.max()).sum()
+        lost += np.log(likely[d.classes[i]])
+        for f, value in enumerate(values):
+            want[0, places[f]] += value[d.classes[i]] - likely @ value
+            for g, other in enumerate(values):
+                want[1 + places[f], places[g]] += likely @ (value * other) - (likely @ value) * (likely @ other)
+    assert loss == pytest.approx([lost, n], rel=1e-4)
+    assert np.allclose(sums[0], want, rtol=1e-3, atol=1e-3) and not sums[1:].any()
+
+
 def test_histories_are_counted_with_the_word_features():
     """One pass over the texts counts both."""
     tokens, hashes = np.array([3, 70, 63]), np.array([5, 6, 7], np.uint64)
